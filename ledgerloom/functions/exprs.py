@@ -14,6 +14,21 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def paise(c: str | Column) -> Column:
+    """Money value as exact integer paise."""
+    return F.round(col(c) * 100).cast("long")
+
+
+def msum(c: str | Column) -> Column:
+    """Exact money sum (integer paise): the same bits at any partitioning."""
+    return F.sum(paise(c)) / 100.0
+
+
+def mavg(c: str | Column) -> Column:
+    """Money mean over non-null values from the exact paise sum."""
+    return F.sum(paise(c)) / F.count(col(c)) / 100.0
+
+
 def money(c: str | Column) -> Column:
     """Money output convention: round to 2 decimals."""
     return F.round(col(c), 2)

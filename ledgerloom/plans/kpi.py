@@ -9,16 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.plans.oracle_sql import CATALOG_CTE, with_sales
+from ledgerloom.plans.oracle_sql import CATALOG_CTE, mavg, msum, with_sales
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.warehouse import register_views, run_sql
 
-L1_SQL = """
+L1_SQL = f"""
 SELECT order_year,
-       ROUND(SUM(final_amount_inr), 2)   AS revenue,
+       {msum("final_amount_inr")}   AS revenue,
        COUNT(*)                          AS orders,
        COUNT(DISTINCT customer_id)       AS active_customers,
-       ROUND(AVG(final_amount_inr), 2)   AS aov
+       {mavg("final_amount_inr")}   AS aov
 FROM transactions
 GROUP BY order_year
 ORDER BY order_year
@@ -32,9 +32,9 @@ def yearly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, L1_SQL)
 
 
-L2_SQL = """
+L2_SQL = f"""
 SELECT subcategory,
-       ROUND(SUM(final_amount_inr), 2)   AS revenue,
+       {msum("final_amount_inr")}   AS revenue,
        CAST(SUM(quantity) AS BIGINT)     AS units,
        COUNT(DISTINCT customer_id)       AS customers
 FROM transactions
@@ -50,9 +50,9 @@ def subcategory_contribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, L2_SQL)
 
 
-L3_SQL = """
+L3_SQL = f"""
 SELECT customer_state, customer_tier,
-       ROUND(SUM(final_amount_inr), 2)   AS revenue,
+       {msum("final_amount_inr")}   AS revenue,
        COUNT(*)                          AS orders
 FROM transactions
 GROUP BY customer_state, customer_tier
@@ -67,12 +67,12 @@ def geographic_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, L3_SQL)
 
 
-L4_SQL = """
+L4_SQL = f"""
 SELECT is_prime_member,
        COUNT(*)                          AS orders,
-       ROUND(SUM(final_amount_inr), 2)   AS revenue,
-       ROUND(AVG(final_amount_inr), 2)   AS aov,
-       ROUND(AVG(delivery_days), 6)      AS avg_delivery_days
+       {msum("final_amount_inr")}   AS revenue,
+       {mavg("final_amount_inr")}   AS aov,
+       AVG(delivery_days)      AS avg_delivery_days
 FROM transactions
 GROUP BY is_prime_member
 """
@@ -85,9 +85,9 @@ def prime_vs_nonprime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, L4_SQL)
 
 
-L6_SQL = """
+L6_SQL = f"""
 SELECT t.order_year, t.brand,
-       ROUND(SUM(t.final_amount_inr), 2) AS revenue,
+       {msum("t.final_amount_inr")} AS revenue,
        CAST(SUM(t.quantity) AS BIGINT)   AS units
 FROM transactions t
 JOIN products p ON t.product_id = p.product_id

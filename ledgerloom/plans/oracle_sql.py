@@ -29,12 +29,18 @@ sales AS (
     p_type                                                         AS subcategory,
     p_brand                                                        AS brand,
     CAST(l_quantity AS INTEGER)                                    AS quantity,
-    round(abs(l_discount) * 100)                                   AS discount_percent,
-    l_extendedprice / l_quantity                                   AS original_price_inr,
-    l_extendedprice / l_quantity * (1 - abs(l_discount))           AS discounted_price_inr,
-    l_extendedprice * (1 - abs(l_discount))                        AS subtotal_inr,
-    l_extendedprice * l_tax                                        AS delivery_charges,
-    l_extendedprice * (1 - abs(l_discount))                        AS final_amount_inr,
+    CAST(round(abs(l_discount) * 100) AS DOUBLE)                   AS discount_percent,
+    ((2 * CAST(round(l_extendedprice * 100) AS BIGINT) + CAST(l_quantity AS BIGINT))
+       // (2 * CAST(l_quantity AS BIGINT))) / 100                  AS original_price_inr,
+    ((2 * CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(abs(l_discount) * 100) AS BIGINT))
+       + 100 * CAST(l_quantity AS BIGINT)) // (200 * CAST(l_quantity AS BIGINT))) / 100
+                                                                   AS discounted_price_inr,
+    ((CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(abs(l_discount) * 100) AS BIGINT))
+       + 50) // 100) / 100                                         AS subtotal_inr,
+    ((CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_tax * 100) AS BIGINT) + 50) // 100) / 100
+                                                                   AS delivery_charges,
+    ((CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(abs(l_discount) * 100) AS BIGINT))
+       + 50) // 100) / 100                                         AS final_amount_inr,
     n_name                                                         AS customer_city,
     r_name                                                         AS customer_state,
     CASE c_nationkey % 4 WHEN 0 THEN 'Metro' WHEN 1 THEN 'Tier1'
@@ -90,7 +96,106 @@ products AS (
 )"""
 
 
+def msum(c: str) -> str:
+    """Exact money sum: integer paise, then INR."""
+    return f"(SUM(CAST(round({c} * 100) AS BIGINT)) / 100)"
+
+
+def mavg(c: str) -> str:
+    """Money mean over non-null values from the exact paise sum."""
+    return f"(SUM(CAST(round({c} * 100) AS BIGINT)) / COUNT({c}) / 100)"
+
+
 def with_sales(body: str, *extra_ctes: str) -> str:
     """``WITH sales AS (...), <extra> <body>``."""
     ctes = [SALES_CTE.strip()] + [c.strip() for c in extra_ctes]
     return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+
+_RFM_ACTIONS = {
+    "Champions": "Recent, frequent, high spend — reward and retain",
+    "Loyal Customers": "Buy often and spend well — upsell and loyalty offers",
+    "Potential Loyalists": "Recent with growing frequency — membership and bundles",
+    "New Customers": "Recent but low frequency — onboarding and first-repeat offers",
+    "Promising": "Recent, low spend — category education and discounts",
+    "Need Attention": "Above-average but fading — win-back campaigns",
+    "About to Sleep": "Slipping recency and frequency — reactivation",
+    "At Risk": "Were valuable, now stale — personalised win-back",
+    "Cannot Lose Them": "High spend, low recency — immediate retention",
+    "Hibernating": "Low activity across RFM — low-cost reactivation or ignore",
+    "Lost": "Long inactive, low value — do not over-invest",
+}
+_ACTION_CASE = "CASE rfm_segment " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in _RFM_ACTIONS.items()) + " END"
+
+CUSTOMERS_CTE = f"""
+cust_agg AS (
+  SELECT customer_id,
+    arg_max(customer_city, (order_date, transaction_id))          AS customer_city,
+    arg_max(customer_state, (order_date, transaction_id))         AS customer_state,
+    arg_max(customer_tier, (order_date, transaction_id))          AS customer_tier,
+    arg_max(customer_spending_tier, (order_date, transaction_id)) AS customer_spending_tier,
+    arg_max(customer_age_group, (order_date, transaction_id))     AS customer_age_group,
+    bool_or(is_prime_member)                                      AS is_prime_member,
+    min(order_date)                                               AS first_order_date,
+    max(order_date)                                               AS last_order_date,
+    count(DISTINCT transaction_id)                                AS frequency,
+    (SUM(CAST(round(final_amount_inr * 100) AS BIGINT)) / 100)    AS monetary,
+    CAST(sum(quantity) AS BIGINT)                                 AS units,
+    (SUM(CAST(round(final_amount_inr * 100) AS BIGINT)) / COUNT(final_amount_inr) / 100) AS aov_raw,
+    avg(customer_rating)                                          AS rating_raw,
+    avg(CASE WHEN return_status = 'Returned' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)
+                                                                  AS return_raw
+  FROM sales GROUP BY customer_id
+),
+cust_base AS (
+  SELECT *,
+    CAST((SELECT max(last_order_date) FROM cust_agg) + 1 - last_order_date AS INTEGER) AS recency_days,
+    CAST(greatest(last_order_date - first_order_date, 0) AS INTEGER)                     AS tenure_days,
+    CAST(year(first_order_date) AS INTEGER)                                              AS acquisition_year,
+    row_number() OVER (ORDER BY frequency, customer_id)                                  AS f_rank,
+    row_number() OVER (ORDER BY monetary, customer_id)                                   AS m_rank,
+    count(*) OVER ()                                                                     AS n_cust
+  FROM cust_agg
+),
+rec_edges AS (
+  SELECT quantile_cont(recency_days, [0.2, 0.4, 0.6, 0.8]) AS e FROM cust_base
+),
+cust_scored AS (
+  SELECT b.*,
+    CAST(5 - ((recency_days > e[1])::INT + (recency_days > e[2])::INT
+            + (recency_days > e[3])::INT + (recency_days > e[4])::INT) AS INTEGER) AS r_score,
+    CAST(CASE WHEN n_cust > 1 THEN greatest(1, (5 * (f_rank - 1) + n_cust - 2) // (n_cust - 1))
+         ELSE 3 END AS INTEGER) AS f_score,
+    CAST(CASE WHEN n_cust > 1 THEN greatest(1, (5 * (m_rank - 1) + n_cust - 2) // (n_cust - 1))
+         ELSE 3 END AS INTEGER) AS m_score
+  FROM cust_base b, rec_edges
+),
+cust_seg AS (
+  SELECT *,
+    CASE
+      WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
+      WHEN r_score >= 4 AND f_score >= 3 AND m_score >= 3 THEN 'Loyal Customers'
+      WHEN r_score >= 4 AND f_score <= 2 AND m_score >= 3 THEN 'Potential Loyalists'
+      WHEN r_score >= 4 AND f_score = 1 THEN 'New Customers'
+      WHEN r_score >= 4 AND f_score = 2 THEN 'Promising'
+      WHEN r_score = 3 AND f_score >= 3 AND m_score >= 3 THEN 'Loyal Customers'
+      WHEN r_score = 3 AND f_score >= 3 THEN 'Need Attention'
+      WHEN r_score = 3 AND m_score >= 4 THEN 'Need Attention'
+      WHEN r_score = 3 THEN 'About to Sleep'
+      WHEN r_score <= 2 AND f_score >= 4 AND m_score >= 4 THEN 'Cannot Lose Them'
+      WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
+      WHEN r_score <= 2 AND m_score >= 4 THEN 'At Risk'
+      WHEN r_score = 2 THEN 'Hibernating'
+      ELSE 'Lost' END AS rfm_segment
+  FROM cust_scored
+),
+customers AS (
+  SELECT customer_id, customer_city, customer_state, customer_tier, customer_spending_tier,
+    customer_age_group, is_prime_member, first_order_date, last_order_date, frequency, monetary, units,
+    aov_raw AS avg_order_value, rating_raw AS avg_rating,
+    return_raw AS return_rate, recency_days, tenure_days, acquisition_year,
+    r_score, f_score, m_score, rfm_segment, {_ACTION_CASE} AS rfm_action,
+    round(greatest((aov_raw * (frequency / greatest(tenure_days / CAST(365.25 AS DOUBLE),
+                                               CAST(1 AS DOUBLE) / 12))) * 3, monetary), 2) AS clv
+  FROM cust_seg
+)"""

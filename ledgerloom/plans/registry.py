@@ -31,3 +31,4 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 # populate
 from ledgerloom.plans import kpi  # noqa: E402,F401
+from ledgerloom.plans import dims  # noqa: E402,F401

@@ -74,9 +74,21 @@ def _quantity() -> Column:
     return F.col("l_quantity").cast("int")
 
 
-def _discount() -> Column:
-    # abs() turns the fixture's -0.0 into 0.0 (equal value, stable hash)
-    return F.abs(F.col("l_discount"))
+# Money is whole paise: amounts are built in exact integer arithmetic and
+# rounded half-up to the paisa, as transaction amounts are, so every sum of
+# money is an exact integer sum (see functions.exprs.msum).
+_EP_PAISE = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+_DISC = "CAST(round(abs(l_discount) * 100) AS BIGINT)"
+_QTY = "CAST(l_quantity AS BIGINT)"
+
+
+def _disc_pct() -> Column:
+    # abs() turns the fixture's -0.0 into 0.0
+    return F.expr(_DISC)
+
+
+def _paise(integer_expr: str) -> Column:
+    return F.expr(integer_expr) / 100.0
 
 
 def _age_group() -> Column:
@@ -124,24 +136,17 @@ _SALES: dict[str, tuple[tuple[str, ...], object]] = {
     "subcategory": (("p_type",), lambda: F.col("p_type")),
     "brand": (("p_brand",), lambda: F.col("p_brand")),
     "quantity": (("l_quantity",), _quantity),
-    "discount_percent": (("l_discount",), lambda: F.round(_discount() * 100)),
-    "original_price_inr": (
-        ("l_extendedprice", "l_quantity"),
-        lambda: F.col("l_extendedprice") / F.col("l_quantity"),
-    ),
-    "discounted_price_inr": (
-        ("l_extendedprice", "l_quantity", "l_discount"),
-        lambda: F.col("l_extendedprice") / F.col("l_quantity") * (1 - _discount()),
-    ),
-    "subtotal_inr": (
-        ("l_extendedprice", "l_discount"),
-        lambda: F.col("l_extendedprice") * (1 - _discount()),
-    ),
-    "delivery_charges": (("l_extendedprice", "l_tax"), lambda: F.col("l_extendedprice") * F.col("l_tax")),
-    "final_amount_inr": (
-        ("l_extendedprice", "l_discount"),
-        lambda: F.col("l_extendedprice") * (1 - _discount()),
-    ),
+    "discount_percent": (("l_discount",), lambda: _disc_pct().cast("double")),
+    "original_price_inr": (("l_extendedprice", "l_quantity"), lambda: _paise(
+        f"(2 * {_EP_PAISE} + {_QTY}) DIV (2 * {_QTY})")),
+    "discounted_price_inr": (("l_extendedprice", "l_quantity", "l_discount"), lambda: _paise(
+        f"(2 * {_EP_PAISE} * (100 - {_DISC}) + 100 * {_QTY}) DIV (200 * {_QTY})")),
+    "subtotal_inr": (("l_extendedprice", "l_discount"), lambda: _paise(
+        f"({_EP_PAISE} * (100 - {_DISC}) + 50) DIV 100")),
+    "delivery_charges": (("l_extendedprice", "l_tax"), lambda: _paise(
+        f"({_EP_PAISE} * CAST(round(l_tax * 100) AS BIGINT) + 50) DIV 100")),
+    "final_amount_inr": (("l_extendedprice", "l_discount"), lambda: _paise(
+        f"({_EP_PAISE} * (100 - {_DISC}) + 50) DIV 100")),
     "customer_city": (("n_name",), lambda: F.col("n_name")),
     "customer_state": (("r_name",), lambda: F.col("r_name")),
     "customer_tier": (
