@@ -192,7 +192,7 @@ def dimension_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ registry
-from ledgerloom.plans.oracle_sql import CATALOG_CTE, CUSTOMERS_CTE, mavg, msum, with_sales  # noqa: E402
+from ledgerloom.plans.oracle_sql import CATALOG_CTE, CUSTOMERS_CTE, sql_mavg, sql_msum, with_sales  # noqa: E402
 from ledgerloom.plans.registry import register  # noqa: E402
 
 
@@ -256,8 +256,8 @@ def q_dimension_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 L5_SQL = f"""
 SELECT rfm_segment,
        COUNT(*)                   AS customers,
-       {msum("monetary")}         AS revenue,
-       {mavg("clv")}              AS avg_clv
+       {sql_msum("monetary")}         AS revenue,
+       {sql_mavg("clv")}              AS avg_clv
 FROM customers
 GROUP BY rfm_segment
 ORDER BY revenue DESC

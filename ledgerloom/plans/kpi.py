@@ -9,16 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.plans.oracle_sql import CATALOG_CTE, mavg, msum, with_sales
+from ledgerloom.plans.oracle_sql import CATALOG_CTE, sql_mavg, sql_msum, with_sales
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.warehouse import register_views, run_sql
 
 L1_SQL = f"""
 SELECT order_year,
-       {msum("final_amount_inr")}   AS revenue,
+       {sql_msum("final_amount_inr")}   AS revenue,
        COUNT(*)                          AS orders,
        COUNT(DISTINCT customer_id)       AS active_customers,
-       {mavg("final_amount_inr")}   AS aov
+       {sql_mavg("final_amount_inr")}   AS aov
 FROM transactions
 GROUP BY order_year
 ORDER BY order_year
@@ -34,7 +34,7 @@ def yearly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 L2_SQL = f"""
 SELECT subcategory,
-       {msum("final_amount_inr")}   AS revenue,
+       {sql_msum("final_amount_inr")}   AS revenue,
        CAST(SUM(quantity) AS BIGINT)     AS units,
        COUNT(DISTINCT customer_id)       AS customers
 FROM transactions
@@ -52,7 +52,7 @@ def subcategory_contribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 L3_SQL = f"""
 SELECT customer_state, customer_tier,
-       {msum("final_amount_inr")}   AS revenue,
+       {sql_msum("final_amount_inr")}   AS revenue,
        COUNT(*)                          AS orders
 FROM transactions
 GROUP BY customer_state, customer_tier
@@ -70,8 +70,8 @@ def geographic_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 L4_SQL = f"""
 SELECT is_prime_member,
        COUNT(*)                          AS orders,
-       {msum("final_amount_inr")}   AS revenue,
-       {mavg("final_amount_inr")}   AS aov,
+       {sql_msum("final_amount_inr")}   AS revenue,
+       {sql_mavg("final_amount_inr")}   AS aov,
        AVG(delivery_days)      AS avg_delivery_days
 FROM transactions
 GROUP BY is_prime_member
@@ -87,7 +87,7 @@ def prime_vs_nonprime(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 L6_SQL = f"""
 SELECT t.order_year, t.brand,
-       {msum("t.final_amount_inr")} AS revenue,
+       {sql_msum("t.final_amount_inr")} AS revenue,
        CAST(SUM(t.quantity) AS BIGINT)   AS units
 FROM transactions t
 JOIN products p ON t.product_id = p.product_id

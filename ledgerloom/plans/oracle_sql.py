@@ -96,12 +96,12 @@ products AS (
 )"""
 
 
-def msum(c: str) -> str:
+def sql_msum(c: str) -> str:
     """Exact money sum: integer paise, then INR."""
     return f"(SUM(CAST(round({c} * 100) AS BIGINT)) / 100)"
 
 
-def mavg(c: str) -> str:
+def sql_mavg(c: str) -> str:
     """Money mean over non-null values from the exact paise sum."""
     return f"(SUM(CAST(round({c} * 100) AS BIGINT)) / COUNT({c}) / 100)"
 
