@@ -50,12 +50,12 @@ def polyfit2(df: DataFrame, x: str, y: str, name: str = "trend") -> DataFrame:
     s = d.agg(
         F.count("*").cast("double").alias("s0"),
         F.sum("_u").alias("s1"),
-        F.sum(F.pow("_u", 2)).alias("s2"),
-        F.sum(F.pow("_u", 3)).alias("s3"),
-        F.sum(F.pow("_u", 4)).alias("s4"),
+        F.sum(F.col("_u") * F.col("_u")).alias("s2"),
+        F.sum(F.col("_u") * F.col("_u") * F.col("_u")).alias("s3"),
+        F.sum(F.col("_u") * F.col("_u") * F.col("_u") * F.col("_u")).alias("s4"),
         F.sum(F.col(y)).alias("t0"),
         F.sum(F.col("_u") * F.col(y)).alias("t1"),
-        F.sum(F.pow("_u", 2) * F.col(y)).alias("t2"),
+        F.sum(F.col("_u") * F.col("_u") * F.col(y)).alias("t2"),
     )
 
     def det3(a, b, c, d_, e, f, g, h, i) -> Column:

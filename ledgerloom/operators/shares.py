@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 
 
 def share_of(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "share",
-             scale: float = 1.0) -> DataFrame:
+             scale: float = 1.0, money: bool = False) -> DataFrame:
     """``value / sum(value)`` within ``by`` groups (global when ``by`` is empty).
 
     Grouped shares use a window partitioned by the group keys (already a
     reduced frame).  A global share joins one aggregate row instead of an
     un-partitioned window, so no single task ever sees the whole frame.
     """
+    part = F.round(F.col(value) * 100).cast("long") if money else F.col(value)
     if by:
-        total = F.sum(value).over(Window.partitionBy(*by))
+        total = F.sum(part).over(Window.partitionBy(*by))
+        total = total / 100.0 if money else total
         return df.withColumn(name, F.try_divide(F.col(value), total) * scale)
-    tot = df.agg(F.sum(value).alias("_total"))
+    tot = df.agg((F.sum(part) / 100.0 if money else F.sum(part)).alias("_total"))
     return (
         df.crossJoin(F.broadcast(tot))
         .withColumn(name, F.try_divide(F.col(value), F.col("_total")) * scale)

@@ -101,6 +101,11 @@ def sql_msum(c: str) -> str:
     return f"(SUM(CAST(round({c} * 100) AS BIGINT)) / 100)"
 
 
+def sql_msum_over(c: str, over: str = "") -> str:
+    """Exact money window sum ``OVER (<over>)``."""
+    return f"(SUM(CAST(round({c} * 100) AS BIGINT)) OVER ({over}) / 100)"
+
+
 def sql_mavg(c: str) -> str:
     """Money mean over non-null values from the exact paise sum."""
     return f"(SUM(CAST(round({c} * 100) AS BIGINT)) / COUNT({c}) / 100)"
@@ -109,7 +114,9 @@ def sql_mavg(c: str) -> str:
 def with_sales(body: str, *extra_ctes: str) -> str:
     """``WITH sales AS (...), <extra> <body>``."""
     ctes = [SALES_CTE.strip()] + [c.strip() for c in extra_ctes]
-    return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+    body = body.strip().lstrip(",").strip()
+    sep = "\n" if body[:6].upper() == "SELECT" else ",\n"
+    return "WITH " + ",\n".join(ctes) + sep + body
 
 _RFM_ACTIONS = {
     "Champions": "Recent, frequent, high spend — reward and retain",
