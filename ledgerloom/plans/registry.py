@@ -33,3 +33,4 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 from ledgerloom.plans import kpi  # noqa: E402,F401
 from ledgerloom.plans import dims  # noqa: E402,F401
 from ledgerloom.plans import eda  # noqa: E402,F401
+from ledgerloom.plans import dashboard  # noqa: E402,F401
