@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ledgerloom import config
 from ledgerloom.functions.exprs import flag, lookup, mavg, money, msum
 from ledgerloom.operators.ranking import exact_quantiles, global_row_number
+from ledgerloom.session import ensure_checkpoint_dir
 from ledgerloom.sources.tables import catalog, sales
 
 CUSTOMER_INPUT = [
@@ -93,8 +94,17 @@ def build_customers(spark: SparkSession, sf_dir: str, tx: DataFrame | None = Non
         F.greatest(F.datediff("last_order_date", "first_order_date"), F.lit(0)).alias("tenure_days"),
         F.year("first_order_date").alias("acquisition_year"),
     )
+    # The per-customer table feeds the quantile edges and two global ranks
+    # (several plan branches).  Cut the lineage once: a reliable checkpoint
+    # in the shared ``spark.checkpoint.dir`` (survives executor loss), so
+    # the fact scan + join + aggregation run a single time.
+    ensure_checkpoint_dir(spark)
+    c = c.checkpoint(eager=True)
     # r: value quintiles of recency, 5 = most recent (right-closed bins)
-    edges = exact_quantiles(c, "recency_days", [0.2, 0.4, 0.6, 0.8], name="_re")
+    # recency takes at most (#days in the calendar span) distinct values, so
+    # the built-in exact percentile's value->count map is bounded.
+    edges = c.agg(F.percentile("recency_days", [0.2, 0.4, 0.6, 0.8]).alias("_re")).select(
+        *[F.col("_re")[i].alias(f"_re{i}") for i in range(4)])
     x = F.col("recency_days").cast("double")
     higher = sum((F.when(x > F.col(f"_re{i}"), 1).otherwise(0) for i in range(4)), F.lit(0))
     c = c.crossJoin(F.broadcast(edges)).withColumn("r_score", (5 - higher).cast("int"))
