@@ -34,3 +34,4 @@ from ledgerloom.plans import kpi  # noqa: E402,F401
 from ledgerloom.plans import dims  # noqa: E402,F401
 from ledgerloom.plans import eda  # noqa: E402,F401
 from ledgerloom.plans import dashboard  # noqa: E402,F401
+from ledgerloom.plans import cleaning  # noqa: E402,F401
