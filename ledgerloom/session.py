@@ -44,14 +44,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def apply_plan_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings the plans assume (idempotent).
+    """Apply the runtime SQL settings the plans assume, where the caller left
+    them unset.
 
     The session time zone is left as the caller set it: every date in the
     plans comes from ``timestamp_ntz`` columns or ``date`` values, which do
     not shift with the zone.
     """
+    chosen = spark.conf.getAll
     for key, value in PLAN_CONF.items():
-        if key != "spark.sql.session.timeZone":
+        if key != "spark.sql.session.timeZone" and key not in chosen:
             spark.conf.set(key, value)
 
 
@@ -59,8 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is set by the deployment (a shared file system
-    path).  Only when it is unset -- tests and local runs -- do we pick a
-    fresh scratch folder.
+    path).  Only when it is unset in local mode -- tests and local runs -- do
+    we pick a fresh scratch folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
