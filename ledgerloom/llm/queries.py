@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import simhash
+from ledgerloom.llm import pieces, simhash
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,23 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def piece_model() -> str:
+    """The public merge-type vocabulary of 32,000 pieces."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op5_pieces")
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's ids, with an end id, and the digest of their text."""
+    out = pieces.encode_texts(read(spark, sf_dir, "documents"), piece_model(), ["doc_id"])
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @register("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; links at four or fewer differing bits."""
