@@ -43,17 +43,40 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[slice, np.
         at = to
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words (runs without space and U+0009 to U+000D) of texts that lie back
-    to back: (start, end, first word of each text and the count at the end)."""
-    letter = (data != 32) & ((data < 9) | (data > 13))
-    edge = np.zeros(len(data) + 1, bool)
+def runs_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of bytes that are ``inside``, in texts that lie back to back:
+    (start, end, first run of each text and the count at the end)."""
+    edge = np.zeros(len(inside) + 1, bool)
     edge[offsets] = True
-    starts = np.flatnonzero(letter & (edge[:-1] | ~np.concatenate(([False], letter[:-1]))))
-    ends = np.flatnonzero(letter & (edge[1:] | ~np.concatenate((letter[1:], [False])))) + 1
+    starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate(([False], inside[:-1]))))
+    ends = np.flatnonzero(inside & (edge[1:] | ~np.concatenate((inside[1:], [False])))) + 1
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words: runs without space and U+0009 to U+000D."""
+    return runs_of((data != 32) & ((data < 9) | (data > 13)), offsets)
+
+
+_POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte runs that don't overlap, by powers of an odd number."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    at = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
+    values = (data[at + np.repeat(starts, lengths)].astype(np.uint64) + np.uint64(1)) * _POWERS[at & 4095]
+    return mix(np.add.reduceat(values, first))
+
+
 def column_of(batch: pa.RecordBatch, name: str, rows: slice) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name)).slice(rows.start, rows.stop - rows.start)
 

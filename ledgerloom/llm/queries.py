@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import pieces, simhash
+from ledgerloom.llm import pieces, simhash, toxicity
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,16 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+@register("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model of the labels outside the held-out third."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(toxicity.remainder("doc_id", 3) != 1))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", (toxicity.remainder("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def piece_model() -> str:
     """The public merge-type vocabulary of 32,000 pieces."""
     import public_tokenizers
