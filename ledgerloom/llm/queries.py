@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import pieces, simhash, toxicity
+from ledgerloom.llm import pieces, quality_mil, simhash, toxicity
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,16 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+@register("op1_quality_mil")
+def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a net of the labels outside the held-out fifth."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    net = quality_mil.fit(docs, labels.where(toxicity.remainder("doc_id", 5) != 0))
+    return quality_mil.score(docs, net, ["doc_id"]).select(
+        "doc_id", (toxicity.remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @register("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a model of the labels outside the held-out third."""
