@@ -192,7 +192,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
         y = np.concatenate([b.column(b.schema.get_field_index("__label")).to_numpy() for b in held]) if held else np.empty(0)
         yield pa.RecordBatch.from_arrays([pa.array([(fit_texts(held, "__text", y) if len(y) else Net()).dumps()], pa.binary())], ["net"])
 
-    return Net.loads(bytes(sample.select("__text", "__label").mapInArrow(run, "net binary").first().net))
+    fitted = sample.select("__text", "__label").mapInArrow(run, "net binary").first()  # None if Spark finds the sample empty
+    return Net.loads(bytes(fitted.net)) if fitted else Net()
 
 
 def score(docs: DataFrame, net: Net, key: list[str], text: str = "text") -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import pieces, quality_mil, simhash, toxicity
+from ledgerloom.llm import mixing, pieces, quality_mil, sharding, simhash, toxicity
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,73 @@ def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+_OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 15))::BIGINT AS h
+  FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, ((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight FROM s0),
+s2 AS (SELECT *,
+         sum(source_size) OVER ()
+           - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remain,
+         sum(weight) OVER ()
+           - coalesce(sum(weight) OVER (ORDER BY source_size / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS load
+       FROM s1),
+s3 AS (SELECT *, weight * remain > 3 * source_size * load AS stops FROM s2),
+one AS (SELECT remain, load FROM s3 WHERE NOT stops ORDER BY source_size / weight, source ASC NULLS LAST LIMIT 1),
+t AS (SELECT source, source_size,
+        CASE WHEN stops THEN (3 * source_size)::DOUBLE
+             ELSE (weight * (SELECT remain FROM one))::DOUBLE / (SELECT load FROM one)::DOUBLE END AS target FROM s3),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes FROM t),
+g AS (SELECT d.source, d.h, sum(d.size)::BIGINT AS n FROM d GROUP BY d.source, d.h),
+c AS (SELECT g.*, sum(n) OVER (PARTITION BY source ORDER BY h) AS upto FROM g),
+e AS (SELECT c.source, c.h, c.n, c.upto, p.target - p.passes * p.source_size AS budget
+      FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source),
+b AS (SELECT source, min(h) AS cut FROM e WHERE upto > budget GROUP BY source),
+f AS (SELECT e.source, e.h + CASE WHEN 2 * (e.budget - (e.upto - e.n)) >= e.n THEN 1 ELSE 0 END AS below
+      FROM e JOIN b ON e.source IS NOT DISTINCT FROM b.source AND e.h = b.cut)
+SELECT d.doc_id, d.size, p.source_size, p.target,
+       (d.size * (p.passes + CASE WHEN d.h < coalesce(f.below, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source
+"""
+
+
+@register("op2_mixing", _OP2_SQL)
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, with its source's size and target."""
+    out = mixing.mixed(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
+                      F.col("__target").alias("target"), (F.col("__size") * F.col("__copies")).alias("taken"))
+
+
+SHARDS, SLOTS = [f"shard-{i:04d}" for i in range(16)], 2039
+
+_OP3_SQL = r"""
+WITH RECURSIVE shard AS (
+  SELECT i, ('0x' || substr(md5(format('shard-{:04d}:offset', i)), 1, 15))::BIGINT % 2039 AS first,
+         ('0x' || substr(md5(format('shard-{:04d}:step', i)), 1, 15))::BIGINT % 2038 + 1 AS step
+  FROM range(16) r(i)),
+prefers AS MATERIALIZED (
+  SELECT i, list((first + j * step) % 2039 ORDER BY j) AS slots FROM shard, range(2039) k(j) GROUP BY i),
+claims(turn, slot, free) AS (
+  SELECT 0, NULL::BIGINT, list_transform(range(2039), lambda x: true)
+  UNION ALL
+  SELECT turn + 1, s, free[:s] || [false] || free[s + 2:]
+  FROM (SELECT turn, free, list_filter(slots, lambda x: free[x + 1])[1] AS s
+        FROM claims JOIN prefers ON prefers.i = turn % 16 WHERE turn < 2039) z)
+SELECT doc_id, slot::INTEGER AS slot, ((turn - 1) % 16)::INTEGER AS shard
+FROM documents JOIN (SELECT turn, slot FROM claims WHERE turn > 0) c
+  ON ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % 2039 = c.slot
+"""
+
+
+@register("op3_sharding", _OP3_SQL)
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document, among 16 shards and 2039 slots."""
+    return sharding.place(read(spark, sf_dir, "documents"), SHARDS, SLOTS).select("doc_id", "slot", "shard")
+
+
 @register("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a model of the labels outside the held-out third."""
