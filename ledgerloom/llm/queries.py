@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, pieces, quality_mil, sharding, simhash, toxicity
+from ledgerloom.llm import mixing, pieces, quality_mil, quality_rules, sharding, simhash, toxicity
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,40 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+_OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+         md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')) AS doc,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT r, source, doc, x, lower(trim(regexp_replace(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]', '0', 'g'))) AS line,
+             len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words
+      FROM (SELECT r, source, doc, unnest(string_split(t, chr(10))) AS x FROM d) q WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+dup AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM l GROUP BY r),
+hosts AS (SELECT source, count(DISTINCT doc) AS docs FROM l GROUP BY source),
+f AS (SELECT source, line, count(DISTINCT doc) AS n FROM l GROUP BY source, line),
+hot AS (SELECT f.source, f.line FROM f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source WHERE f.n > 20 AND f.n * 100 > h.docs),
+gone AS (SELECT r, sum(words) AS n FROM l JOIN hot ON l.source IS NOT DISTINCT FROM hot.source AND l.line = hot.line GROUP BY r),
+win AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS x FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5) q),
+two AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM win) q WHERE n > 1),
+rep AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, i + k AS p FROM two, range(5) s(k)) q GROUP BY r),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
+             coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS removed_words
+      FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN gone USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+         AND n_words - removed_words >= 10 AND 100 * (n_words - removed_words) >= 30 * n_words AS kept
+FROM m
+"""
+
+
+@register("op9_quality_rules", _OP9_SQL)
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document, a source being its host."""
+    return quality_rules.verdicts(read(spark, sf_dir, "documents"))
+
+
 @register("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; links at four or fewer differing bits."""
