@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, pieces, quality_mil, quality_rules, sharding, simhash, toxicity
+from ledgerloom.llm import mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, toxicity
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,16 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@register("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every document by kind, and all spans with those that the classifier adds."""
+    found, _ = pii.find(read(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda x: x["base"])
+    return found.select(
+        "doc_id", *[F.size(F.filter(base, lambda x: x["kind"] == F.lit(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS[:pii.BASE]],
+        F.sha2(pii.digest_form(base).cast("binary"), 256).alias("base_sha256"), pii.digest_form(F.col("spans")).alias("spans"))
+
+
 _OP9_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
