@@ -81,6 +81,31 @@ def column_of(batch: pa.RecordBatch, name: str, rows: slice) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name)).slice(rows.start, rows.stop - rows.start)
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[np.ndarray, pa.Table]]:
+    """From batches sorted by ``keys``: tables that never cut a run of equal
+    keys, each with its rows' run numbers (0, 1, ...)."""
+    def numbered(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        for k in keys:
+            c = table[k].to_numpy()
+            new[1:] |= c[1:] != c[:-1]
+        return np.cumsum(new)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        run_of = numbered(table)
+        if cut := int(np.searchsorted(run_of, run_of[-1])):
+            yield run_of[:cut], table.slice(0, cut)
+            held = table.slice(cut).combine_chunks().to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield numbered(table), table
+
+
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Smallest member of each node's component, for nodes 0 to n - 1 and links a-b."""
     root = np.arange(n)

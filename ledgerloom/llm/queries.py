@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, toxicity
+from ledgerloom.llm import embeddings, mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, toxicity
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,12 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@register("op6_embeddings")
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, at a cosine of 0.95 or more."""
+    return embeddings.embedding_groups(read(spark, sf_dir, "embeddings"))
+
+
 @register("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans of every document by kind, and all spans with those that the classifier adds."""

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import column_of, connected_components, forest, text_slices, words_of, written
+from ledgerloom.llm.common import column_of, connected_components, forest, text_slices, whole_runs, words_of, written
 
 #: Fingerprints of a key that are compared in one run without being dealt in chunks.
 RUN = 2048
@@ -113,7 +113,8 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, run: int = RUN) ->
              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run_of, fp in whole_runs(batches, ("key", "i", "j"), "fp"):
+        for run_of, table in whole_runs(batches, ("key", "i", "j")):
+            fp = table["fp"].to_numpy()
             a, b = close_pairs(run_of, fp.view(np.uint64), distance)
             if len(a):
                 root = forest(a, b, len(fp))
@@ -125,36 +126,6 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, run: int = RUN) ->
     return together.mapInArrow(verify, "a long, b long")
 
 
-def whole_runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], value: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """From sorted batches: (run number, value) arrays that never cut a run."""
-    held: list[pa.RecordBatch] = []
-
-    def arrays(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
-        return [table[k].to_numpy() for k in keys], table[value].to_numpy()
-
-    def numbered(cols: list[np.ndarray]) -> np.ndarray:
-        new = np.zeros(len(cols[0]), bool)
-        for c in cols:
-            new[1:] |= c[1:] != c[:-1]
-        return np.cumsum(new)
-
-    for batch in batches:
-        held.append(batch)
-        table = pa.Table.from_batches(held)
-        cols, values = arrays(table)
-        if not len(values):
-            continue
-        run_of = numbered(cols)
-        cut = int(np.searchsorted(run_of, run_of[-1]))
-        if cut:
-            yield run_of[:cut], values[:cut]
-            held = table.slice(cut).combine_chunks().to_batches()
-    if held:
-        cols, values = arrays(pa.Table.from_batches(held))
-        if len(values):
-            yield numbered(cols), values
-
-
 def close_pairs(run_of: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the pairs of one run that differ in at most ``distance``
     bits.  Pairs are taken by their lag; when many have gathered they are
