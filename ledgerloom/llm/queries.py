@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import embeddings, mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, toxicity
+from ledgerloom.llm import chunks, embeddings, mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, toxicity
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,12 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_groups(read(spark, sf_dir, "embeddings"))
 
 
+@register("op7_chunks")
+def op7_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that shares a passage with others: its spans, and the documents that hold the passage first."""
+    return chunks.repeated_documents(read(spark, sf_dir, "documents"))
+
+
 @register("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans of every document by kind, and all spans with those that the classifier adds."""
