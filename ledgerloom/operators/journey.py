@@ -5,11 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.exprs import msum
-from ledgerloom.operators.ranking import global_row_number
+from ledgerloom.session import stored
 
 
 def lag_within(df: DataFrame, entity: str, order_cols: Sequence[str], value: str,
@@ -18,19 +22,46 @@ def lag_within(df: DataFrame, entity: str, order_cols: Sequence[str], value: str
 
     Equivalent to ``lag(value) over (partition by entity order by ...)``
     but without the per-entity window: one entity may own a third of all
-    rows, and a window would sort it in a single task.  Rows get a global
-    rank over the unique key ``(entity, order...)`` (range partitioned,
-    balanced whatever the skew), and each row meets its predecessor by an
-    equi-join on ``rank - 1`` -- a key that hashes evenly.
+    rows, and a window would sort it in a single task.  Rows are range
+    partitioned by ``(entity, order...)`` -- one shuffle, balanced whatever
+    the skew -- and each partition carries the row before along.  Only a
+    partition's first row lacks its predecessor: the last row of the
+    partition before it, looked up among one row per partition.  The tagged
+    rows are stored, so both sides see the same partitions.
     """
-    ranked = global_row_number(df, [entity, *order_cols], "_g")
-    prev = ranked.select(
-        (F.col("_g") + 1).alias("_g"),
-        F.col(entity).alias("_pe"),
-        F.col(value).alias(name),
-    )
-    out = ranked.join(prev, "_g", "left")
-    return out.withColumn(name, F.when(F.col("_pe") == F.col(entity), F.col(name))).drop("_g", "_pe")
+    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [entity, *order_cols]
+    ranged = df.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys)
+    schema = T.StructType(
+        [f for f in ranged.schema.fields if f.name != name]
+        + [T.StructField(name, ranged.schema[value].dataType), T.StructField("_pid", T.IntegerType()),
+           T.StructField("_row", T.LongType())])
+    kept = [f.name for f in schema.fields[:-3]]
+
+    def tag(batches):
+        pid, row = TaskContext.get().partitionId(), 0
+        last_entity = last_value = None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            e, v = batch.column(entity), batch.column(value)
+            e = pa.concat_arrays([last_entity if last_entity is not None else pa.nulls(1, e.type), e])
+            v = pa.concat_arrays([last_value if last_value is not None else pa.nulls(1, v.type), v])
+            same = pc.fill_null(pc.equal(e.slice(1), e.slice(0, n)), False)
+            prev = pc.if_else(same, v.slice(0, n), pa.nulls(1, v.type)[0])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), prev, pa.array([pid] * n, pa.int32()),
+                 pa.array(range(row, row + n), pa.int64())], schema.names)
+            row += n
+            last_entity, last_value = e.slice(n), v.slice(n)
+
+    tagged = stored(ranged.mapInArrow(tag, schema), "lag")
+    ends = tagged.groupBy("_pid").agg(F.max_by(F.struct(F.col(entity).alias("e"), F.col(value).alias("v")), "_row").alias("_end"))
+    before = ends.select("_pid", F.lag("_end").over(Window.orderBy("_pid")).alias("_end"))  # one row per partition
+    first = (F.col("_row") == 0) & (F.col("_end.e") == F.col(entity))
+    return tagged.join(F.broadcast(before), "_pid").withColumn(
+        name, F.when(first, F.col("_end.v")).otherwise(F.col(name))).drop("_pid", "_row", "_end")
 
 
 def transitions(df: DataFrame, entity: str, order_cols: Sequence[str], state: str) -> DataFrame:
@@ -48,7 +79,8 @@ def transitions(df: DataFrame, entity: str, order_cols: Sequence[str], state: st
         .agg(F.count("*").alias("transitions"))
     )
     states = df.select(F.col(state).alias("s")).where(F.col("s").isNotNull()).distinct()
-    grid = states.select(F.col("s").alias("from_state")).crossJoin(states.select(F.col("s").alias("to_state")))
+    grid = F.broadcast(states.select(F.col("s").alias("from_state"))).crossJoin(
+        F.broadcast(states.select(F.col("s").alias("to_state"))))
     dense = grid.join(counts, ["from_state", "to_state"], "left").withColumn(
         "transitions", F.coalesce("transitions", F.lit(0)).cast("long"))
     row_total = dense.groupBy("from_state").agg(F.sum("transitions").alias("_row"))
@@ -101,8 +133,8 @@ def association_rules(df: DataFrame, entity: str, item: str) -> DataFrame:
     both = a.join(b, "_e").where(F.col("from") != F.col("to")).groupBy("from", "to").agg(
         F.count("*").alias("both"))
     items = ei.select(item).distinct()
-    grid = items.select(F.col(item).alias("from")).crossJoin(items.select(F.col(item).alias("to"))).where(
-        F.col("from") != F.col("to"))
+    grid = F.broadcast(items.select(F.col(item).alias("from"))).crossJoin(
+        F.broadcast(items.select(F.col(item).alias("to")))).where(F.col("from") != F.col("to"))
     out = (
         grid.join(both, ["from", "to"], "left")
         .join(buyers.withColumnRenamed(item, "from"), "from")

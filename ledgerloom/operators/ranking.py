@@ -18,11 +18,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import stored
+
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     if n:
@@ -35,14 +38,16 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], weight: str, name: str
     """Add ``name`` = sum of ``weight`` over all rows strictly before each row
     in the global order of ``order_cols`` (which must be unique per row).
 
-    The range exchange uses an explicit partition count, which AQE never
-    coalesces, so both consumers of the tagged frame see the same
-    partition ids (and Spark reuses the exchange).
+    Range bounds are sampled, so two evaluations of a range exchange may cut
+    differently.  The tagged frame (partition id, running sum inside it) is
+    therefore stored once, and both the offsets and the result read those
+    files: ranks don't depend on Spark reusing an exchange.
     """
     nparts = _num_partitions(df, num_partitions)
     ranged = df.repartitionByRange(nparts, *order_cols).sortWithinPartitions(*order_cols)
     wtype = ranged.schema[weight].dataType
-    out_type = T.DoubleType() if isinstance(wtype, (T.DoubleType, T.FloatType, T.DecimalType)) else T.LongType()
+    fractional = isinstance(wtype, (T.DoubleType, T.FloatType, T.DecimalType))
+    out_type = T.DoubleType() if fractional else T.LongType()
     schema = T.StructType(
         list(ranged.schema.fields)
         + [T.StructField("_pid", T.IntegerType(), False), T.StructField("_local", out_type, False)]
@@ -51,16 +56,15 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], weight: str, name: str
     def tag(batches):
         pid = TaskContext.get().partitionId()
         running = 0
-        for pdf in batches:
-            w = pdf[weight].to_numpy()
-            cs = np.cumsum(w)
-            pdf["_pid"] = np.int32(pid)
-            pdf["_local"] = (running + cs - w).astype(np.float64 if out_type == T.DoubleType() else np.int64)
-            if len(cs):
-                running += cs[-1]
-            yield pdf
-
-    tagged = ranged.mapInPandas(tag, schema)
+        for batch in batches:
+            w = batch.column(weight).to_numpy(zero_copy_only=False).astype(np.float64 if fractional else np.int64)
+            before = running + np.cumsum(w) - w
+            if len(w):
+                running = before[-1] + w[-1]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(len(w), pid, np.int32)), pa.array(before)], schema.names)
+
+    tagged = stored(ranged.mapInArrow(tag, schema), "prefix")
     totals = tagged.groupBy("_pid").agg(F.sum(weight).alias("_ptotal"))
     offsets = totals.select(
         "_pid",
@@ -91,6 +95,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     Same definition as ``quantile_cont`` / pandas ``quantile``: position
     ``p * (n - 1)``, value ``lo + (hi - lo) * frac``.  Nulls are ignored.
     Output: ``by...`` plus ``q0..q{k-1}`` (one column per prob).
+
+    Grouped: equal values collapse map-side, then a window runs over the
+    distinct values of each group (two shuffles; a hot group is its distinct
+    values, not its rows).  Ungrouped: the distributed ``prefix_sum``.
     """
     by = list(by)
     counts = (
@@ -98,44 +106,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         .groupBy(*by, value)
         .agg(F.count("*").alias("_w"))
     )
-    ranked = prefix_sum(counts, by + [value], "_w", "_before", num_partitions)
-    grp = ranked.groupBy(*by).agg(F.min("_before").alias("_start"), F.sum("_w").alias("_n"))
-    targets = grp.select(
-        *by, "_start", "_n",
-        F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_qi", "_p"),
-    ).withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("_p"))
-    targets = targets.select(
-        *[F.col(k).alias(f"_t_{k}") for k in by], "_qi", "_pos",
-        (F.col("_start") + F.floor("_pos")).alias("_klo"),
-        (F.col("_start") + F.ceil("_pos")).alias("_khi"),
-    )
-    r = ranked.select(*by, value, "_before", "_w")
-
-    def pick(kcol: str, out: str) -> DataFrame:
-        # group keys equi-join (AQE splits a hot group) plus the range test;
-        # ungrouped, the #probs target rows are broadcast.
-        cond = F.lit(True)
-        for k in by:
-            cond = cond & F.col(f"_t_{k}").eqNullSafe(F.col(k))
-        cond = cond & (F.col("_before") <= F.col(kcol)) & (F.col(kcol) < F.col("_before") + F.col("_w"))
-        side = targets if by else F.broadcast(targets)
-        return side.join(r, cond).select(
-            *[f"_t_{k}" for k in by], "_qi", "_pos", F.col(value).cast("double").alias(out))
-
-    lo = pick("_klo", "_vlo")
-    hi = pick("_khi", "_vhi").select(
-        *[F.col(f"_t_{k}").alias(f"_h_{k}") for k in by], F.col("_qi").alias("_hqi"), "_vhi")
-    cond = F.col("_qi") == F.col("_hqi")
-    for k in by:
-        cond = cond & F.col(f"_t_{k}").eqNullSafe(F.col(f"_h_{k}"))
-    both = lo.join(hi, cond)
-    interp = both.select(
-        *[F.col(f"_t_{k}").alias(k) for k in by], "_qi",
-        (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.floor("_pos"))).alias("_q"),
-    )
-    return interp.groupBy(*by).pivot("_qi", list(range(len(probs)))).agg(F.first("_q")).select(
-        *by, *[F.col(str(i)).alias(f"{name}{i}") for i in range(len(probs))]
-    )
+    if by:
+        # one more shuffle, by group: running counts over its distinct values
+        inside = Window.partitionBy(*by)
+        running = inside.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumns({
+            "_before": F.coalesce(F.sum("_w").over(running), F.lit(0)), "_n": F.sum("_w").over(inside)})
+    else:
+        ranked = prefix_sum(counts, [value], "_w", "_before", num_partitions).crossJoin(
+            F.broadcast(counts.agg(F.sum("_w").alias("_n"))))
+    picks = []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1).cast("double") * float(p)
+        for part, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            hit = (F.col("_before") <= at) & (at < F.col("_before") + F.col("_w"))
+            picks.append(F.max(F.when(hit, F.col(value).cast("double"))).alias(f"_{part}{i}"))
+        picks.append(F.max(pos - F.floor(pos)).alias(f"_f{i}"))
+    picked = ranked.groupBy(*by).agg(*picks)
+    out = picked.select(*by, *[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"{name}{i}")
+        for i in range(len(probs))])
+    return out if by else out.where(F.col(f"{name}0").isNotNull())
 
 
 def quantile_band(df: DataFrame, value: str, k: int, labels: Sequence[str] | None = None,

@@ -88,3 +88,18 @@ def test_same_answer_at_2_and_64_partitions(spark):
         out[parts] = {n: sorted(map(tuple, qs[n](spark, SF_SMALL).collect()), key=repr) for n in names}
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out[2] == out[64]
+
+
+def test_ranks_without_exchange_reuse(spark):
+    """Range bounds are sampled: at this size two evaluations would differ."""
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(500_000).select(F.col("id"), F.xxhash64("id").alias("v"), (F.col("id") % 7).alias("k"))
+        r = global_row_number(df, ["v", "id"], "r", num_partitions=8)
+        row = r.agg(F.min("r"), F.max("r"), F.count_distinct("r")).first()
+        assert tuple(row) == (1, 500_000, 500_000)
+        lagged = lag_within(df, "k", ["v", "id"], "v", "p")
+        bad = lagged.where(F.col("p") > F.col("v")).count()
+        assert bad == 0 and lagged.where(F.col("p").isNull()).count() == 7
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
