@@ -1,9 +1,8 @@
 """Global dashboard slicer (B1) and filter choices (B2).
 
-Every predicate is a plain column comparison, so Catalyst pushes the year
-range down to the scan (``PushedFilters`` on the order-date derived
-columns is applied after the join; on a warehouse table partitioned by
-``order_year`` it becomes partition pruning).
+Every predicate is a plain column comparison.  The year range is applied by
+``sales(..., years=...)`` on the orders' own date column, so parquet
+statistics skip row groups; the other predicates stand on derived columns.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ ALL = Slice()
 
 def apply_slice(df: DataFrame, s: Slice = ALL) -> DataFrame:
     out = df
-    if s.years is not None:
+    if s.years is not None and "order_year" in df.columns:  # else ``sales(..., years=...)`` has applied them
         out = out.where(F.col("order_year").between(s.years[0], s.years[1]))
     if s.subcategories:
         out = out.where(F.col("subcategory").isin(list(s.subcategories)))
@@ -54,8 +53,6 @@ def apply_slice(df: DataFrame, s: Slice = ALL) -> DataFrame:
 
 def needed_columns(s: Slice) -> list[str]:
     cols = []
-    if s.years is not None:
-        cols.append("order_year")
     if s.subcategories:
         cols.append("subcategory")
     if s.states:

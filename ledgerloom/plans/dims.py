@@ -1,8 +1,8 @@
 """Customer, time and product dimensions (K1-K4) with RFM and CLV.
 
-* ``build_customers`` is one ``groupBy(customer_id)`` over the fact
-  (two-phase: map-side partial aggregates, so a customer holding a third
-  of all lines collapses before the shuffle), then per-customer column
+* ``build_customers`` groups the fact by customer (map-side partial
+  aggregates: a customer holding a third of all lines collapses before the
+  shuffle) for the columns asked for, then per-customer column
   expressions.  The only global quantities -- the snapshot date, the
   recency quintile edges and the frequency / monetary ranks -- come from
   one-row aggregates (broadcast) and the distributed ``global_row_number``;
@@ -19,15 +19,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom import config
 from ledgerloom.functions.exprs import flag, lookup, mavg, money, msum
-from ledgerloom.operators.ranking import exact_quantiles, global_row_number
-from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.operators.ranking import global_row_number
+from ledgerloom.session import stored
 from ledgerloom.sources.tables import catalog, sales
 
-CUSTOMER_INPUT = [
-    "customer_id", "order_date", "transaction_id", "customer_city", "customer_state", "customer_tier",
-    "customer_spending_tier", "customer_age_group", "is_prime_member", "final_amount_inr", "quantity",
-    "customer_rating", "return_status",
-]
 LAST_VALUE_COLUMNS = ["customer_city", "customer_state", "customer_tier", "customer_spending_tier",
                       "customer_age_group"]
 
@@ -62,44 +57,74 @@ def rank_quintile(rank: str, n: str) -> Column:
     )
 
 
-def customer_aggregates(tx: DataFrame) -> DataFrame:
-    key = F.struct("order_date", "transaction_id")
-    last = [F.max_by(c, F.when(F.col(c).isNotNull(), key)).alias(c) for c in LAST_VALUE_COLUMNS]
-    return tx.groupBy("customer_id").agg(
-        *last,
-        F.bool_or("is_prime_member").alias("is_prime_member"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
-        F.countDistinct("transaction_id").alias("frequency"),
-        msum("final_amount_inr").alias("monetary"),
-        F.sum("quantity").alias("units"),
-        mavg("final_amount_inr").alias("_aov"),
-        F.avg("customer_rating").alias("avg_rating"),
-        F.avg(flag(F.col("return_status") == "Returned")).alias("return_rate"),
-    )
-
 
-def build_customers(spark: SparkSession, sf_dir: str, tx: DataFrame | None = None) -> DataFrame:
-    """K1: one row per customer with last attributes, value metrics, RFM, CLV."""
-    tx = tx if tx is not None else sales(spark, sf_dir, CUSTOMER_INPUT)
-    agg = customer_aggregates(tx)
-    # one global row: snapshot = max(date)+1 and the customer count
-    glob = agg.agg(
-        F.date_add(F.max("last_order_date"), 1).alias("_snapshot"),
-        F.count("*").alias("_n"),
-    )
-    c = agg.crossJoin(F.broadcast(glob)).select(
-        "*",
-        F.datediff("_snapshot", "last_order_date").alias("recency_days"),
-        F.greatest(F.datediff("last_order_date", "first_order_date"), F.lit(0)).alias("tenure_days"),
-        F.year("first_order_date").alias("acquisition_year"),
-    )
-    # The per-customer table feeds the quantile edges and two global ranks
-    # (several plan branches).  Cut the lineage once: a reliable checkpoint
-    # in the shared ``spark.checkpoint.dir`` (survives executor loss), so
-    # the fact scan + join + aggregation run a single time.
-    ensure_checkpoint_dir(spark)
-    c = c.checkpoint(eager=True)
+#: Aggregates of a customer's lines: inputs and expression.
+_MEASURES = {
+    "is_prime_member": (["is_prime_member"], lambda: F.bool_or("is_prime_member")),
+    "first_order_date": (["order_date"], lambda: F.min("order_date")),
+    "last_order_date": (["order_date"], lambda: F.max("order_date")),
+    "monetary": (["final_amount_inr"], lambda: msum("final_amount_inr")),
+    "units": (["quantity"], lambda: F.sum("quantity")),
+    "avg_order_value": (["final_amount_inr"], lambda: mavg("final_amount_inr")),
+    "avg_rating": (["customer_rating"], lambda: F.avg("customer_rating")),
+    "return_rate": (["return_status"], lambda: F.avg(flag(F.col("return_status") == "Returned"))),
+}
+#: Columns that derive from others.
+_DERIVED = {
+    "recency_days": ["last_order_date"], "tenure_days": ["first_order_date", "last_order_date"],
+    "acquisition_year": ["first_order_date"], "r_score": ["recency_days"], "f_score": ["frequency"],
+    "m_score": ["monetary"], "rfm_segment": ["r_score", "f_score", "m_score"], "rfm_action": ["rfm_segment"],
+    "clv": ["avg_order_value", "frequency", "tenure_days", "monetary"],
+}
+CUSTOMER_COLUMNS = ["customer_id", *LAST_VALUE_COLUMNS, "is_prime_member", "first_order_date", "last_order_date",
+                    "frequency", "monetary", "units", "avg_order_value", "avg_rating", "return_rate", "recency_days",
+                    "tenure_days", "acquisition_year", "r_score", "f_score", "m_score", "rfm_segment", "rfm_action", "clv"]
+
+
+def _with_needs(columns: list[str]) -> set[str]:
+    todo, seen = list(columns), set()
+    while todo:
+        c = todo.pop()
+        if c not in seen:
+            seen.add(c)
+            todo += _DERIVED.get(c, [])
+    return seen
+
+
+def customer_base(spark: SparkSession, sf_dir: str, need: set[str]) -> DataFrame:
+    """One row per customer with the aggregates in ``need`` and no others.
+
+    Sums and dates, distinct transactions and last values are three narrow
+    aggregates, each over only the inputs it reads, so no shuffle carries the
+    last values' wide buffers for every transaction.  Their outputs are
+    partitioned by customer already and join without another exchange.
+    """
+    def grouped(inputs: list[str]):
+        return sales(spark, sf_dir, list(dict.fromkeys(["customer_id", *inputs]))).groupBy("customer_id")
+
+    parts = []
+    measures = [c for c in _MEASURES if c in need]
+    if measures:
+        parts.append(grouped([i for c in measures for i in _MEASURES[c][0]]).agg(
+            *[_MEASURES[c][1]().alias(c) for c in measures]))
+    if "frequency" in need:
+        parts.append(grouped(["transaction_id"]).agg(F.countDistinct("transaction_id").alias("frequency")))
+    last = [c for c in LAST_VALUE_COLUMNS if c in need]
+    if last:
+        parts.append(grouped(["order_date", "transaction_id", *last]).agg(
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("order_date", "transaction_id"))).alias(c) for c in last]))
+    out = parts[0] if parts else grouped([]).agg(F.count("*").alias("_lines")).drop("_lines")
+    for part in parts[1:]:
+        out = out.join(part, "customer_id")
+    return out
+
+
+def score_rfm(c: DataFrame) -> DataFrame:
+    """Add ``r_score``, ``f_score`` and ``m_score`` (J7) to customers with
+    ``recency_days``, ``frequency``, ``monetary`` and ``_n`` (their number)."""
+    # the frame feeds the quantile edges and two global ranks: stored once,
+    # so the fact is scanned, joined and aggregated a single time
+    c = stored(c, "customers")
     # r: value quintiles of recency, 5 = most recent (right-closed bins)
     # recency takes at most (#days in the calendar span) distinct values, so
     # the built-in exact percentile's value->count map is bounded.
@@ -107,26 +132,42 @@ def build_customers(spark: SparkSession, sf_dir: str, tx: DataFrame | None = Non
         *[F.col("_re")[i].alias(f"_re{i}") for i in range(4)])
     x = F.col("recency_days").cast("double")
     higher = sum((F.when(x > F.col(f"_re{i}"), 1).otherwise(0) for i in range(4)), F.lit(0))
-    c = c.crossJoin(F.broadcast(edges)).withColumn("r_score", (5 - higher).cast("int"))
-    # f, m: quintile of the rank (ties broken by customer_id), distributed rank
-    c = global_row_number(c, ["frequency", "customer_id"], "_frank")
-    c = global_row_number(c, ["monetary", "customer_id"], "_mrank")
-    c = c.withColumn("f_score", rank_quintile("_frank", "_n"))
-    c = c.withColumn("m_score", rank_quintile("_mrank", "_n"))
-    seg = rfm_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
-    opy = F.col("frequency") / F.greatest(F.col("tenure_days") / 365.25, F.lit(1 / 12))
-    clv = F.greatest(F.col("_aov") * opy * 3, F.col("monetary"))
-    return c.select(
-        "customer_id", *LAST_VALUE_COLUMNS, "is_prime_member", "first_order_date", "last_order_date",
-        "frequency", "monetary", "units",
-        F.col("_aov").alias("avg_order_value"),
-        "avg_rating",
-        "return_rate",
-        "recency_days", "tenure_days", "acquisition_year", "r_score", "f_score", "m_score",
-        seg.alias("rfm_segment"),
-        lookup(config.RFM_SEGMENT_MAP, seg).alias("rfm_action"),
-        money(clv).alias("clv"),
-    )
+    # f, m: quintile of the rank (ties broken by customer_id), distributed rank over two columns
+    f = global_row_number(c.select("frequency", "customer_id"), ["frequency", "customer_id"], "_frank").drop("frequency")
+    m = global_row_number(c.select("monetary", "customer_id"), ["monetary", "customer_id"], "_mrank").drop("monetary")
+    return c.join(f, "customer_id").join(m, "customer_id").crossJoin(F.broadcast(edges)).withColumns({
+        "r_score": (5 - higher).cast("int"), "f_score": rank_quintile("_frank", "_n"),
+        "m_score": rank_quintile("_mrank", "_n")}).drop("_frank", "_mrank", *[f"_re{i}" for i in range(4)])
+
+
+def build_customers(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """K1: one row per customer: last attributes, value metrics, RFM, CLV.
+
+    ``columns`` (all by default, besides ``customer_id``) decides what is
+    read, joined and aggregated; ranks are taken, and the aggregate stored,
+    only where a score is asked for.
+    """
+    wanted = CUSTOMER_COLUMNS if columns is None else list(dict.fromkeys(["customer_id", *columns]))
+    need = _with_needs(wanted)
+    scored = bool(need & {"r_score", "f_score", "m_score"})
+    if scored:
+        need |= _with_needs(["rfm_action"])
+    c = customer_base(spark, sf_dir, need)
+    if "recency_days" in need:
+        # one global row: snapshot = max(date)+1 and the customer count
+        glob = c.agg(F.date_add(F.max("last_order_date"), 1).alias("_snapshot"), F.count("*").alias("_n"))
+        c = c.crossJoin(F.broadcast(glob)).withColumn("recency_days", F.datediff("_snapshot", "last_order_date"))
+    if "tenure_days" in need:
+        c = c.withColumn("tenure_days", F.greatest(F.datediff("last_order_date", "first_order_date"), F.lit(0)))
+    if "acquisition_year" in need:
+        c = c.withColumn("acquisition_year", F.year("first_order_date"))
+    if "clv" in need:
+        per_year = F.col("frequency") / F.greatest(F.col("tenure_days") / 365.25, F.lit(1 / 12))
+        c = c.withColumn("clv", money(F.greatest(F.col("avg_order_value") * per_year * 3, F.col("monetary"))))
+    if scored:
+        seg = rfm_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
+        c = score_rfm(c).withColumn("rfm_segment", seg).withColumn("rfm_action", lookup(config.RFM_SEGMENT_MAP, F.col("rfm_segment")))
+    return c.select(*wanted)
 
 
 def build_time_dimension(spark: SparkSession, sf_dir: str, tx: DataFrame | None = None) -> DataFrame:
@@ -187,7 +228,7 @@ def build_products(spark: SparkSession, sf_dir: str, tx: DataFrame | None = None
 
 def dimension_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: long-form summary (metric, key, value) of the three dimensions."""
-    cust = build_customers(spark, sf_dir)
+    cust = build_customers(spark, sf_dir, ["rfm_segment"])
     seg = cust.groupBy("rfm_segment").agg(F.count("*").alias("value")).select(
         F.lit("rfm_segment").alias("metric"), F.col("rfm_segment").alias("key"), F.col("value").cast("long"))
     n_c = cust.agg(F.count("*").alias("value")).select(F.lit("customers").alias("metric"),
@@ -279,5 +320,5 @@ def rfm_segment_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RFM segment customers, revenue, average CLV (SQL over the customers view)."""
     from ledgerloom.sources.warehouse import register_views, run_sql
 
-    register_views(spark, sf_dir, customers=True)
+    register_views(spark, sf_dir, customers=["rfm_segment", "monetary", "clv"])
     return run_sql(spark, L5_SQL)

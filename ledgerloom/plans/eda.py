@@ -126,7 +126,7 @@ SELECT rfm_segment, count(*) AS customers, {sql_msum("monetary")} AS revenue
 FROM customers GROUP BY rfm_segment""", CUSTOMERS_CTE))
 def l09_segments(spark: SparkSession, d: str) -> DataFrame:
     """q3: customers and revenue per RFM segment."""
-    return build_customers(spark, d).groupBy("rfm_segment").agg(
+    return build_customers(spark, d, ["rfm_segment", "monetary"]).groupBy("rfm_segment").agg(
         F.count("*").alias("customers"), msum("monetary").alias("revenue"))
 
 
@@ -138,7 +138,7 @@ def l09_sample(spark: SparkSession, d: str, n: int = 25000, seed: int = 42) -> D
     keeps n), so the sample is the same on any cluster and never needs
     the full customer set in one place.  The limit *is* the feature here.
     """
-    c = build_customers(spark, d)
+    c = build_customers(spark, d, ["recency_days", "frequency", "monetary", "rfm_segment"])
     return c.orderBy(F.xxhash64("customer_id", F.lit(seed)), "customer_id").limit(n).select(
         "customer_id", "recency_days", "frequency", "monetary", F.log1p("monetary").alias("log_monetary"),
         "rfm_segment")
@@ -531,7 +531,7 @@ def l19_first_last(spark: SparkSession, d: str) -> DataFrame:
 SELECT quantile_cont(clv, 0.5) AS median_clv, {sql_mavg("clv")} AS mean_clv FROM customers""", CUSTOMERS_CTE))
 def l20_summary(spark: SparkSession, d: str) -> DataFrame:
     """q14: median and mean CLV."""
-    c = build_customers(spark, d)
+    c = build_customers(spark, d, ["clv"])
     med = exact_quantiles(c, "clv", [0.5], name="_m")
     return c.agg(mavg("clv").alias("mean_clv")).crossJoin(med).select(
         F.col("_m0").alias("median_clv"), "mean_clv")
@@ -541,7 +541,7 @@ def l20_summary(spark: SparkSession, d: str) -> DataFrame:
 SELECT rfm_segment, quantile_cont(clv, 0.5) AS median_clv FROM customers GROUP BY 1""", CUSTOMERS_CTE))
 def l20_by_segment(spark: SparkSession, d: str) -> DataFrame:
     """q14: median CLV per RFM segment."""
-    return exact_quantiles(build_customers(spark, d), "clv", [0.5], ["rfm_segment"], "_m").withColumnRenamed(
+    return exact_quantiles(build_customers(spark, d, ["clv", "rfm_segment"]), "clv", [0.5], ["rfm_segment"], "_m").withColumnRenamed(
         "_m0", "median_clv")
 
 
@@ -549,7 +549,7 @@ def l20_by_segment(spark: SparkSession, d: str) -> DataFrame:
 SELECT acquisition_year, quantile_cont(clv, 0.5) AS median_clv FROM customers GROUP BY 1""", CUSTOMERS_CTE))
 def l20_by_acq(spark: SparkSession, d: str) -> DataFrame:
     """q14: median CLV per acquisition year."""
-    return exact_quantiles(build_customers(spark, d), "clv", [0.5], ["acquisition_year"], "_m").withColumnRenamed(
+    return exact_quantiles(build_customers(spark, d, ["clv", "acquisition_year"]), "clv", [0.5], ["acquisition_year"], "_m").withColumnRenamed(
         "_m0", "median_clv")
 
 

@@ -197,8 +197,11 @@ def _table_of(col: str) -> str:
     return _PREFIX_TABLE[col[:2]]
 
 
-def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """The enriched order-line fact with only ``columns`` (default: all)."""
+def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None,
+          years: tuple[int, int] | None = None) -> DataFrame:
+    """The enriched order-line fact with only ``columns`` (default: all), of
+    orders in ``years`` (a range on the date column itself, which parquet
+    statistics answer)."""
     cols = list(columns) if columns is not None else list(SALES_COLUMNS)
     unknown = [c for c in cols if c not in _SALES]
     if unknown:
@@ -211,6 +214,8 @@ def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
     need_part = "part" in src
     need_geo = "nation" in src or "region" in src
     need_cust = "customer" in src or need_geo
+    if years is not None:
+        src.setdefault("orders", set()).add("o_orderdate")
     need_orders = "orders" in src or need_cust
     lines = src.setdefault("lineitem", set())
     if need_orders or not lines:
@@ -230,7 +235,12 @@ def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
             src["region"].add("r_regionkey")
 
     def scan(name: str) -> DataFrame:
-        return read_table(spark, sf_dir, name).select(*sorted(src[name]))
+        table = read_table(spark, sf_dir, name)
+        if name == "orders" and years is not None:
+            kind = table.schema["o_orderdate"].dataType
+            table = table.where((F.col("o_orderdate") >= F.lit(f"{years[0]:04d}-01-01").cast(kind))
+                                & (F.col("o_orderdate") < F.lit(f"{years[1] + 1:04d}-01-01").cast(kind)))
+        return table.select(*sorted(src[name]))
 
     fact = scan("lineitem")
     if need_orders:

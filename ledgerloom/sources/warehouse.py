@@ -17,7 +17,7 @@ from ledgerloom.sources.tables import catalog, sales
 
 
 def register_views(spark: SparkSession, sf_dir: str, transactions: Iterable[str] | None = None,
-                   products: bool = False, customers: bool = False, time_dimension: bool = False) -> None:
+                   products: bool = False, customers: bool | list[str] = False, time_dimension: bool = False) -> None:
     if transactions is not None:
         sales(spark, sf_dir, transactions).createOrReplaceTempView("transactions")
     if products:
@@ -25,7 +25,7 @@ def register_views(spark: SparkSession, sf_dir: str, transactions: Iterable[str]
     if customers:
         from ledgerloom.plans.dims import build_customers
 
-        build_customers(spark, sf_dir).createOrReplaceTempView("customers")
+        build_customers(spark, sf_dir, None if customers is True else customers).createOrReplaceTempView("customers")
     if time_dimension:
         from ledgerloom.plans.dims import build_time_dimension
 
