@@ -66,12 +66,13 @@ def null_if_token(c: str | Column) -> Column:
     return F.when(~is_null_token(c), col(c))
 
 
-def band(c: str | Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Right-closed fixed bins ``(e[i], e[i+1]]`` -> label; outside -> null."""
+def band(c: str | Column, edges: Sequence[float], labels: Sequence[str], open_end: bool = False) -> Column:
+    """Right-closed fixed bins ``(e[i], e[i+1]]`` -> label; outside -> null
+    (I6).  ``open_end``: the last bin has no upper edge, so no large value is lost."""
     c = col(c)
     expr = None
     for lo, hi, label in zip(edges[:-1], edges[1:], labels):
-        cond = (c > lo) & (c <= hi)
+        cond = c > lo if open_end and hi == edges[-1] else (c > lo) & (c <= hi)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr
 

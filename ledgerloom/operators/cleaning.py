@@ -11,7 +11,7 @@ the original order (C1, C2+C9, C3, C4, C5, C6, C7, C8, C10, C11/C12).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import config
@@ -42,42 +42,61 @@ def _date_class(raw: Column) -> Column:
             .when(raw.rlike(DASH_RE), "dash").when(raw.rlike(DASH_YY_RE), "dash_yy"))
 
 
+#: Named and compact layouts of the fallback, each behind the shape it needs.
+NAMED_DATE_FORMATS = (
+    (r"^\d{1,2} [A-Za-z]{3} ", "d MMM yyyy"), (r"^\d{1,2} [A-Za-z]{4,} ", "d MMMM yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-", "d-MMM-yyyy"), (r"^[A-Za-z]{3} \d{1,2}, ", "MMM d, yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), (r"^\d{8}$", "yyyyMMdd"),
+)
+
+
+def _fallback_date(raw: Column) -> Column:
+    """Day-first reading of any text: three numbers with the day first, or the
+    month first where the second number can't be a month; else a named or
+    compact layout."""
+    parts = F.split(raw, "[-/.]")
+    a, b, c = (F.get(parts, i).try_cast("int") for i in range(3))
+    year = F.when(c < 69, c + 2000).when(c < 100, c + 1900).otherwise(c)
+    numeric = F.when(b <= 12, _ymd(year, b, a)).when(a <= 12, _ymd(year, a, b))
+    named = F.coalesce(*[F.when(raw.rlike(shape), F.try_to_date(raw, f)) for shape, f in NAMED_DATE_FORMATS])
+    return F.when(raw.rlike(r"^\d{1,2}[-/.]\d{1,2}[-/.](?:\d{2}|\d{4})$"), numeric).otherwise(named)
+
+
+def _slash_date(a: Column, b: Column, c: Column, month: Column, year: Column) -> Column:
+    """Date of ``a/b/c``.  A part above 12 can only be the day; otherwise the
+    month hint says which part it names, and day-first is the default.  The
+    year hint wins over the written year."""
+    b_names_month = (b <= 12) & ((a > 12) | F.coalesce(month == b, F.lit(False)))
+    a_names_month = (a <= 12) & ((b > 12) | F.coalesce(month == a, F.lit(False)))
+    month_first = a_names_month & ~b_names_month
+    return _ymd(F.coalesce(year, c), F.when(month_first, a).otherwise(b), F.when(month_first, b).otherwise(a))
+
+
 def parse_order_date(raw_col: str = "order_date", month_hint: str = "order_month",
                      year_hint: str = "order_year") -> Column:
     """ISO; D-M-Y dash; 2-digit-year dash (69-99 -> 19xx); slash dates
-    disambiguated with the month / year hints; leftovers tried day-first."""
+    disambiguated with the month / year hints.  Any text that its class does
+    not parse, or that has none, goes to the day-first fallback."""
     raw = F.trim(F.col(raw_col))
-    iso = F.try_to_date(raw, "yyyy-MM-dd")
-    p = F.split(raw, "[-/]")
-    a, b, c = p.getItem(0).try_cast("int"), p.getItem(1).try_cast("int"), p.getItem(2).try_cast("int")
-    dash = _ymd(c, b, a)
-    yy = F.when(c < 69, c + 2000).otherwise(c + 1900)
-    dash_yy = _ymd(yy, b, a)
-    mh = _num(F.col(month_hint)) if month_hint else F.lit(None)
-    yh = _num(F.col(year_hint)).cast("int") if year_hint else F.lit(None)
-    year = F.coalesce(yh, c)
-    use_dmy = ((a > 12) & (b <= 12)) | ((a <= 12) & (b <= 12) & (mh == b))
-    use_mdy = ((b > 12) & (a <= 12)) | ((a <= 12) & (b <= 12) & (mh == a) & (mh != b))
-    day = F.when(use_dmy, a).when(use_mdy, b).otherwise(a)
-    month = F.when(use_dmy, b).when(use_mdy, a).otherwise(b)
-    slash = _ymd(year, month, day)
+    parts = F.split(raw, "[-/]")
+    a, b, c = (F.get(parts, i).try_cast("int") for i in range(3))
+    month = _num(F.col(month_hint)) if month_hint else F.lit(None)
+    year = _num(F.col(year_hint)).cast("int") if year_hint else F.lit(None).cast("int")
     cls = _date_class(raw)
-    parsed = (F.when(cls == "iso", iso).when(cls == "slash", slash).when(cls == "dash", dash)
-              .when(cls == "dash_yy", dash_yy))
-    # leftovers: a documented day-first format list
-    leftover = F.coalesce(*[F.try_to_date(raw, f) for f in
-                            ("d.M.yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy/M/d", "yyyyMMdd", "d-MMM-yyyy")])
-    return F.when(cls.isNotNull(), parsed).when(~is_null_token(raw), leftover)
+    own = (F.when(cls == "iso", F.try_to_date(raw, "yyyy-MM-dd"))
+           .when(cls == "slash", _slash_date(a, b, c, month, year))
+           .when(cls == "dash", _ymd(c, b, a))
+           .when(cls == "dash_yy", _ymd(F.when(c < 69, c + 2000).otherwise(c + 1900), b, a)))
+    return F.coalesce(own, F.when(~is_null_token(raw), _fallback_date(raw)))
 
 
 def clean_order_dates(df: DataFrame) -> DataFrame:
     """C1 with the rebuild of year / month / quarter / day; null dates dropped."""
-    out = df.withColumn("_date_class", _date_class(F.trim(F.col("order_date"))))
-    out = out.withColumn("order_date", parse_order_date()).where(F.col("order_date").isNotNull())
+    out = df.withColumn("order_date", parse_order_date()).where(F.col("order_date").isNotNull())
     return out.withColumns({
         "order_year": F.year("order_date"), "order_month": F.month("order_date"),
         "order_quarter": F.quarter("order_date"), "order_day": F.dayofmonth("order_date"),
-    }).drop("_date_class")
+    })
 
 
 def parse_price(c: str | Column) -> Column:
@@ -204,18 +223,18 @@ DUP_KEY = ["customer_id", "product_id", "order_date", "final_amount_inr"]
 
 
 def handle_duplicates(df: DataFrame, order: tuple[str, ...] = ("source_file", "transaction_id")) -> DataFrame:
-    """Drop ids ending in _DUP, keep the first row per business key in
-    (source file, transaction id) order, then drop exact duplicate rows.
+    """Drop ids ending in _DUP, then keep the first row per business key in
+    (source file, transaction id) order; ties go to the smallest whole row.
 
-    keep-first is a ``min_by`` per key (two-phase aggregate of the key's
-    winning order tuple) joined back -- not a window, so a key holding a
-    third of all rows is reduced map-side instead of sorted in one task.
+    One two-phase aggregate: each key's winner is the minimum of (order,
+    whole row), so a key that holds a third of all rows is reduced map-side,
+    nothing is joined back, and one row a key is left.  A null id is not a
+    clone; a null key part is a value like others.
     """
-    base = df.where(~F.col("transaction_id").endswith("_DUP"))
-    first = base.groupBy(*DUP_KEY).agg(F.min(F.struct(*order)).alias("_first"))
-    kept = base.join(first, [base[k].eqNullSafe(first[k]) for k in DUP_KEY]).where(
-        F.struct(*[base[o] for o in order]) == F.col("_first")).select(base["*"])
-    return kept.dropDuplicates()
+    base = df.where(~F.coalesce(F.col("transaction_id").endswith("_DUP"), F.lit(False)))
+    rank = F.struct(*[F.col(o) for o in order if o in df.columns], *[F.col(c) for c in df.columns])
+    first = base.groupBy(*DUP_KEY).agg(F.min(F.struct(rank.alias("rank"), F.struct(*df.columns).alias("row"))).alias("w"))
+    return first.select("w.row.*")
 
 
 def standardise_payment(c: str | Column) -> Column:

@@ -56,11 +56,17 @@ def dirty_sales(spark: SparkSession, d: str, dup_every: int = 50) -> DataFrame:
     s = sales(spark, d, RAW_INPUT)
     sel = F.col("order_day") + F.col("order_month")
     od = F.col("order_date")
-    date_txt = (F.when(sel % 5 == 0, F.date_format(od, "yyyy-MM-dd"))
-                .when(sel % 5 == 1, F.date_format(od, "dd-MM-yyyy"))
-                .when(sel % 5 == 2, F.date_format(od, "dd/MM/yyyy"))
-                .when(sel % 5 == 3, F.date_format(od, "MM/dd/yyyy"))
-                .otherwise(F.date_format(od, "dd-MM-yy")))
+    # the class of each form is in DATE_CLASS_SQL; forms 5 and 6 need the fallback
+    late = F.col("order_day") > 12
+    date_txt = (F.when(sel % 7 == 0, F.date_format(od, "yyyy-MM-dd"))
+                .when(sel % 7 == 1, F.date_format(od, "dd-MM-yyyy"))
+                .when(sel % 7 == 2, F.date_format(od, "dd/MM/yyyy"))
+                .when(sel % 7 == 3, F.date_format(od, "MM/dd/yyyy"))
+                .when(sel % 7 == 4, F.date_format(od, "dd-MM-yy"))
+                .when(sel % 7 == 5, F.date_format(od, "dd MMM yyyy"))
+                .otherwise(F.when(late, F.date_format(od, "MM-dd-yyyy")).otherwise(F.date_format(od, "dd.MM.yyyy"))))
+    # dates that read the same either way, or whose day is above 12, need no hint
+    hinted = ~((sel % 7).isin(2, 3) & (late | (F.col("order_day") == F.col("order_month"))))
     p = F.col("original_price_inr")
     k7 = F.col("order_day") % 7
     price_txt = (F.when(k7 == 0, _money_text(p))
@@ -98,7 +104,7 @@ def dirty_sales(spark: SparkSession, d: str, dup_every: int = 50) -> DataFrame:
         "transaction_id",
         date_txt.alias("order_date"),
         F.col("order_year").cast("string").alias("order_year"),
-        F.col("order_month").cast("string").alias("order_month"),
+        F.when(hinted, F.col("order_month").cast("string")).otherwise("").alias("order_month"),
         F.col("order_quarter").cast("string").alias("order_quarter"),
         F.col("customer_id").cast("string").alias("customer_id"),
         F.col("product_id").cast("string").alias("product_id"),
@@ -131,22 +137,30 @@ def dirty_sales(spark: SparkSession, d: str, dup_every: int = 50) -> DataFrame:
         F.col("product_weight_kg").cast("string").alias("product_weight_kg"),
         _bool_text("is_prime_eligible").alias("is_prime_eligible"),
         F.format_string("%.1f", F.col("product_rating")).alias("product_rating"),
-        F.lit("fixture.csv").alias("source_file"),
+        F.concat(F.lit("fixture_"), (F.col("order_day") % 2).cast("string"), F.lit(".csv")).alias("source_file"),
     )
-    dups = raw.where((F.col("customer_id").cast("long") % dup_every) == 0).withColumn(
-        "transaction_id", F.concat("transaction_id", F.lit("_DUP")))
-    return raw.unionByName(dups)
+    clones = raw.where((F.col("customer_id").cast("long") % dup_every) == 0)
+    dups = clones.withColumn("transaction_id", F.concat("transaction_id", F.lit("_DUP")))
+    # the same order again in a later file, under an id that sorts before its own
+    again = clones.withColumns({"transaction_id": F.concat(F.lit("!"), "transaction_id"), "source_file": F.lit("late.csv")})
+    return raw.unionByName(dups).unionByName(again)
+
+
+DATE_CLASS_SQL = """CASE (order_day + order_month) % 7 WHEN 0 THEN 'iso' WHEN 1 THEN 'dash' WHEN 2 THEN 'slash'
+  WHEN 3 THEN 'slash' WHEN 4 THEN 'dash_yy' WHEN 5 THEN 'other' ELSE CASE WHEN order_day > 12 THEN 'dash' ELSE 'other' END END"""
+#: Rows of the dirty fixture: each line, and two more for every customer that is cloned.
+COPIES_SQL = "(CASE WHEN customer_id % 50 = 0 THEN 3 ELSE 1 END)"
 
 
 def _raw(spark, d):
-    return dirty_sales(spark, d).where(~F.col("transaction_id").endswith("_DUP"))
+    return dirty_sales(spark, d).where(~F.col("transaction_id").rlike("^!|_DUP$"))
 
 
 # ------------------------------------------------------------------ C1
 @register("C01_dates_roundtrip", with_sales(
     "SELECT transaction_id, order_date, order_year, order_month, order_quarter, order_day FROM sales"))
 def c01(spark: SparkSession, d: str) -> DataFrame:
-    """Five date forms (ISO, d-m-Y, d/m/Y, m/d/Y, d-m-y) back to the date."""
+    """Seven date forms back to the date, two of them by the fallback, some without a hint."""
     out = C.clean_order_dates(_raw(spark, d).select("transaction_id", "order_date", "order_month", "order_year"))
     return out.select("transaction_id", "order_date", "order_year", "order_month", "order_quarter", "order_day")
 

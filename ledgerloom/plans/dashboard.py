@@ -8,7 +8,7 @@ global (customers are scored on all history, not re-scored per slice);
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import config
@@ -118,6 +118,15 @@ def l28_top_sub(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     return top_k(by, 1, "revenue", ["subcategory"]).withColumnRenamed("subcategory", "top_subcategory")
 
 
+@register("L28_exec_subcategories", with_sales(f"""
+SELECT subcategory, {MS} AS revenue, CAST(row_number() OVER (ORDER BY {MS} DESC, subcategory) AS INTEGER) AS rank
+FROM sales GROUP BY 1"""))
+def l28_subcategories(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q1: subcategories ranked by revenue."""
+    by = view(spark, d, ["subcategory", AMT], s).groupBy("subcategory").agg(msum(AMT).alias("revenue"))
+    return by.withColumn("rank", F.row_number().over(Window.orderBy(F.col("revenue").desc(), "subcategory")))
+
+
 # ------------------------------------------------------------------ L29 Q2
 @register("L29_month_monitor", with_sales(f"""
 mx AS (SELECT max(order_date) AS d FROM sales),
@@ -314,6 +323,14 @@ def l34_drill(spark: SparkSession, d: str, subcategory: str | None = None, s: Sl
 
 
 # ------------------------------------------------------------------ L35 Q8
+@register("L35_state_tier", with_sales(f"""
+SELECT customer_state, customer_tier, {MS} AS revenue, count(*) AS orders FROM sales GROUP BY 1, 2"""))
+def l35_state_tier(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q8: revenue and orders by state x tier."""
+    return view(spark, d, ["customer_state", "customer_tier", AMT], s).groupBy("customer_state", "customer_tier").agg(
+        msum(AMT).alias("revenue"), F.count("*").alias("orders"))
+
+
 _LAT_MAP = {c: v[0] for c, v in config.CITY_COORDS.items()}
 _LON_MAP = {c: v[1] for c, v in config.CITY_COORDS.items()}
 _LAT = "CASE customer_city " + " ".join(f"WHEN '{c}' THEN {v}" for c, v in _LAT_MAP.items()) + " END"
@@ -357,7 +374,7 @@ _SQL_DISC_BAND = ("CASE WHEN discount_percent > -0.01 AND discount_percent <= 0
                   "WHEN discount_percent > 10 AND discount_percent <= 20 THEN '10-20' "
                   "WHEN discount_percent > 20 AND discount_percent <= 30 THEN '20-30' "
                   "WHEN discount_percent > 30 AND discount_percent <= 50 THEN '30-50' "
-                  "WHEN discount_percent > 50 AND discount_percent <= 80 THEN '50+' END")
+                  "WHEN discount_percent > 50 THEN '50+' END")
 
 
 @register("L37_discount_elasticity", with_sales(f"""
@@ -366,7 +383,7 @@ SELECT subcategory, {_SQL_DISC_BAND} AS disc_bin, CAST(sum(quantity) AS BIGINT)
 def l37_elasticity(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     """Q10: units, revenue, AOV by subcategory x discount band."""
     t = view(spark, d, ["subcategory", "discount_percent", "quantity", AMT], s).withColumn(
-        "disc_bin", band("discount_percent", config.DISCOUNT_BAND_EDGES, config.DISCOUNT_BAND_LABELS))
+        "disc_bin", band("discount_percent", config.DISCOUNT_BAND_EDGES, config.DISCOUNT_BAND_LABELS, open_end=True))
     return t.where(F.col("disc_bin").isNotNull()).groupBy("subcategory", "disc_bin").agg(
         F.sum("quantity").alias("units"), msum(AMT).alias("revenue"), mavg(AMT).alias("aov"))
 
@@ -422,12 +439,12 @@ def l38_top15(spark: SparkSession, d: str, segment: str | None = None, s: Slice
 o AS (SELECT customer_id, count(*) AS n FROM sales GROUP BY 1),
 b AS (SELECT CASE WHEN n > 0 AND n <= 1 THEN '1 order' WHEN n > 1 AND n <= 2 THEN '2'
                   WHEN n > 2 AND n <= 4 THEN '3-4' WHEN n > 4 AND n <= 8 THEN '5-8'
-                  WHEN n > 8 AND n <= 10000 THEN '9+' END AS band FROM o)
+                  WHEN n > 8 THEN '9+' END AS band FROM o)
 SELECT band, count(*) AS customers FROM b WHERE band IS NOT NULL GROUP BY 1"""))
 def l39_bands(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     """Q12: customers by order-count band."""
     o = view(spark, d, ["customer_id"], s).groupBy("customer_id").agg(F.count("*").alias("n"))
-    b = o.select(band("n", config.FREQUENCY_BAND_EDGES, config.FREQUENCY_BAND_LABELS).alias("band"))
+    b = o.select(band("n", config.FREQUENCY_BAND_EDGES, config.FREQUENCY_BAND_LABELS, open_end=True).alias("band"))
     return b.where(F.col("band").isNotNull()).groupBy("band").agg(F.count("*").alias("customers"))
 
 
@@ -541,6 +558,12 @@ def l43_rank(spark: SparkSession, d: str, metric: str = "revenue", s: Slice = AL
     return top_k(_products(spark, d, s), 25, metric, ["product_id"], ascending=(metric == "return_rate"))
 
 
+@register("L43_product_rank_by_return_rate", with_sales(_SQL_PROD + " SELECT * FROM prod ORDER BY return_rate ASC NULLS LAST, product_id LIMIT 25"))
+def l43_returns(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q16: the 25 products with the least returns."""
+    return l43_rank(spark, d, "return_rate", s)
+
+
 # ------------------------------------------------------------------ L44 Q17
 @register("L44_top8_brand_share", with_sales(f"""
 top AS (SELECT brand FROM sales GROUP BY brand ORDER BY {MS} DESC, brand LIMIT 8),
@@ -861,9 +884,9 @@ def _command_centre(spark, d, s=ALL):
     cc = t.agg(msum(AMT).alias("revenue"), F.countDistinct("customer_id").alias("customers"),
                mavg(AMT).alias("aov"), F.avg(flag(F.col("return_status") == "Returned")).alias("return_rate"),
                F.avg("delivery_days").alias("avg_delivery_days"), F.max("order_year").alias("_latest"))
-    y = _yearly(spark, d, s).select("order_year", "revenue")
-    cur = y.select(F.col("order_year").alias("_cy"), F.col("revenue").alias("_cur"))
-    prev = y.select(F.col("order_year").alias("_py"), F.col("revenue").alias("_prev"))
+    y = _yearly(spark, d, s).select("order_year", "revenue", "customers", "aov")
+    cur, prev = (y.select(F.col("order_year").alias(f"_{k}y"), F.col("revenue").alias(n), F.col("customers").alias(f"{n}_customers"),
+                          F.col("aov").alias(f"{n}_aov")) for k, n in (("c", "_cur"), ("p", "_prev")))
     snap = view(spark, d, ["order_date"], s).agg(F.max("order_date").alias("_snap"))
     churn = _active_customers(spark, d, ["last_order_date"], s).crossJoin(F.broadcast(snap)).agg(
         F.avg(flag(F.col("last_order_date") < F.date_sub("_snap", config.CHURN_DAYS))).alias("churn_share"))
@@ -872,14 +895,16 @@ def _command_centre(spark, d, s=ALL):
 
 
 @register("L57_kpis", with_sales(_SQL_CC + """
-SELECT cc.*, cur.revenue / NULLIF(prev.revenue, 0) - 1 AS revenue_yoy, churn.churn_share
+SELECT cc.*, cur.revenue / NULLIF(prev.revenue, 0) - 1 AS revenue_yoy,
+       cur.customers / NULLIF(prev.customers, 0) - 1 AS customers_yoy, cur.aov / NULLIF(prev.aov, 0) - 1 AS aov_yoy,
+       churn.churn_share
 FROM cc LEFT JOIN cur ON TRUE LEFT JOIN prev ON TRUE, churn""", CUSTOMERS_CTE))
 def l57_kpis(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     """Q30: command-centre KPIs with revenue YoY and churn share."""
     c = _command_centre(spark, d, s)
     return c.select("revenue", "customers", "aov", "return_rate", "avg_delivery_days",
-                    (F.try_divide(F.col("_cur"), F.when(F.col("_prev") != 0, F.col("_prev"))) - 1).alias("revenue_yoy"),
-                    "churn_share")
+                    _yoy("_cur", "_prev").alias("revenue_yoy"), _yoy("_cur_customers", "_prev_customers").alias("customers_yoy"),
+                    _yoy("_cur_aov", "_prev_aov").alias("aov_yoy"), "churn_share")
 
 
 @register("L57_alerts", with_sales(_SQL_CC + f"""

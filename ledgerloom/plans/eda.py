@@ -130,8 +130,10 @@ def l09_segments(spark: SparkSession, d: str) -> DataFrame:
         F.count("*").alias("customers"), msum("monetary").alias("revenue"))
 
 
-@register("L09_rfm_sample")
-def l09_sample(spark: SparkSession, d: str, n: int = 25000, seed: int = 42) -> DataFrame:
+@register("L09_rfm_sample", with_sales("""
+SELECT customer_id, recency_days, frequency, monetary, round(ln(1 + monetary), 6) AS log_monetary, rfm_segment
+FROM customers ORDER BY md5('42-' || CAST(customer_id AS VARCHAR)), customer_id LIMIT 100""", CUSTOMERS_CTE))
+def l09_sample(spark: SparkSession, d: str, n: int = 100, seed: int = 42) -> DataFrame:
     """q3 scatter sample (G5): at most ``n`` customers, deterministic.
 
     A seeded hash order + limit is a distributed top-n (each partition
@@ -139,8 +141,8 @@ def l09_sample(spark: SparkSession, d: str, n: int = 25000, seed: int = 42) -> D
     the full customer set in one place.  The limit *is* the feature here.
     """
     c = build_customers(spark, d, ["recency_days", "frequency", "monetary", "rfm_segment"])
-    return c.orderBy(F.xxhash64("customer_id", F.lit(seed)), "customer_id").limit(n).select(
-        "customer_id", "recency_days", "frequency", "monetary", F.log1p("monetary").alias("log_monetary"),
+    return c.orderBy(F.md5(F.concat(F.lit(f"{seed}-"), F.col("customer_id").cast("string")).cast("binary")), "customer_id").limit(n).select(
+        "customer_id", "recency_days", "frequency", "monetary", F.round(F.log1p("monetary"), 6).alias("log_monetary"),
         "rfm_segment")
 
 
@@ -575,11 +577,11 @@ _SQL_DISC_BAND = ("CASE WHEN discount_percent > -0.01 AND discount_percent <= 0
                   "WHEN discount_percent > 10 AND discount_percent <= 20 THEN '10-20' "
                   "WHEN discount_percent > 20 AND discount_percent <= 30 THEN '20-30' "
                   "WHEN discount_percent > 30 AND discount_percent <= 50 THEN '30-50' "
-                  "WHEN discount_percent > 50 AND discount_percent <= 80 THEN '50+' END")
+                  "WHEN discount_percent > 50 THEN '50+' END")
 
 
 def _disc_band():
-    return band("discount_percent", config.DISCOUNT_BAND_EDGES, config.DISCOUNT_BAND_LABELS)
+    return band("discount_percent", config.DISCOUNT_BAND_EDGES, config.DISCOUNT_BAND_LABELS, open_end=True)
 
 
 @register("L21_discount_bands", with_sales(f"""
@@ -709,6 +711,23 @@ def l23_transitions(spark: SparkSession, d: str) -> DataFrame:
     return transitions(t, "customer_id", ["order_date", "transaction_id"], "subcategory")
 
 
+@register("L23_top_transitions", with_sales("""
+seq AS (SELECT subcategory AS to_state,
+               lag(subcategory) OVER (PARTITION BY customer_id ORDER BY order_date, transaction_id) AS from_state
+        FROM sales)
+SELECT from_state, to_state, count(*) AS transitions FROM seq WHERE from_state IS NOT NULL
+GROUP BY 1, 2 ORDER BY transitions DESC, from_state, to_state LIMIT 8"""))
+def l23_top(spark: SparkSession, d: str) -> DataFrame:
+    """q17: the eight most frequent transitions."""
+    return top_k(l23_transitions(spark, d).select("from_state", "to_state", "transitions"), 8, "transitions", ["from_state", "to_state"])
+
+
+@register("L21_mean_discount", with_sales("SELECT avg(discount_percent) AS mean_discount, count(*) AS orders FROM sales"))
+def l21_mean(spark: SparkSession, d: str) -> DataFrame:
+    """q15: overall mean discount."""
+    return tx(spark, d, "discount_percent").agg(F.avg("discount_percent").alias("mean_discount"), F.count("*").alias("orders"))
+
+
 # ------------------------------------------------------------------ L24 q18
 @register("L24_revenue_by_product_age", with_sales(f"""
 SELECT s.order_year - p.launch_year AS age, {MA} AS avg_revenue

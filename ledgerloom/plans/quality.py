@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import cleaning as C
 from ledgerloom.operators import quality as Q
+from ledgerloom.plans.cleaning import COPIES_SQL, DATE_CLASS_SQL, dirty_sales
 from ledgerloom.plans.oracle_sql import with_sales
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.tables import sales
@@ -23,19 +24,18 @@ def k05(spark: SparkSession, d: str) -> DataFrame:
     return Q.null_profile(sales(spark, d, PROFILE_COLS), PROFILE_COLS)
 
 
-@register("K06_date_format_profile")
+@register("K06_date_format_profile", with_sales(f"""
+SELECT {DATE_CLASS_SQL} AS format_class, CAST(sum({COPIES_SQL}) AS BIGINT) AS rows FROM sales GROUP BY 1"""))
 def k06_dates(spark: SparkSession, d: str) -> DataFrame:
     """K6: date text classes of the raw (dirty) order dates."""
-    from ledgerloom.plans.cleaning import dirty_sales
-
     return Q.date_format_profile(dirty_sales(spark, d))
 
 
-@register("K06_price_format_profile")
+@register("K06_price_format_profile", with_sales(f"""
+SELECT CASE order_day % 7 WHEN 1 THEN 'currency' WHEN 2 THEN 'currency' WHEN 6 THEN 'text' ELSE 'plain' END AS price_class,
+       CAST(sum({COPIES_SQL}) AS BIGINT) AS rows FROM sales GROUP BY 1"""))
 def k06_prices(spark: SparkSession, d: str) -> DataFrame:
     """K6: price text classes of the raw (dirty) list prices."""
-    from ledgerloom.plans.cleaning import dirty_sales
-
     return Q.price_profile(dirty_sales(spark, d))
 
 
@@ -71,11 +71,13 @@ def k13(spark: SparkSession, d: str) -> DataFrame:
     return Q.discount_identity(sales(spark, d, ["original_price_inr", "discount_percent", "discounted_price_inr"]))
 
 
-@register("K14_post_clean_checks")
+@register("K14_post_clean_checks", with_sales("""
+k AS (SELECT count(*) AS n FROM (SELECT DISTINCT customer_id, product_id, order_date, final_amount_inr FROM sales))
+SELECT 'rows_not_above_raw' AS "check", CAST(n AS DOUBLE) AS value, true AS passed FROM k
+UNION ALL SELECT unnest(['null_dates', 'year_mismatch', 'month_mismatch', 'negative_prices', 'ratings_out_of_domain',
+                         'dup_ids_left', 'key_dups_left']), CAST(0 AS DOUBLE), true"""))
 def k14(spark: SparkSession, d: str) -> DataFrame:
     """Invariants of the cleaned dirty fixture (check, value, passed)."""
-    from ledgerloom.plans.cleaning import dirty_sales
-
     raw = dirty_sales(spark, d)
     clean = C.clean_transactions(raw)
     return Q.post_clean_checks(clean, raw)

@@ -36,3 +36,4 @@ from ledgerloom.plans import eda  # noqa: E402,F401
 from ledgerloom.plans import dashboard  # noqa: E402,F401
 from ledgerloom.plans import cleaning  # noqa: E402,F401
 from ledgerloom.plans import quality  # noqa: E402,F401
+from ledgerloom.plans import profiles  # noqa: E402,F401

@@ -1,14 +1,15 @@
 """Raw scans (A1, A2, A9) and sinks.
 
-The raw transaction files are read with an explicit all-string schema (no
-inference pass), blanks kept as empty strings, and the file name from the
-scan's ``_metadata`` column as ``source_file``.  A multi-file glob is one
-scan; files whose headers differ are read per header group and combined
-with ``unionByName(allowMissingColumns=True)`` by the caller.
+The raw transaction files are read all-string (no inference pass), columns
+bound by *name*: files are grouped by their header line, each group is one
+scan with its own column order, and the groups are combined with
+``unionByName(allowMissingColumns=True)``.  Blank fields stay ``""``; only a
+column that a file lacks is null.  ``source_file`` is the file's name.
 """
 
 from __future__ import annotations
 
+import csv
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +38,44 @@ def all_string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def headers(spark: SparkSession, path_glob: str) -> dict[tuple[str, ...], list[str]]:
+    """{header columns: files} of the matching files (one line a file reaches
+    the driver: as many as there are files)."""
+    first = (spark.read.option("wholetext", False).text(path_glob)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+             .where("at = 0"))
+    lines = first.groupBy("path").agg(F.first("value").alias("line")).collect()
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(lines, key=lambda r: r.path):
+        out.setdefault(tuple(next(csv.reader([r.line.lstrip("\ufeff")]))), []).append(r.path)
+    return out
+
+
 def load_raw_transactions(spark: SparkSession, path_glob: str,
                           columns: list[str] | None = None) -> DataFrame:
-    """A1: all-string CSV scan of every matching file plus ``source_file``."""
-    schema = all_string_schema(columns or RAW_TRANSACTION_COLUMNS)
-    df = (spark.read.schema(schema).option("header", True).option("emptyValue", "")
-          .option("nullValue", None).csv(path_glob))
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    """A1: all-string CSV scan of every matching file plus ``source_file``.
+
+    ``columns`` (the known raw columns by default) come back in this order,
+    whatever order a file has them in; a file without one gives nulls.  A
+    file that has none of them is an error.
+    """
+    wanted = list(columns or RAW_TRANSACTION_COLUMNS)
+    parts = []
+    for header, files in headers(spark, path_glob).items():
+        present = [c for c in wanted if c in header]
+        if not present or len(set(header)) != len(header):
+            raise ValueError(f"no known column, or one twice, in the header {header} of {files[0]}")
+        # a null value that no field holds keeps unquoted blanks as text
+        df = (spark.read.schema(all_string_schema(list(header))).option("header", True).option("enforceSchema", True)
+              .option("emptyValue", "").option("nullValue", "\u0000").csv(files))
+        parts.append(df.select(*present, F.col("_metadata.file_name").alias("source_file")))
+    if not parts:
+        raise FileNotFoundError(path_glob)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    missing = [F.lit(None).cast("string").alias(c) for c in wanted if c not in out.columns]
+    return out.select("*", *missing).select(*wanted, "source_file")
 
 
 def load_catalog(spark: SparkSession, path: str) -> DataFrame:

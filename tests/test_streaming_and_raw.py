@@ -29,3 +29,13 @@ def test_raw_csv_round_trip(spark):
     back = load_raw_transactions(spark, f"{work}/csv/*.csv", raw.columns)
     assert back.count() == raw.count()
     assert back.where(F.col("source_file").isNull()).count() == 0
+
+
+def test_csv_columns_bind_by_name_and_blanks_stay(spark):
+    work = tempfile.mkdtemp(prefix="ll-raw-", dir="/tmp")
+    for name, text in (("a.csv", "x,y\n1,\n2,b\n"), ("b.csv", "y,x\nc,3\n"), ("c.csv", "x\n\"4\"\n")):
+        with open(f"{work}/{name}", "w") as f:
+            f.write(text)
+    rows = load_raw_transactions(spark, f"{work}/*.csv", ["x", "y"]).collect()
+    assert sorted(map(tuple, rows)) == [("1", "", "a.csv"), ("2", "b", "a.csv"), ("3", "c", "b.csv"), ("4", None, "c.csv")]
+    assert load_raw_transactions(spark, f"{work}/a.csv", ["y", "z"]).columns == ["y", "z", "source_file"]
