@@ -4,8 +4,8 @@ Features: recency, frequency, monetary, AOV, prime flag; standardised with
 the population standard deviation; L2 logistic regression equivalent to
 an inverse-regularisation C = 1 objective (``regParam = 1/n``, no elastic
 net, no internal standardisation), at most 400 iterations.  The model is
-fitted only with two classes and more than 200 customers; otherwise the
-probability column is null.  Recency leaks the label -- kept as in the
+fitted only with two classes and more than ``min_customers`` customers; a
+``status`` column says so, and the probability is null where it is not.  Recency leaks the label -- kept as in the
 original, the in-sample accuracy is reported with it.
 """
 
@@ -22,7 +22,7 @@ from ledgerloom import config
 FEATURES = ["recency_days", "frequency", "monetary", "avg_order_value", "is_prime_member"]
 
 
-def churn_model(customers: DataFrame, snapshot: DataFrame) -> DataFrame:
+def churn_model(customers: DataFrame, snapshot: DataFrame, min_customers: int = 200) -> DataFrame:
     c = customers.crossJoin(F.broadcast(snapshot)).select(
         "customer_id",
         (F.col("last_order_date") < F.date_sub("_snap", config.CHURN_DAYS)).cast("int").alias("churned"),
@@ -39,9 +39,10 @@ def churn_model(customers: DataFrame, snapshot: DataFrame) -> DataFrame:
         "customer_id", "churned",
         *[((F.col(f) - row[f"_m_{f}"]) / (row[f"_s_{f}"] or 1.0)).alias(f) for f in FEATURES],
     )
-    if not (classes == 2 and n > 200):
+    if not (classes == 2 and n > min_customers):
         return scaled.select("customer_id", "churned", F.lit(None).cast("double").alias("churn_prob"),
-                             F.lit(None).cast("double").alias("accuracy"))
+                             F.lit(None).cast("double").alias("accuracy"),
+                             F.lit("one class" if n > min_customers else "too few customers").alias("status"))
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(scaled).withColumn(
         "label", F.col("churned").cast("double"))
     lr = LogisticRegression(regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=400,
@@ -51,4 +52,4 @@ def churn_model(customers: DataFrame, snapshot: DataFrame) -> DataFrame:
         "customer_id", "churned", vector_to_array("probability")[1].alias("churn_prob"),
         (F.col("prediction") == F.col("label")).cast("double").alias("_hit"))
     acc = pred.agg(F.avg("_hit").alias("accuracy"))
-    return pred.crossJoin(F.broadcast(acc)).drop("_hit")
+    return pred.crossJoin(F.broadcast(acc)).drop("_hit").withColumn("status", F.lit("fitted"))

@@ -12,144 +12,15 @@ delivery days, unknown ages), that rule restated in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import config
 from ledgerloom.functions.exprs import msum
 from ledgerloom.operators import cleaning as C
+from ledgerloom.plans.dirty import CITY_KEYS, dirty_sales
 from ledgerloom.plans.oracle_sql import sql_msum, with_sales
 from ledgerloom.plans.registry import register
-from ledgerloom.sources.tables import sales
-
-RAW_INPUT = [
-    "transaction_id", "order_date", "order_year", "order_month", "order_quarter", "order_day", "customer_id",
-    "product_id", "product_name", "category", "subcategory", "brand", "original_price_inr", "discount_percent",
-    "discounted_price_inr", "quantity", "subtotal_inr", "delivery_charges", "final_amount_inr", "customer_city",
-    "customer_state", "customer_tier", "customer_spending_tier", "customer_age_group", "payment_method",
-    "delivery_days", "delivery_type", "is_prime_member", "is_festival_sale", "festival_name", "customer_rating",
-    "return_status", "product_weight_kg", "is_prime_eligible", "product_rating",
-]
-
-CITY_KEYS = list(config.CITY_ALIASES)
-TRUE_SPELLINGS = ["True", "TRUE", "Yes", "1", "y", "t"]
-FALSE_SPELLINGS = ["False", "FALSE", "No", "0", "n", "f", ""]
-CATEGORY_SPELLINGS = ["electronics", "ELECTRONICS", "Electronicss", "Electronics & Accessories", "  electronic "]
-PAYMENT_KEYS = {m: [k for k, v in config.PAYMENT_ALIASES.items() if v == m] for m in config.PAYMENT_HIERARCHY}
-
-
-def _pick(options: list, idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (idx % len(options) + 1).cast("int"))
-
-
-def _money_text(c: Column) -> Column:
-    return F.format_string("%.2f", c)
-
-
-def _bool_text(c: str) -> Column:
-    day = F.col("order_day")
-    return F.when(F.col(c), _pick(TRUE_SPELLINGS, day)).otherwise(_pick(FALSE_SPELLINGS, day))
-
-
-def dirty_sales(spark: SparkSession, d: str, dup_every: int = 50) -> DataFrame:
-    """All-string raw transactions with every messy form, plus _DUP clones."""
-    s = sales(spark, d, RAW_INPUT)
-    sel = F.col("order_day") + F.col("order_month")
-    od = F.col("order_date")
-    # the class of each form is in DATE_CLASS_SQL; forms 5 and 6 need the fallback
-    late = F.col("order_day") > 12
-    date_txt = (F.when(sel % 7 == 0, F.date_format(od, "yyyy-MM-dd"))
-                .when(sel % 7 == 1, F.date_format(od, "dd-MM-yyyy"))
-                .when(sel % 7 == 2, F.date_format(od, "dd/MM/yyyy"))
-                .when(sel % 7 == 3, F.date_format(od, "MM/dd/yyyy"))
-                .when(sel % 7 == 4, F.date_format(od, "dd-MM-yy"))
-                .when(sel % 7 == 5, F.date_format(od, "dd MMM yyyy"))
-                .otherwise(F.when(late, F.date_format(od, "MM-dd-yyyy")).otherwise(F.date_format(od, "dd.MM.yyyy"))))
-    # dates that read the same either way, or whose day is above 12, need no hint
-    hinted = ~((sel % 7).isin(2, 3) & (late | (F.col("order_day") == F.col("order_month"))))
-    p = F.col("original_price_inr")
-    k7 = F.col("order_day") % 7
-    price_txt = (F.when(k7 == 0, _money_text(p))
-                 .when(k7 == 1, F.concat(F.lit("₹"), F.format_number(p, 2)))
-                 .when(k7 == 2, F.concat(F.lit("Rs "), _money_text(p)))
-                 .when(k7 == 3, F.concat(F.lit("-"), _money_text(p)))
-                 .when(k7 == 4, _money_text(p * 10))
-                 .when(k7 == 5, _money_text(p * 100))
-                 .otherwise(F.lit("Price on Request")))
-    r = F.col("customer_rating")
-    k4 = F.col("order_day") % 4
-    rating_txt = (F.when(r.isNull(), F.lit(""))
-                  .when(k4 == 0, F.format_string("%.1f", r))
-                  .when(k4 == 1, F.format_string("%.1f stars", r))
-                  .when(k4 == 2, F.format_string("%.1f/5", r))
-                  .otherwise(F.format_string("%.1f/10", r * 2)))
-    key = _pick(CITY_KEYS, F.col("customer_id"))
-    k3 = F.col("order_day") % 3
-    city_txt = (F.when(k3 == 0, key).when(k3 == 1, F.concat(F.lit("  "), F.upper(key), F.lit(" ")))
-                .otherwise(F.initcap(F.regexp_replace(key, " ", "  "))))
-    t = F.col("delivery_type")
-    dd = F.col("delivery_days").cast("string")
-    k6 = F.col("order_day") % 6
-    delivery_txt = (F.when(k6 == 0, dd)
-                    .when(k6 == 1, F.when(t == "Same Day", F.lit("Same Day")).otherwise(dd))
-                    .when(k6 == 2, F.when(t == "Express", F.lit("express")).otherwise(dd))
-                    .when(k6 == 3, F.lit("1-2 days"))
-                    .when(k6 == 4, F.lit("-1"))
-                    .otherwise(F.lit("0")))
-    pay = F.col("payment_method")
-    pay_key = F.coalesce(*[F.when(pay == m, _pick(keys, F.col("order_day"))) for m, keys in PAYMENT_KEYS.items()])
-    km = F.col("order_month") % 3
-    pay_txt = F.when(km == 0, pay_key).when(km == 1, F.upper(pay_key)).otherwise(F.regexp_replace(pay_key, " ", "_"))
-    raw = s.select(
-        "transaction_id",
-        date_txt.alias("order_date"),
-        F.col("order_year").cast("string").alias("order_year"),
-        F.when(hinted, F.col("order_month").cast("string")).otherwise("").alias("order_month"),
-        F.col("order_quarter").cast("string").alias("order_quarter"),
-        F.col("customer_id").cast("string").alias("customer_id"),
-        F.col("product_id").cast("string").alias("product_id"),
-        F.concat(F.lit(" "), F.col("product_name")).alias("product_name"),
-        _pick(CATEGORY_SPELLINGS, F.col("order_day")).alias("category"),
-        F.concat(F.lit(" "), F.col("subcategory"), F.lit(" ")).alias("subcategory"),
-        F.concat(F.col("brand"), F.lit("  ")).alias("brand"),
-        price_txt.alias("original_price_inr"),
-        F.format_string("%.0f", F.col("discount_percent")).alias("discount_percent"),
-        _money_text(F.col("discounted_price_inr")).alias("discounted_price_inr"),
-        F.when(F.col("quantity") == 1, F.lit("")).otherwise(F.col("quantity").cast("string")).alias("quantity"),
-        _money_text(F.col("subtotal_inr")).alias("subtotal_inr"),
-        F.when(F.col("order_day") % 9 == 0, F.lit("")).otherwise(_money_text(F.col("delivery_charges")))
-        .alias("delivery_charges"),
-        _money_text(F.col("final_amount_inr")).alias("final_amount_inr"),
-        city_txt.alias("customer_city"),
-        F.concat(F.col("customer_state"), F.lit(" ")).alias("customer_state"),
-        F.concat(F.lit(" "), F.col("customer_tier")).alias("customer_tier"),
-        F.col("customer_spending_tier"),
-        F.when(F.col("order_day") % 4 == 0, F.lit("")).otherwise(F.col("customer_age_group"))
-        .alias("customer_age_group"),
-        pay_txt.alias("payment_method"),
-        delivery_txt.alias("delivery_days"),
-        t.alias("delivery_type"),
-        _bool_text("is_prime_member").alias("is_prime_member"),
-        _bool_text("is_festival_sale").alias("is_festival_sale"),
-        F.coalesce(F.col("festival_name"), F.lit("nan")).alias("festival_name"),
-        rating_txt.alias("customer_rating"),
-        F.col("return_status"),
-        F.col("product_weight_kg").cast("string").alias("product_weight_kg"),
-        _bool_text("is_prime_eligible").alias("is_prime_eligible"),
-        F.format_string("%.1f", F.col("product_rating")).alias("product_rating"),
-        F.concat(F.lit("fixture_"), (F.col("order_day") % 2).cast("string"), F.lit(".csv")).alias("source_file"),
-    )
-    clones = raw.where((F.col("customer_id").cast("long") % dup_every) == 0)
-    dups = clones.withColumn("transaction_id", F.concat("transaction_id", F.lit("_DUP")))
-    # the same order again in a later file, under an id that sorts before its own
-    again = clones.withColumns({"transaction_id": F.concat(F.lit("!"), "transaction_id"), "source_file": F.lit("late.csv")})
-    return raw.unionByName(dups).unionByName(again)
-
-
-DATE_CLASS_SQL = """CASE (order_day + order_month) % 7 WHEN 0 THEN 'iso' WHEN 1 THEN 'dash' WHEN 2 THEN 'slash'
-  WHEN 3 THEN 'slash' WHEN 4 THEN 'dash_yy' WHEN 5 THEN 'other' ELSE CASE WHEN order_day > 12 THEN 'dash' ELSE 'other' END END"""
-#: Rows of the dirty fixture: each line, and two more for every customer that is cloned.
-COPIES_SQL = "(CASE WHEN customer_id % 50 = 0 THEN 3 ELSE 1 END)"
 
 
 def _raw(spark, d):

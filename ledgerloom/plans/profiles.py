@@ -16,7 +16,7 @@ from ledgerloom.functions.exprs import is_null_token
 from ledgerloom.operators import cleaning as C
 from ledgerloom.operators.histogram import histogram
 from ledgerloom.operators.ranking import five_number
-from ledgerloom.plans.cleaning import COPIES_SQL, DATE_CLASS_SQL, dirty_sales
+from ledgerloom.plans.dirty import COPIES_SQL, DATE_CLASS_SQL, dirty_sales
 from ledgerloom.plans.dims import build_customers
 from ledgerloom.plans.oracle_sql import CUSTOMERS_CTE, with_sales
 from ledgerloom.plans.registry import register
@@ -32,6 +32,11 @@ def _n(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
+def _to_hundredths_of_paise(boxes: DataFrame) -> DataFrame:
+    """Interpolated quantiles without the last binary digit, which engines round differently."""
+    return boxes.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
+
+
 # ------------------------------------------------------------------ D14
 @register("D14_fk_integrity", """
 SELECT 'lineitem_orders' AS "check", count(*) AS rows, count(*) FILTER (WHERE o_orderkey IS NULL) AS orphans
@@ -61,15 +66,15 @@ _DESCRIBED = ["discounted_price_inr", "final_amount_inr", "quantity", "delivery_
 
 @register("E14_describe", with_sales(" UNION ALL ".join(f"""
 SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min,
-       quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median,
-       quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3, CAST(max({c}) AS DOUBLE) AS max FROM sales""" for c in _DESCRIBED)))
+       round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS q1, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS median,
+       round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q3, CAST(max({c}) AS DOUBLE) AS max FROM sales""" for c in _DESCRIBED)))
 def e14(spark: SparkSession, d: str) -> DataFrame:
     """Count, mean, deviation and the five numbers of each numeric column."""
     long = sales(spark, d, _DESCRIBED).select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in _DESCRIBED])))
     moments = long.groupBy("column").agg(F.count("v").alias("count"), F.round(F.avg("v"), 6).alias("mean"),
                                          F.round(F.stddev_samp("v"), 4).alias("std"))
-    return moments.join(five_number(long, "v", ["column"]), "column")
+    return moments.join(_to_hundredths_of_paise(five_number(long, "v", ["column"])), "column")
 
 
 # ------------------------------------------------------------------ E16
@@ -246,12 +251,12 @@ def l22_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("L54_price_boxes", with_sales("""
-SELECT brand, min(discounted_price_inr) AS min, quantile_cont(discounted_price_inr, 0.25) AS q1,
-       quantile_cont(discounted_price_inr, 0.5) AS median, quantile_cont(discounted_price_inr, 0.75) AS q3,
+SELECT brand, min(discounted_price_inr) AS min, round(quantile_cont(discounted_price_inr, 0.25), 4) AS q1,
+       round(quantile_cont(discounted_price_inr, 0.5), 4) AS median, round(quantile_cont(discounted_price_inr, 0.75), 4) AS q3,
        max(discounted_price_inr) AS max FROM sales GROUP BY 1"""))
 def l54_boxes(spark: SparkSession, d: str) -> DataFrame:
     """Q27: box numbers of the discounted price by brand."""
-    return five_number(sales(spark, d, ["brand", "discounted_price_inr"]), "discounted_price_inr", ["brand"])
+    return _to_hundredths_of_paise(five_number(sales(spark, d, ["brand", "discounted_price_inr"]), "discounted_price_inr", ["brand"]))
 
 
 # ------------------------------------------------------------------ L53 labels and features

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import cleaning as C
 from ledgerloom.operators import quality as Q
-from ledgerloom.plans.cleaning import COPIES_SQL, DATE_CLASS_SQL, dirty_sales
+from ledgerloom.plans.dirty import COPIES_SQL, DATE_CLASS_SQL, dirty_sales
 from ledgerloom.plans.oracle_sql import with_sales
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.tables import sales

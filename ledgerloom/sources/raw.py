@@ -65,10 +65,10 @@ def load_raw_transactions(spark: SparkSession, path_glob: str,
         present = [c for c in wanted if c in header]
         if not present or len(set(header)) != len(header):
             raise ValueError(f"no known column, or one twice, in the header {header} of {files[0]}")
-        # a null value that no field holds keeps unquoted blanks as text
         df = (spark.read.schema(all_string_schema(list(header))).option("header", True).option("enforceSchema", True)
-              .option("emptyValue", "").option("nullValue", "\u0000").csv(files))
-        parts.append(df.select(*present, F.col("_metadata.file_name").alias("source_file")))
+              .option("emptyValue", "").csv(files))
+        # the reader gives unquoted blanks as null; a text file has no nulls
+        parts.append(df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in present], F.col("_metadata.file_name").alias("source_file")))
     if not parts:
         raise FileNotFoundError(path_glob)
     out = parts[0]

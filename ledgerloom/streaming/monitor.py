@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerloom import config
+
 
 def monthly_batch(events: DataFrame) -> DataFrame:
     events = events.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -32,7 +34,8 @@ def monthly_stream(spark: SparkSession, events_dir: str, sink_dir: str, checkpoi
                 F.count("*").alias("events")))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.col("w.start").alias("day_start"), "value_cents", "events").write.mode("append").parquet(
+        # a batch that is replayed after a failure replaces its own folder
+        batch.select(F.col("w.start").alias("day_start"), "value_cents", "events").write.mode("overwrite").parquet(
             f"{sink_dir}/batch={batch_id}")
 
     # update mode: every micro-batch re-emits the windows it changed; the
@@ -41,10 +44,30 @@ def monthly_stream(spark: SparkSession, events_dir: str, sink_dir: str, checkpoi
             .foreachBatch(write).trigger(availableNow=True).start())
 
 
+def latest_days(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The latest version of each day in the sink."""
+    d = spark.read.parquet(sink_dir)
+    return d.groupBy("day_start").agg(
+        F.max_by("value_cents", "batch").alias("value_cents"), F.max_by("events", "batch").alias("events"))
+
+
 def daily_from_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
     """Roll the streamed daily windows up to months (compare with monthly_batch)."""
-    d = spark.read.parquet(sink_dir)
-    latest = d.groupBy("day_start").agg(F.max("batch").alias("batch"))
-    d = d.join(latest, ["day_start", "batch"])
-    return d.groupBy(F.date_trunc("month", "day_start").alias("month_start")).agg(
+    return latest_days(spark, sink_dir).groupBy(F.date_trunc("month", "day_start").alias("month_start")).agg(
         F.sum("value_cents").alias("value_cents"), F.sum("events").alias("events"))
+
+
+def month_monitor(days: DataFrame) -> DataFrame:
+    """J14 on daily sums (day_start, value_cents): the latest month's actual,
+    the same month a year before, the target, the run rate to the month's end
+    and the status.  One row; no row for an empty frame."""
+    last = days.agg(F.max("day_start").alias("d")).where("d IS NOT NULL").withColumn("m0", F.date_trunc("month", "d"))
+    month = F.date_trunc("month", "day_start")
+    sums = days.crossJoin(F.broadcast(last)).groupBy("d", "m0").agg(
+        (F.sum(F.when(month == F.col("m0"), F.col("value_cents"))) / 100).alias("actual"),
+        (F.coalesce(F.sum(F.when(month == F.add_months("m0", -12).cast("timestamp"), F.col("value_cents"))), F.lit(0)) / 100).alias("last_year"))
+    out = sums.withColumn("target", F.col("last_year") * config.TARGET_UPLIFT).withColumn(
+        "run_rate", F.col("actual") / F.dayofmonth("d") * F.dayofmonth(F.last_day("d")))
+    status = (F.when((F.col("target") > 0) & (F.col("actual") < config.ALERT_BELOW * F.col("target")), "alert")
+              .when((F.col("target") > 0) & (F.col("actual") >= F.col("target")), "on_target").otherwise("watch"))
+    return out.select(F.to_date("m0").alias("month_start"), "actual", "last_year", "target", "run_rate", status.alias("status"))

@@ -3,7 +3,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.raw import load_raw_transactions, write_csv
-from ledgerloom.streaming.monitor import daily_from_sink, monthly_batch, monthly_stream
+from ledgerloom.streaming.monitor import daily_from_sink, latest_days, month_monitor, monthly_batch, monthly_stream
 
 from conftest import SF_SMALL
 
@@ -18,10 +18,20 @@ def test_stream_equals_batch(spark):
     want = {r.month_start: (r.value_cents, r.events)
             for r in monthly_batch(spark.read.parquet(ev_dir)).select("month_start", "value_cents", "events").collect()}
     assert got == want
+    days = latest_days(spark, f"{work}/sink")
+    row = month_monitor(days).first()
+    by = days.toPandas()
+    last = by.day_start.max()
+    of = lambda y: by[(by.day_start.dt.year == y) & (by.day_start.dt.month == last.month)].value_cents.sum() / 100
+    assert (row.actual, row.last_year) == (of(last.year), of(last.year - 1))
+    assert abs(row.target - 1.1 * row.last_year) < 1e-9 and abs(row.run_rate - row.actual / last.day * last.days_in_month) < 1e-6
+    low = row.last_year > 0 and row.actual < 0.9 * row.target
+    assert row.status == ("alert" if low else "on_target" if row.target > 0 and row.actual >= row.target else "watch")
+    assert month_monitor(days.limit(0)).count() == 0
 
 
 def test_raw_csv_round_trip(spark):
-    from ledgerloom.plans.cleaning import dirty_sales
+    from ledgerloom.plans.dirty import dirty_sales
 
     work = tempfile.mkdtemp(prefix="ll-raw-", dir="/tmp")
     raw = dirty_sales(spark, SF_SMALL).drop("source_file")
