@@ -199,4 +199,10 @@ PRICE_REL_ERROR_MAX = 0.5
 ALERT_RETURN_RATE = 0.08
 ALERT_DELIVERY_DAYS = 4
 ALERT_CHURN_RATE = 0.35
+ALERT_TEXTS = [
+    "Revenue down versus last year in the current filter.",
+    "Return rate above 8%.",
+    "Average delivery slower than 4 days.",
+    "More than 35% of customers look churned (365+ days inactive).",
+]
 # ------------------------------------------------------------ END FIXED VALUES

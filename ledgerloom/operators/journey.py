@@ -115,7 +115,7 @@ def cohort_retention(df: DataFrame, entity: str, date_col: str, period_col: str,
     )
 
 
-def association_rules(df: DataFrame, entity: str, item: str) -> DataFrame:
+def association_rules(df: DataFrame, entity: str, item: str, max_items: int = 200) -> DataFrame:
     """Pairwise rules a -> b (a != b) over entities.
 
     support = entities with both / all entities; confidence = both /
@@ -123,10 +123,13 @@ def association_rules(df: DataFrame, entity: str, item: str) -> DataFrame:
     join is per entity, so its output is bounded by sum over entities of
     (#items per entity)^2 <= #items^2 per entity (a small vocabulary), and
     the pair counts are partially aggregated before the shuffle.  Every
-    ordered pair of items appears, zero pairs included.
+    ordered pair of items appears, zero pairs included.  An item vocabulary
+    of more than ``max_items`` is an error: the pairs grow with its square.
     """
     ei = df.select(entity, item).where(F.col(item).isNotNull()).distinct()
-    n = ei.agg(F.countDistinct(entity).alias("_n"))
+    too_many = F.raise_error(F.lit(f"association rules: more than {max_items} items"))
+    n = ei.agg(F.countDistinct(entity).alias("_n"), F.countDistinct(item).alias("_items")).select(
+        F.when(F.col("_items") <= max_items, F.col("_n")).otherwise(too_many.cast("long")).alias("_n"))
     buyers = ei.groupBy(item).agg(F.count("*").alias("_buyers"))
     a = ei.select(F.col(entity).alias("_e"), F.col(item).alias("from"))
     b = ei.select(F.col(entity).alias("_e"), F.col(item).alias("to"))

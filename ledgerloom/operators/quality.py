@@ -61,7 +61,7 @@ def duplicate_profile(df: DataFrame, key: Sequence[str], id_col: str = "transact
     keys = df.groupBy(*key).agg(F.count("*").alias("c")).agg(
         F.sum(F.col("c") - 1).alias("key_dup_rows"), F.sum(F.when(F.col("c") > 1, 1).otherwise(0)).alias("dup_keys"),
         F.max("c").alias("max_group_size"))
-    return n.crossJoin(exact).crossJoin(ids).crossJoin(keys)
+    return n.crossJoin(F.broadcast(exact)).crossJoin(F.broadcast(ids)).crossJoin(F.broadcast(keys))
 
 
 def discount_identity(df: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def post_clean_checks(clean: DataFrame, raw_rows: DataFrame) -> DataFrame:
     )
     k = clean.groupBy(*key).agg(F.count("*").alias("c")).agg(F.sum(F.col("c") - 1).alias("key_dups_left"))
     r = raw_rows.agg(F.count("*").alias("raw_rows"))
-    j = a.crossJoin(k).crossJoin(r)
+    j = a.crossJoin(F.broadcast(k)).crossJoin(F.broadcast(r))
     checks = [
         ("rows_not_above_raw", F.col("rows"), F.col("rows") <= F.col("raw_rows")),
         ("null_dates", F.col("null_dates"), F.col("null_dates") == 0),

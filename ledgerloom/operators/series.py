@@ -46,7 +46,7 @@ def polyfit2(df: DataFrame, x: str, y: str, name: str = "trend") -> DataFrame:
     power sums of one aggregate row, joined back to the series.
     """
     m = df.agg(F.avg(F.col(x).cast("double")).alias("_mx"))
-    d = df.crossJoin(m).withColumn("_u", F.col(x) - F.col("_mx"))
+    d = df.crossJoin(F.broadcast(m)).withColumn("_u", F.col(x) - F.col("_mx"))
     s = d.agg(
         F.count("*").cast("double").alias("s0"),
         F.sum("_u").alias("s1"),
@@ -68,7 +68,7 @@ def polyfit2(df: DataFrame, x: str, y: str, name: str = "trend") -> DataFrame:
     b = F.try_divide(det3(s4, t2, s2, s3, t1, s1, s2, t0, s0), det)
     c = F.try_divide(det3(s4, s3, t2, s3, s2, t1, s2, s1, t0), det)
     coef = s.select(a.alias("_A"), b.alias("_B"), c.alias("_C"))
-    out = d.crossJoin(coef).withColumn(
+    out = d.crossJoin(F.broadcast(coef)).withColumn(
         name, F.col("_A") * F.col("_u") * F.col("_u") + F.col("_B") * F.col("_u") + F.col("_C")
     )
     return out.drop("_mx", "_u", "_A", "_B", "_C")

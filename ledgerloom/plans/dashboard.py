@@ -19,7 +19,7 @@ from ledgerloom.operators.series import linear_forecast, period_change
 from ledgerloom.operators.shares import share_of
 from ledgerloom.operators.slicer import ALL, Slice, apply_slice, filter_choices, needed_columns
 from ledgerloom.plans.dims import build_customers
-from ledgerloom.plans.oracle_sql import (CATALOG_CTE, CUSTOMERS_CTE, sql_mavg, sql_msum, sql_msum_over,
+from ledgerloom.plans.oracle_sql import (CATALOG_CTE, CUSTOMERS_CTE, SQL_DISC_BAND as _SQL_DISC_BAND, sql_mavg, sql_msum, sql_msum_over,
                                          with_sales)
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.tables import catalog, sales
@@ -148,8 +148,8 @@ def l29_monitor(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     tm = t.crossJoin(F.broadcast(mx)).withColumn("_m", F.trunc("order_date", "month"))
     cur = tm.where(F.col("_m") == F.col("_m0"))
     ly = tm.where(F.col("_m") == F.add_months("_m0", -12))
-    k = mx.crossJoin(cur.agg(msum(AMT).alias("actual"), F.countDistinct("customer_id").alias("active_customers")))
-    k = k.crossJoin(ly.agg(F.coalesce(msum(AMT), F.lit(0.0)).alias("last_year")))
+    k = mx.crossJoin(F.broadcast(cur.agg(msum(AMT).alias("actual"), F.countDistinct("customer_id").alias("active_customers"))))
+    k = k.crossJoin(F.broadcast(ly.agg(F.coalesce(msum(AMT), F.lit(0.0)).alias("last_year"))))
     k = k.select(
         F.col("_m0").alias("month_start"), "actual", "last_year",
         (F.col("last_year") * config.TARGET_UPLIFT).alias("target"),
@@ -369,12 +369,7 @@ def l36_month_flag(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
 
 
 # ------------------------------------------------------------------ L37 Q10
-_SQL_DISC_BAND = ("CASE WHEN discount_percent > -0.01 AND discount_percent <= 0 THEN '0%' "
-                  "WHEN discount_percent > 0 AND discount_percent <= 10 THEN '0-10' "
-                  "WHEN discount_percent > 10 AND discount_percent <= 20 THEN '10-20' "
-                  "WHEN discount_percent > 20 AND discount_percent <= 30 THEN '20-30' "
-                  "WHEN discount_percent > 30 AND discount_percent <= 50 THEN '30-50' "
-                  "WHEN discount_percent > 50 THEN '50+' END")
+
 
 
 @register("L37_discount_elasticity", with_sales(f"""
@@ -601,7 +596,7 @@ def l45_velocity(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
         (F.datediff(F.max("order_date"), F.min("order_date")) + 1).alias("active_days"))
     v = v.withColumn("upd", F.col("units") / F.greatest("active_days", F.lit(1)))
     med = exact_quantiles(v, "upd", [0.5], name="_m")
-    return med.crossJoin(v.agg(F.count("*").alias("products"))).select(
+    return med.crossJoin(F.broadcast(v.agg(F.count("*").alias("products")))).select(
         F.col("_m0").alias("median_units_per_day"), "products")
 
 
@@ -891,7 +886,7 @@ def _command_centre(spark, d, s=ALL):
     churn = _active_customers(spark, d, ["last_order_date"], s).crossJoin(F.broadcast(snap)).agg(
         F.avg(flag(F.col("last_order_date") < F.date_sub("_snap", config.CHURN_DAYS))).alias("churn_share"))
     return (cc.join(cur, F.col("_cy") == F.col("_latest"), "left")
-            .join(prev, F.col("_py") == F.col("_latest") - 1, "left").crossJoin(churn))
+            .join(prev, F.col("_py") == F.col("_latest") - 1, "left").crossJoin(F.broadcast(churn)))
 
 
 @register("L57_kpis", with_sales(_SQL_CC + """
@@ -909,22 +904,22 @@ def l57_kpis(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
 
 @register("L57_alerts", with_sales(_SQL_CC + f"""
 SELECT alert FROM (
-  SELECT 'Revenue down versus last year in the current filter.' AS alert
+  SELECT '{config.ALERT_TEXTS[0]}' AS alert
     FROM cur LEFT JOIN prev ON TRUE WHERE cur.revenue < coalesce(prev.revenue, 0)
-  UNION ALL SELECT 'Return rate above 8%.' FROM cc WHERE return_rate > 0.08
-  UNION ALL SELECT 'Average delivery slower than 4 days.' FROM cc WHERE avg_delivery_days > 4
-  UNION ALL SELECT 'More than 35% of customers look churned (365+ days inactive).' FROM churn
+  UNION ALL SELECT '{config.ALERT_TEXTS[1]}' FROM cc WHERE return_rate > 0.08
+  UNION ALL SELECT '{config.ALERT_TEXTS[2]}' FROM cc WHERE avg_delivery_days > 4
+  UNION ALL SELECT '{config.ALERT_TEXTS[3]}' FROM churn
     WHERE churn_share > 0.35)""", CUSTOMERS_CTE))
 def l57_alerts(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     """Q30: threshold alerts, one row per firing alert."""
     c = _command_centre(spark, d, s)
     checks = F.array(
         F.when(F.col("_cur") < F.coalesce("_prev", F.lit(0.0)),
-               F.lit("Revenue down versus last year in the current filter.")),
-        F.when(F.col("return_rate") > config.ALERT_RETURN_RATE, F.lit("Return rate above 8%.")),
-        F.when(F.col("avg_delivery_days") > config.ALERT_DELIVERY_DAYS, F.lit("Average delivery slower than 4 days.")),
+               F.lit(config.ALERT_TEXTS[0])),
+        F.when(F.col("return_rate") > config.ALERT_RETURN_RATE, F.lit(config.ALERT_TEXTS[1])),
+        F.when(F.col("avg_delivery_days") > config.ALERT_DELIVERY_DAYS, F.lit(config.ALERT_TEXTS[2])),
         F.when(F.col("churn_share") > config.ALERT_CHURN_RATE,
-               F.lit("More than 35% of customers look churned (365+ days inactive).")),
+               F.lit(config.ALERT_TEXTS[3])),
     )
     return c.select(F.explode(F.filter(checks, lambda x: x.isNotNull())).alias("alert"))
 

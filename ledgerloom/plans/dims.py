@@ -34,7 +34,7 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
         .when((r >= 4) & (f >= 3) & (m >= 3), "Loyal Customers")
         .when((r >= 4) & (f <= 2) & (m >= 3), "Potential Loyalists")
-        .when((r >= 4) & (f <= 2) & (f == 1), "New Customers")
+        .when((r >= 4) & (f == 1), "New Customers")
         .when((r >= 4) & (f <= 2), "Promising")
         .when((r == 3) & (f >= 3) & (m >= 3), "Loyal Customers")
         .when((r == 3) & (f >= 3), "Need Attention")

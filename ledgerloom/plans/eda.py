@@ -20,6 +20,7 @@ from ledgerloom.operators.series import period_change, polyfit2
 from ledgerloom.operators.shares import crosstab_pct, share_of
 from ledgerloom.plans.dims import build_customers
 from ledgerloom.plans.oracle_sql import CATALOG_CTE, CUSTOMERS_CTE, sql_mavg, sql_msum, sql_msum_over, with_sales
+from ledgerloom.plans.oracle_sql import SQL_DISC_BAND as _SQL_DISC_BAND
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.tables import catalog, sales
 
@@ -158,7 +159,8 @@ def l10_payment(spark: SparkSession, d: str) -> DataFrame:
     """q4: payment method share of orders per year, zero-filled grid."""
     t = tx(spark, d, "order_year", "payment_method")
     c = t.groupBy("order_year", "payment_method").agg(F.count("*").alias("n"))
-    grid = t.select("order_year").distinct().crossJoin(t.select("payment_method").distinct())
+    grid = F.broadcast(t.select("order_year").distinct()).crossJoin(
+        F.broadcast(t.select("payment_method").distinct()))  # a calendar and a vocabulary
     g = grid.join(c, ["order_year", "payment_method"], "left").withColumn(
         "orders", F.coalesce("n", F.lit(0)).cast("long"))
     return share_of(g, "orders", ["order_year"], "share_pct", 100.0).select(
@@ -421,7 +423,7 @@ def l17_summary(spark: SparkSession, d: str) -> DataFrame:
     agg = t.agg(F.avg("delivery_days").alias("avg_delivery_days"),
                 F.avg(flag(on_time)).alias("on_time_vs_sla"))
     med = exact_quantiles(t, "delivery_days", [0.5], name="_m")
-    return agg.crossJoin(med).select("avg_delivery_days", F.col("_m0").alias("median_delivery_days"),
+    return agg.crossJoin(F.broadcast(med)).select("avg_delivery_days", F.col("_m0").alias("median_delivery_days"),
                                      "on_time_vs_sla")
 
 
@@ -535,7 +537,7 @@ def l20_summary(spark: SparkSession, d: str) -> DataFrame:
     """q14: median and mean CLV."""
     c = build_customers(spark, d, ["clv"])
     med = exact_quantiles(c, "clv", [0.5], name="_m")
-    return c.agg(mavg("clv").alias("mean_clv")).crossJoin(med).select(
+    return c.agg(mavg("clv").alias("mean_clv")).crossJoin(F.broadcast(med)).select(
         F.col("_m0").alias("median_clv"), "mean_clv")
 
 
@@ -572,12 +574,7 @@ def l20_cohort(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ L21 q15
-_SQL_DISC_BAND = ("CASE WHEN discount_percent > -0.01 AND discount_percent <= 0 THEN '0%' "
-                  "WHEN discount_percent > 0 AND discount_percent <= 10 THEN '0-10' "
-                  "WHEN discount_percent > 10 AND discount_percent <= 20 THEN '10-20' "
-                  "WHEN discount_percent > 20 AND discount_percent <= 30 THEN '20-30' "
-                  "WHEN discount_percent > 30 AND discount_percent <= 50 THEN '30-50' "
-                  "WHEN discount_percent > 50 THEN '50+' END")
+
 
 
 def _disc_band():
@@ -664,7 +661,7 @@ def l22_summary(spark: SparkSession, d: str) -> DataFrame:
     m = tx(spark, d, "product_rating", "customer_rating").agg(
         ratio(F.avg("product_rating")).alias("mean_product_rating"),
         F.avg("customer_rating").alias("mean_customer_rating"))
-    return c.crossJoin(m)
+    return c.crossJoin(F.broadcast(m))
 
 
 # ------------------------------------------------------------------ L23 q17

@@ -11,6 +11,8 @@ Conventions shared with the Spark side so hashes compare: money rounded to
 
 from __future__ import annotations
 
+from ledgerloom import config
+
 SALES_CTE = """
 sales AS (
   SELECT
@@ -118,21 +120,16 @@ def with_sales(body: str, *extra_ctes: str) -> str:
     sep = "\n" if body[:6].upper() == "SELECT" else ",\n"
     return "WITH " + ",\n".join(ctes) + sep + body
 
-_RFM_ACTIONS = {
-    "Champions": "Recent, frequent, high spend — reward and retain",
-    "Loyal Customers": "Buy often and spend well — upsell and loyalty offers",
-    "Potential Loyalists": "Recent with growing frequency — membership and bundles",
-    "New Customers": "Recent but low frequency — onboarding and first-repeat offers",
-    "Promising": "Recent, low spend — category education and discounts",
-    "Need Attention": "Above-average but fading — win-back campaigns",
-    "About to Sleep": "Slipping recency and frequency — reactivation",
-    "At Risk": "Were valuable, now stale — personalised win-back",
-    "Cannot Lose Them": "High spend, low recency — immediate retention",
-    "Hibernating": "Low activity across RFM — low-cost reactivation or ignore",
-    "Lost": "Long inactive, low value — do not over-invest",
-}
+
+SQL_DISC_BAND = ("CASE WHEN discount_percent > -0.01 AND discount_percent <= 0 THEN '0%' "
+                 "WHEN discount_percent > 0 AND discount_percent <= 10 THEN '0-10' "
+                 "WHEN discount_percent > 10 AND discount_percent <= 20 THEN '10-20' "
+                 "WHEN discount_percent > 20 AND discount_percent <= 30 THEN '20-30' "
+                 "WHEN discount_percent > 30 AND discount_percent <= 50 THEN '30-50' "
+                 "WHEN discount_percent > 50 THEN '50+' END")
+
 _ACTION_CASE = "CASE rfm_segment " + " ".join(
-    f"WHEN '{k}' THEN '{v}'" for k, v in _RFM_ACTIONS.items()) + " END"
+    f"WHEN '{k}' THEN '{v}'" for k, v in config.RFM_SEGMENT_MAP.items()) + " END"
 
 CUSTOMERS_CTE = f"""
 cust_agg AS (

@@ -9,18 +9,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.exprs import is_null_token
+from ledgerloom.functions.exprs import inr_label, inr_scale, is_null_token, msum, pct_label
 from ledgerloom.operators import cleaning as C
 from ledgerloom.operators.histogram import histogram
 from ledgerloom.operators.ranking import five_number
+from ledgerloom.operators.shares import pivot_sum
 from ledgerloom.plans.dirty import COPIES_SQL, DATE_CLASS_SQL, dirty_sales
 from ledgerloom.plans.dims import build_customers
-from ledgerloom.plans.oracle_sql import CUSTOMERS_CTE, with_sales
+from ledgerloom.plans.oracle_sql import CUSTOMERS_CTE, sql_msum, with_sales
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.tables import read_table, sales
+from ledgerloom.sources.warehouse import register_views, run_sql, table_counts
 
 
 def stacked(df: DataFrame, rows: list[tuple[str, Column]], names: tuple[str, str]) -> DataFrame:
@@ -271,3 +273,57 @@ def l53_features(spark: SparkSession, d: str) -> DataFrame:
     snap = sales(spark, d, ["order_date"]).agg(F.max("order_date").alias("_snap"))
     c = build_customers(spark, d, [*FEATURES, "last_order_date"]).crossJoin(F.broadcast(snap))
     return c.select("customer_id", (F.col("last_order_date") < F.date_sub("_snap", config.CHURN_DAYS)).cast("int").alias("churned"), *FEATURES)
+
+
+# ------------------------------------------------------------------ A7, A8, G1, H3, I10
+@register("A7_warehouse_counts", with_sales("""
+SELECT 'products' AS table_name, (SELECT count(*) FROM part) AS row_count
+UNION ALL SELECT 'time_dimension', max(order_date) - min(order_date) + 1 FROM sales
+UNION ALL SELECT 'transactions', count(*) FROM sales"""))
+def a7(spark: SparkSession, d: str) -> DataFrame:
+    """Row counts of the warehouse views."""
+    register_views(spark, d, transactions=["transaction_id"], products=True, time_dimension=True)
+    return table_counts(spark, ["transactions", "products", "time_dimension"])
+
+
+@register("A8_parameterised_sql", with_sales(f"""
+SELECT subcategory, {sql_msum("final_amount_inr")} AS revenue, count(*) AS orders FROM sales
+WHERE order_year = 1997 AND customer_state = 'ASIA' GROUP BY 1"""))
+def a8(spark: SparkSession, d: str, year: int = 1997, state: str = "ASIA") -> DataFrame:
+    """A statement with named parameters, bound when it runs."""
+    register_views(spark, d, transactions=["subcategory", "final_amount_inr", "order_year", "customer_state"])
+    return run_sql(spark, """
+        SELECT subcategory, SUM(CAST(ROUND(final_amount_inr * 100) AS BIGINT)) / 100 AS revenue, COUNT(*) AS orders
+        FROM transactions WHERE order_year = :year AND customer_state = :state GROUP BY subcategory""", {"year": year, "state": state})
+
+
+@register("G1_ordered_transactions", with_sales(
+    "SELECT order_date, transaction_id, final_amount_inr FROM sales ORDER BY order_date, transaction_id"))
+def g1(spark: SparkSession, d: str) -> DataFrame:
+    """G1: all transactions by (date, id): a range-partitioned global sort."""
+    return sales(spark, d, ["order_date", "transaction_id", "final_amount_inr"]).orderBy("order_date", "transaction_id")
+
+
+_SUBCATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@register("H3_pivot_year_subcategory", with_sales("SELECT order_year, " + ", ".join(
+    f"coalesce(CAST(sum(CASE WHEN subcategory = '{c}' THEN quantity END) AS BIGINT), 0) AS \"{c}\"" for c in _SUBCATEGORIES) + " FROM sales GROUP BY 1"))
+def h3(spark: SparkSession, d: str) -> DataFrame:
+    """H3: units by year and subcategory, wide."""
+    return pivot_sum(sales(spark, d, ["order_year", "subcategory", "quantity"]), "order_year", "subcategory", "quantity", _SUBCATEGORIES, 0)
+
+
+@register("I10_money_labels", with_sales(f"""
+y AS (SELECT order_year, {sql_msum("final_amount_inr")} AS r FROM sales GROUP BY 1),
+c AS (SELECT *, lag(r) OVER (ORDER BY order_year) AS p FROM y)
+SELECT order_year, CASE WHEN abs(r) >= 1e7 THEN 'Cr' WHEN abs(r) >= 1e5 THEN 'L' ELSE '' END AS unit,
+       CASE WHEN abs(r) >= 1e7 THEN '₹' || format('{{:,.1f}}', r / 1e7) || ' Cr' WHEN abs(r) >= 1e5 THEN '₹' || format('{{:,.1f}}', r / 1e5) || ' L'
+            ELSE '₹' || format('{{:,.0f}}', r) END AS label,
+       CASE WHEN p <> 0 THEN format('{{:+.1f}}', (r / p - 1) * 100) || '%' END AS change
+FROM c"""))
+def i10(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly revenue as display labels with the change on the year before."""
+    y = sales(spark, d, ["order_year", "final_amount_inr"]).groupBy("order_year").agg(msum("final_amount_inr").alias("r"))
+    y = y.withColumn("p", F.lag("r").over(Window.orderBy("order_year")))  # one row a year
+    return y.select("order_year", inr_scale("r").alias("unit"), inr_label("r").alias("label"), pct_label("r", "p").alias("change"))

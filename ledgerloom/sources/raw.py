@@ -90,8 +90,14 @@ def load_catalog(spark: SparkSession, path: str) -> DataFrame:
     })
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: str | None = "order_year") -> None:
-    """A3: parquet sink; partitioned by year so later year filters prune files."""
+def write_parquet(df: DataFrame, path: str, partition_by: str | None = "order_year",
+                  sort_by: tuple[str, ...] = ("order_date", "transaction_id")) -> None:
+    """A3 / G1: parquet sink sorted by (date, id); partitioned by year so later
+    year filters prune files.  The sort is a range partitioning, so no task
+    holds more than its share, and files hold runs of dates."""
+    order = [c for c in sort_by if c in df.columns]
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     w = df.write.mode("overwrite")
     if partition_by and partition_by in df.columns:
         w = w.partitionBy(partition_by)
