@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import config
 from ledgerloom.functions.exprs import is_null_token, lookup
+from ledgerloom.session import stored
 
 ISO_RE = r"^\d{4}-\d{2}-\d{2}$"
 SLASH_RE = r"^\d{1,2}/\d{1,2}/\d{4}$"
@@ -279,15 +280,20 @@ def backfill_age(df: DataFrame, order: tuple[str, ...] = ("order_date", "transac
 
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
-    """The whole pipeline over an all-string raw frame (A1 output)."""
+    """The whole pipeline over an all-string raw frame (A1 output).
+
+    C3 and C12 look each row up in an aggregate of all rows.  What they read
+    is stored first, so the rules before them run once, and a lost executor
+    costs its own part only.
+    """
     df = clean_order_dates(raw)
-    df = clean_original_price(df)
+    df = stored(clean_original_price(df), "clean")
     df = clean_ratings(df)
     df = clean_cities(df)
     df = clean_booleans(df)
     df = clean_categories(df)
     df = clean_delivery_days(df)
-    df = handle_duplicates(df)
+    df = stored(handle_duplicates(df), "clean")
     df = clean_payments(df)
     df = clean_remaining_fields(df)
     return df.drop("source_file")

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from ledgerloom import config
 from ledgerloom.functions.exprs import msum
 from ledgerloom.operators import cleaning as C
-from ledgerloom.plans.dirty import CITY_KEYS, dirty_sales
+from ledgerloom.plans.dirty import CITY_KEYS, dirty_files, dirty_sales
 from ledgerloom.plans.oracle_sql import sql_msum, with_sales
 from ledgerloom.plans.registry import register
 
 
-def _raw(spark, d):
-    return dirty_sales(spark, d).where(~F.col("transaction_id").rlike("^!|_DUP$"))
+def _raw(spark, d, columns=None):
+    raw = dirty_sales(spark, d) if columns is None else dirty_files(spark, d, columns)
+    return raw.where(~F.col("transaction_id").rlike("^!|_DUP$"))
 
 
 # ------------------------------------------------------------------ C1
@@ -32,7 +33,7 @@ def _raw(spark, d):
     "SELECT transaction_id, order_date, order_year, order_month, order_quarter, order_day FROM sales"))
 def c01(spark: SparkSession, d: str) -> DataFrame:
     """Seven date forms back to the date, two of them by the fallback, some without a hint."""
-    out = C.clean_order_dates(_raw(spark, d).select("transaction_id", "order_date", "order_month", "order_year"))
+    out = C.clean_order_dates(_raw(spark, d, ["transaction_id", "order_date", "order_month", "order_year"]))
     return out.select("transaction_id", "order_date", "order_year", "order_month", "order_quarter", "order_day")
 
 
@@ -153,8 +154,7 @@ SELECT transaction_id,
 FROM sales"""))
 def c12(spark: SparkSession, d: str) -> DataFrame:
     """Missing age back-filled from the customer's first known age, else Unknown."""
-    raw = _raw(spark, d).select("transaction_id", "customer_id", "order_date", "order_month", "order_year",
-                                "customer_age_group")
+    raw = _raw(spark, d, ["transaction_id", "customer_id", "order_date", "order_month", "order_year", "customer_age_group"])
     raw = C.clean_order_dates(raw)
     return C.backfill_age(raw).select("transaction_id", "customer_age_group")
 
@@ -168,7 +168,7 @@ SELECT count(*) AS rows_after, {sql_msum("final_amount_inr")} AS revenue, min(or
 def c13(spark: SparkSession, d: str) -> DataFrame:
     """The whole cleaning pipeline on the dirty fixture (with _DUP clones):
     rows after, revenue, date span, distinct cleaned cities."""
-    out = C.clean_transactions(dirty_sales(spark, d))
+    out = C.clean_transactions(dirty_files(spark, d))
     return out.agg(F.count("*").alias("rows_after"), msum("final_amount_inr").alias("revenue"),
                    F.min("order_date").alias("date_min"), F.max("order_date").alias("date_max"),
                    F.countDistinct("customer_city").alias("cities"))

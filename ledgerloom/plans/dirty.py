@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import config
+from ledgerloom.session import stored
 from ledgerloom.sources.tables import sales
 
 RAW_INPUT = [
@@ -29,6 +30,13 @@ CATEGORY_SPELLINGS = ["electronics", "ELECTRONICS", "Electronicss", "Electronics
 PAYMENT_KEYS = {m: [k for k, v in config.PAYMENT_ALIASES.items() if v == m] for m in config.PAYMENT_HIERARCHY}
 
 
+def dirty_files(spark: SparkSession, d: str, columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of the dirty rows as files, as raw data comes: the rules'
+    plans start at a scan, not at the expressions that make the fixture."""
+    raw = dirty_sales(spark, d)
+    return stored(raw if columns is None else raw.select(*columns), "raw")
+
+
 def _pick(options: list, idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(o) for o in options]), (idx % len(options) + 1).cast("int"))
 

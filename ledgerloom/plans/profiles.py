@@ -17,7 +17,7 @@ from ledgerloom.operators import cleaning as C
 from ledgerloom.operators.histogram import histogram
 from ledgerloom.operators.ranking import five_number
 from ledgerloom.operators.shares import pivot_sum
-from ledgerloom.plans.dirty import COPIES_SQL, DATE_CLASS_SQL, dirty_sales
+from ledgerloom.plans.dirty import COPIES_SQL, DATE_CLASS_SQL, dirty_files, dirty_sales
 from ledgerloom.plans.dims import build_customers
 from ledgerloom.plans.oracle_sql import CUSTOMERS_CTE, sql_msum, with_sales
 from ledgerloom.plans.registry import register
@@ -221,7 +221,7 @@ m AS (SELECT sum(w) AS rows_before, 0 AS dates_unparsed, sum(w) FILTER (WHERE dc
 SELECT metric, CAST(coalesce(value, 0) AS BIGINT) AS value FROM (SELECT COLUMNS(*)::BIGINT FROM m) UNPIVOT INCLUDE NULLS (value FOR metric IN (*))"""))
 def c13_metrics(spark: SparkSession, d: str) -> DataFrame:
     """The metrics of a cleaning run over the dirty rows."""
-    return cleaning_metrics(dirty_sales(spark, d))
+    return cleaning_metrics(dirty_files(spark, d))
 
 
 # ------------------------------------------------------------------ I8

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import cleaning as C
 from ledgerloom.operators import quality as Q
-from ledgerloom.plans.dirty import COPIES_SQL, DATE_CLASS_SQL, dirty_sales
+from ledgerloom.plans.dirty import COPIES_SQL, DATE_CLASS_SQL, dirty_files, dirty_sales
 from ledgerloom.plans.oracle_sql import with_sales
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.tables import sales
@@ -78,6 +78,6 @@ UNION ALL SELECT unnest(['null_dates', 'year_mismatch', 'month_mismatch', 'negat
                          'dup_ids_left', 'key_dups_left']), CAST(0 AS DOUBLE), true"""))
 def k14(spark: SparkSession, d: str) -> DataFrame:
     """Invariants of the cleaned dirty fixture (check, value, passed)."""
-    raw = dirty_sales(spark, d)
+    raw = dirty_files(spark, d)
     clean = C.clean_transactions(raw)
     return Q.post_clean_checks(clean, raw)
