@@ -141,13 +141,15 @@ def connected_components(links: DataFrame, a: str, b: str, max_rounds: int = 60)
     for _ in range(max_rounds):
         if not sign[0]:
             break
+        # minima are written before they meet the links, so that both sides of a
+        # join come straight from a shuffle: then Spark splits a hot centre's rows
         both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "links")
         # large star: the larger neighbours of u hang below the least of its neighbourhood
-        large = (both.join(low, "u").where((F.col("v") > F.col("u")) & (F.col("v") != F.col("m")))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = written(both.join(low, "u").where((F.col("v") > F.col("u")) & (F.col("v") != F.col("m")))
+                        .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
         # small star: u and its smaller neighbours hang below the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "links")
         small = (large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
         edges = written(small, "links")
