@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import connected_components, forest, whole_runs, written
+from ledgerloom.llm.common import connected_components, forest, smallest_hashes, whole_runs, written
 
 #: Pivots that describe a vector; vectors that share two of them are compared.
 NEAREST = 8
@@ -110,7 +110,8 @@ def links_of_run(node: np.ndarray, times: np.ndarray, length: np.ndarray, own: n
 def near_copies(vectors: DataFrame, width: int, n_pivots: int, least: float = 0.95, chunk: int = CHUNK) -> DataFrame:
     """(node, links, low) rows of distinct vectors (node, times, length, v),
     ``v`` padded to ``width``: partial counts of links and nodes reached."""
-    sample = vectors.orderBy(F.xxhash64("v"), "node").limit(4 * n_pivots).select("v").toArrow().column("v")
+    hashed = vectors.select("v", "node", F.xxhash64("v").alias("h"))
+    sample = smallest_hashes(hashed, "h", 4 * n_pivots, vectors.count(), "node").select("v").toArrow().column("v")
     pivots = pick_pivots(_matrix(sample, width), n_pivots)
     near = written(nearest_pivots(vectors, pivots, width), "pivots")
     ordered = F.sort_array("near")

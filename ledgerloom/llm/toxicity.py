@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import column_of, mix, run_hashes, runs_of, text_slices
+from ledgerloom.llm.common import column_of, mix, run_hashes, runs_of, smallest_hashes, text_slices
 
 #: Labelled rows that a model is fitted on, at most (those of smallest hash).
 MAX_ROWS = 12_000
@@ -140,8 +140,8 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, key: str = "
     (``__text``, ``__label``).  Rows without key, label or text fall away; the
     keys are few by their bound, so they are broadcast."""
     some = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
-            .select(F.col(key).alias("__key"), F.col(label).cast("double").alias("__label"), F.xxhash64(key).alias("__h"))
-            .orderBy("__h", "__key", "__label").limit(max_rows))
+            .select(F.col(key).alias("__key"), F.col(label).cast("double").alias("__label"), F.xxhash64(key).alias("__h")))
+    some = smallest_hashes(some, "__h", max_rows, some.count(), "__key", "__label")
     rows = docs.select(F.col(key).alias("__doc"), F.col(text).alias("__text")).where(F.col(text).isNotNull())
     return rows.join(F.broadcast(some), F.col("__doc") == F.col("__key")).select("__h", "__key", "__text", "__label")
 
