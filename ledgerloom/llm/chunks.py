@@ -100,15 +100,10 @@ def _name(key: str, text: str) -> Column:
     return F.xxhash64(F.col(f"`{key}`").cast("string"), F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
-def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """(key, doc, start, end, words, first_keys, owned) of the repeated
-    passages: byte spans, the keys that own their chunks (sorted, nulls
-    left out) and whether this document owns them all.
-
-    ``doc`` names a document by its key and text: rows that agree in both are
-    one document repeated, not a passage repeated across documents.  A null
-    key is a key; null and empty texts have no chunks.  An empty table gives
-    an empty result."""
+def _repeated_chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, doc, start, end, words, first_id, own, run, part) of the chunks that
+    two or more documents hold: ``run`` numbers a document's runs of
+    neighbours, ``part`` those within which ``own`` stays the same as well."""
     rows = docs.select(F.col(f"`{key}`").alias("id"), _name(key, text).alias("doc"), F.col(f"`{text}`").alias("t"))
     all_chunks = chunks(rows, ["id", "doc"], "t")
     repeated = (all_chunks.groupBy("hi", "lo")
@@ -118,9 +113,23 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     found = all_chunks.join(repeated, (F.col("hi") == F.col("r_hi")) & (F.col("lo") == F.col("r_lo")))
     found = found.select("id", "doc", "start", (F.col("start") + F.col("size")).alias("end"), "words", "first_id", (F.col("doc") == F.col("first_doc")).alias("own")).distinct()
     order = Window.partitionBy("doc").orderBy("start")
-    new = (F.col("start") != F.coalesce(F.lag("end").over(order), F.lit(-1))).cast("int")
-    runs = found.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return (runs.groupBy("doc", "run")
+    new = F.col("start") != F.coalesce(F.lag("end").over(order), F.lit(-1))
+    turn = new | (F.col("own") != F.lag("own").over(order))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (found.withColumns({"new": new.cast("int"), "turn": turn.cast("int")})
+            .withColumns({"run": F.sum("new").over(upto), "part": F.sum("turn").over(upto)}).drop("new", "turn"))
+
+
+def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """(key, doc, start, end, words, first_keys, owned) of the repeated
+    passages: byte spans, the keys that own their chunks (sorted, nulls
+    left out) and whether this document owns them all.
+
+    ``doc`` names a document by its key and text: rows that agree in both are
+    one document repeated, not a passage repeated across documents.  A null
+    key is a key; null and empty texts have no chunks.  An empty table gives
+    an empty result."""
+    return (_repeated_chunks(docs, key, text).groupBy("doc", "run")
             .agg(F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
                  F.array_sort(F.collect_set("first_id")).alias("first_keys"), F.min("own").alias("owned"))
             .where(F.col("words") >= least_words).select(F.col("id").alias(key), "doc", "start", "end", "words", "first_keys", "owned"))
@@ -140,11 +149,17 @@ def repeated_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with each repeated passage cut from the texts of all documents
-    but its owner.  Other columns, and null texts, come back as they were."""
+    but its owner.  Other columns, and null texts, come back as they were.
+
+    Where a run joins chunks that the document owns to chunks that an earlier
+    one owns, each side is a passage of its own: what a document owns is never
+    cut from it, so every text is left in one document at least."""
     names = docs.columns
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     k, t = f"c{names.index(key)}", f"c{names.index(text)}"
-    gone = (repeated_runs(rows, k, t, least_words).where("not owned").groupBy(F.col("doc").alias("g_doc"))
+    parts = (_repeated_chunks(rows, k, t).where("not own").groupBy("doc", "part")
+             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words")).where(F.col("words") >= least_words))
+    gone = (parts.groupBy(F.col("doc").alias("g_doc"))
             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone")))
     joined = rows.withColumn("g_name", _name(k, t)).join(gone, F.col("g_name") == F.col("g_doc"), "left").drop("g_name", "g_doc")
     schema = rows.schema

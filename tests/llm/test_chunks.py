@@ -116,3 +116,18 @@ def test_passages_and_their_owners(spark):
     after = {r.doc_id: r.text for r in left.collect()}
     assert after[0] == rows[0][1] and len(after[7]) < len(rows[7][1]) - 300 and after[25] == rows[25][1] and after[80] == ""
     assert left.count() == len(rows) and chunks.repeated_documents(df.limit(0)).count() == 0 and chunks.deduplicated(df.limit(0)).count() == 0
+
+
+def test_copies_that_share_a_passage_with_an_earlier_document(spark):
+    rnd = random.Random(7)
+    text = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    licence, body, tail = text(80), text(150), text(60)
+    copy = f"{body} {licence} {tail}"
+    df = spark.createDataFrame([(1, f"{text(40)} {licence} {text(40)}"), (2, copy), (3, text(90)), (4, copy)], "doc_id long, text string")
+    before, after = ({r.doc_id: r.text for r in d.collect()} for d in (df, chunks.deduplicated(df)))
+    assert after[1] == before[1] and after[3] == before[3]
+    # the first copy keeps all that only the copies hold, the second one is gone whole
+    assert after[2].startswith(body[:-200]) and after[2].endswith(tail[200:]) and licence[200:-200] not in after[2] and after[4] == ""
+    data, offsets = arrays([before[2].encode()])
+    ends = chunks.cut(data, offsets)[1].tolist()
+    assert all(any(before[2].encode()[a:b] in t.encode() for t in after.values()) for a, b in zip([0, *ends], ends))
