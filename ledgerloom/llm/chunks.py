@@ -4,7 +4,10 @@ A gear hash rolls over each text's bytes; a chunk ends where five of its
 bits are zero (bits that only the last 16 bytes reach), after ``SHORTEST``
 bytes at least and ``LONGEST`` at most.  An insertion moves the ends near it
 alone, so a passage that two documents share has the same chunks in both
-but for its rim.  Chunks are deduplicated by a 128-bit digest: one that two
+but for its rim.  Text that repeats with a period may hold no such place
+(a row or word written over and over); there chunks of ``LEAST_WORDS`` words
+or more end at the word of least hash of a period, whatever stands before.
+Chunks are deduplicated by a 128-bit digest: one that two
 or more documents hold is repeated, and the smallest document is its owner.
 
 Runs of neighbouring repeated chunks with ``LEAST_WORDS`` words or more are
@@ -44,17 +47,53 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, end) of the chunks of texts back to back; an end doesn't split a character."""
-    ends = np.flatnonzero(gear(data) & _MASK == 0) + 1
+def period_ends(h: np.ndarray, ends: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Of the words that ``begin`` between two ends, the numbers of those whose sixteen bytes
+    before stood before two other words, at equal distances, and whose hash
+    ``h`` is the least of a period.  All of that lies in the repeated text."""
+    value = h[begin - 1].astype(np.int64)
+    gap = np.searchsorted(ends, begin)
+    order = np.argsort((gap << 32) | value, kind="stable")
+    same = (gap[order][2:] == gap[order][:-2]) & (value[order][2:] == value[order][:-2])
+    now, before, first = order[2:][same], order[1:-1][same], order[:-2][same]
+    period = begin[now] - begin[before]
+    even = (period == begin[before] - begin[first]) & (period <= LONGEST)
+    now, before = now[even], before[even]
+    if not len(now):
+        return np.empty(0, np.int64)
+    least = np.minimum.reduceat(np.append(value, 0), np.column_stack((before + 1, now + 1)).ravel())[::2]
+    return np.sort(now[value[now] == least])
+
+
+def cut(data: np.ndarray, offsets: np.ndarray, begin: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, end) of the chunks of texts back to back; an end doesn't split a character.
+
+    A chunk that reaches ``LONGEST`` ends before the word of least hash in it,
+    the last of several, or at ``LONGEST`` if no word begins in it.  Words
+    ``begin`` where ``words_of`` says."""
+    h = gear(data)
+    ends = np.flatnonzero(h & _MASK == 0) + 1
+    begin = words_of(data, offsets)[0] if begin is None else begin
+    begin = begin[begin - offsets[np.searchsorted(offsets, begin, side="right") - 1] >= SHORTEST]
+    periods = period_ends(h, ends, begin)
+    word_at = {}  # the numbers of the words at ends that the hash didn't set
+    if len(periods):
+        word_at = dict(zip(begin[periods].tolist(), periods.tolist()))
+        hashed, ends = ends, np.union1d(ends, begin[periods])
+        for end in np.intersect1d(hashed, begin[periods]).tolist():
+            del word_at[end]
     inside = (data & 0xC0) == 0x80
     texts, cuts = [], []
     at = np.searchsorted(ends, offsets)
     for n, (start, stop, a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), at[:-1].tolist(), at[1:].tolist())):
-        last, mine = start, []
+        last, mine, word = start, [], None
         for end in [*ends[a:b].tolist(), stop]:
+            if end in word_at and word is not None and word_at[end] - word < LEAST_WORDS:
+                continue
             while end - last > LONGEST:
-                last += LONGEST
+                least, most = np.searchsorted(begin, (last + SHORTEST, last + LONGEST + 1))
+                word = int(most - 1 - np.argmin(h[begin[least:most][::-1] - 1])) if most > least else None
+                last = last + LONGEST if word is None else int(begin[word])
                 while last < stop and inside[last]:
                     last += 1
                 mine.append(last)
@@ -63,7 +102,7 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                     end += 1
                 if end > last:
                     mine.append(end)
-                    last = end
+                    last, word = end, word_at.get(end)
         cuts += mine
         texts += [n] * len(mine)
     return np.array(texts, np.int64), np.array(cuts, np.int64)
@@ -80,7 +119,8 @@ def chunks(rows: DataFrame, key: list[str], text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows_, data, offsets in text_slices(batch, "__text"):
-                owner, end = cut(data, offsets)
+                begin = words_of(data, offsets)[0]
+                owner, end = cut(data, offsets, begin)
                 if not len(owner):
                     continue
                 start = np.concatenate(([0], end[:-1]))
@@ -88,7 +128,6 @@ def chunks(rows: DataFrame, key: list[str], text: str) -> DataFrame:
                 start[fresh] = offsets[owner[fresh]]
                 raw, digest = data.tobytes(), xxhash.xxh3_128_digest
                 sums = np.frombuffer(b"".join([digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())]), ">i8").reshape(-1, 2).astype(np.int64)
-                begin = words_of(data, offsets)[0]
                 words = np.searchsorted(begin, end) - np.searchsorted(begin, start)
                 columns = [(start - offsets[owner]).astype(np.int32), (end - start).astype(np.int32), words.astype(np.int32), sums[:, 0].copy(), sums[:, 1].copy()]
                 yield pa.RecordBatch.from_arrays([*(column_of(batch, k, rows_).take(pa.array(owner)) for k in key), *map(pa.array, columns)], schema.names)

@@ -131,3 +131,24 @@ def test_copies_that_share_a_passage_with_an_earlier_document(spark):
     data, offsets = arrays([before[2].encode()])
     ends = chunks.cut(data, offsets)[1].tolist()
     assert all(any(before[2].encode()[a:b] in t.encode() for t in after.values()) for a, b in zip([0, *ends], ends))
+
+
+def test_repeated_words_and_rows_are_cut_alike_in_any_surroundings():
+    rnd = random.Random(8)
+    text = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+
+    def held(raw):
+        data, offsets = arrays([text(50).encode(), raw, b"x"])
+        owner, end = chunks.cut(data, offsets)
+        ends = (end[owner == 1] - offsets[1]).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    missed = 0
+    for n in range(60):
+        passage = (text(1) + " ") * 60 if n % 2 else (text(rnd.randint(2, 5)).replace(" ", " | ") + "\n") * 30
+        a, b = (held(f"{text(n % 7 + 9)} {passage}{text(12)}".encode()) for _ in range(2))
+        assert all(len(c) <= chunks.LONGEST + 3 for c in a)
+        missed += sum(len(c.split()) for c in a if c in b) < chunks.LEAST_WORDS
+    assert missed <= 2
+    # words said a few times are not the passage in which they are said over and over
+    assert not set(held(f"{text(9)} {'the ' * 12}{text(9)}".encode())) & set(held(f"{text(9)} {'the ' * 70}{text(9)}".encode()))
