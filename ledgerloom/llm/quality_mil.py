@@ -28,7 +28,7 @@ from ledgerloom.llm.toxicity import sample_labelled
 
 #: Words of a passage.
 WORDS = 48
-#: Labelled rows that a net is fitted on, at most (those of smallest hash).
+#: Distinct labelled rows that a net is fitted on, at most (those of smallest hash).
 MAX_ROWS = 8_000
 _CLASSES = 12
 
@@ -183,7 +183,7 @@ def fit_texts(batches: list[pa.RecordBatch], text: str, labels: np.ndarray) -> N
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text",
         max_rows: int = MAX_ROWS) -> Net:
     """The net of ``labels.<label>`` (0 or 1) on a sample of at most
-    ``max_rows`` labelled keys, fitted in one task in an order that does not
+    ``max_rows`` labelled rows, fitted in one task in an order that does not
     depend on the partitions.  Without any label it is the untrained net."""
     sample = sample_labelled(docs, labels, label, key, text, max_rows).repartition(1).sortWithinPartitions("__h", "__key", "__label", "__text")
 

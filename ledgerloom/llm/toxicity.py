@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import column_of, mix, run_hashes, runs_of, smallest_hashes, text_slices
+from ledgerloom.llm.common import column_of, mix, run_hashes, runs_of, smallest_hashes, text_slices, written
 
-#: Labelled rows that a model is fitted on, at most (those of smallest hash).
+#: Distinct labelled rows that a model is fitted on, at most (those of smallest hash).
 MAX_ROWS = 12_000
 #: Texts of the sample that a feature must occur in.
 LEAST_TEXTS = 4
@@ -136,20 +136,28 @@ def fit_texts(batches: list[pa.RecordBatch], text: str, labels: np.ndarray, ftrl
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text",
                     max_rows: int = MAX_ROWS) -> DataFrame:
-    """At most ``max_rows`` labelled keys, of smallest hash, with their texts
-    (``__text``, ``__label``).  Rows without key, label or text fall away; the
-    keys are few by their bound, so they are broadcast."""
+    """At most ``max_rows`` distinct rows of key, label and text (``__text``,
+    ``__label``): those of smallest hash of key and text, among the rows of the
+    ``max_rows`` labelled keys of smallest hash.  Rows without key, label or
+    text fall away.  Repeats are combined before they are shuffled, a hash in
+    place of each text, and the texts of the rows that remain are read again;
+    keys and rows are few by their bound, so they are broadcast."""
     some = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
-            .select(F.col(key).alias("__key"), F.col(label).cast("double").alias("__label"), F.xxhash64(key).alias("__h")))
+            .select(F.col(key).alias("__key"), F.col(label).cast("double").alias("__label"), F.xxhash64(key).alias("__h")).distinct())
     some = smallest_hashes(some, "__h", max_rows, some.count(), "__key", "__label")
-    rows = docs.select(F.col(key).alias("__doc"), F.col(text).alias("__text")).where(F.col(text).isNotNull())
-    return rows.join(F.broadcast(some), F.col("__doc") == F.col("__key")).select("__h", "__key", "__text", "__label")
+    texts = docs.select(F.col(key).alias("__doc"), F.col(text).alias("__text")).where(F.col(text).isNotNull())
+    name = F.xxhash64(F.col("__doc"), F.col("__text"))
+    rows = written(texts.join(F.broadcast(some), F.col("__doc") == F.col("__key"))
+                   .select("__h", "__key", "__label", name.alias("__r")).distinct(), "sample")
+    few = smallest_hashes(rows, "__r", max_rows, rows.count(), "__key", "__label")
+    return (texts.join(F.broadcast(few), (F.col("__doc") == F.col("__key")) & (name == F.col("__r")))
+            .select("__h", "__key", "__text", "__label").distinct())
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text",
         max_rows: int = MAX_ROWS, ftrl: Ftrl | None = None) -> Model:
     """The model of ``labels.<label>`` (0 or 1) on a sample of at most
-    ``max_rows`` labelled keys, fitted in one task in an order that does not
+    ``max_rows`` labelled rows, fitted in one task in an order that does not
     depend on the partitions.  Without any label every score is one half."""
     ftrl = ftrl or Ftrl()
     sample = sample_labelled(docs, labels, label, key, text, max_rows).repartition(1).sortWithinPartitions("__h", "__key", "__label", "__text")

@@ -65,3 +65,13 @@ def test_edges_of_the_input(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
     empty = toxicity.fit(docs, labels.limit(0))
     assert {r.score for r in toxicity.score(docs, empty).collect()} == {0.5}
+
+
+def test_the_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(7, "you idiot")] * 300 + [(8, f"text {i}") for i in range(300)] + [(i, "you friend") for i in range(20, 60)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1)] * 5 + [(8, 0), (7, None), (None, 1)] + [(i, 0) for i in range(20, 60)], "doc_id long, toxic int")
+    every = toxicity.sample_labelled(docs, labels, "toxic").select("__key", "__text", "__label").collect()
+    assert len(every) == len(set(every)) == 1 + 300 + 40
+    few = [toxicity.sample_labelled(d, labels, "toxic", max_rows=50).select("__key", "__text", "__label").collect() for d in (docs, docs.repartition(7))]
+    assert len(few[0]) == 50 and set(few[0]) == set(few[1]) < set(every)
