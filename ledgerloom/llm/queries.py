@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chunks, embeddings, mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, toxicity
+from ledgerloom.llm import chunks, embeddings, mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, suffixes, toxicity
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; links at four or fewer differing bits."""
     out = simhash.simhash_groups(read(spark, sf_dir, "documents"), width=4, distance=4)
     return out.select("doc_id", simhash.hex16("fp").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@register("op11_suffixes")
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings of 400 bytes cover which start elsewhere too."""
+    return suffixes.removed(read(spark, sf_dir, "documents"), least=400)
