@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chunks, embeddings, mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, suffixes, toxicity
+from ledgerloom.llm import audit, chunks, embeddings, mixing, pieces, pii, quality_mil, quality_rules, sharding, simhash, suffixes, toxicity, whitening
 from ledgerloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,44 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that strings of 400 bytes cover which start elsewhere too."""
     return suffixes.removed(read(spark, sf_dir, "documents"), least=400)
+
+
+_OP13_SQL = r"""
+WITH m AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN m.doc_id > low THEN 'E' ELSE '' END AS fails,
+             coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+      FROM m LEFT JOIN l ON m.doc_id = l.doc_id),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM f GROUP BY part, fails),
+v(z) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.z || b.z || c.z || d.z || e.z AS filter_order FROM v a, v b, v c, v d, v e
+      WHERE len(list_distinct([a.z, b.z, c.z, d.z, e.z])) = 5),
+s AS (SELECT filter_order, i AS step, substr(filter_order, i, 1) AS own, substr(filter_order, 1, i - 1) AS before FROM o, range(1, 6) r(i)),
+j AS (SELECT part, filter_order, step, own, n, g, x, contains(fails, own) AS hit, fails = own AS alone,
+             length(translate(fails, before, '')) < length(fails) AS gone FROM c, s),
+k AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails, coalesce(sum(g) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+             coalesce(sum(x) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+      FROM j GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM k
+"""
+
+
+@register("op13_audit", _OP13_SQL)
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of each order of five filters removes and loses, by language."""
+    failed = audit.failures(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return audit.audit(failed, "ABCDE")
+
+
+@register("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 16 whitened components of every embedding."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return whitening.component_rows(vectors, whitening.fit(vectors, limit=16))
