@@ -11,7 +11,7 @@ the original order (C1, C2+C9, C3, C4, C5, C6, C7, C8, C10, C11/C12).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import config
@@ -91,9 +91,10 @@ def parse_order_date(raw_col: str = "order_date", month_hint: str = "order_month
     return F.coalesce(own, F.when(~is_null_token(raw), _fallback_date(raw)))
 
 
-def clean_order_dates(df: DataFrame) -> DataFrame:
-    """C1 with the rebuild of year / month / quarter / day; null dates dropped."""
-    out = df.withColumn("order_date", parse_order_date()).where(F.col("order_date").isNotNull())
+def clean_order_dates(df: DataFrame, parsed: Column | None = None) -> DataFrame:
+    """C1 with the rebuild of year / month / quarter / day; null dates dropped.
+    ``parsed`` is the date where a column holds it already."""
+    out = df.withColumn("order_date", parse_order_date() if parsed is None else parsed).where(F.col("order_date").isNotNull())
     return out.withColumns({
         "order_year": F.year("order_date"), "order_month": F.month("order_date"),
         "order_quarter": F.quarter("order_date"), "order_day": F.dayofmonth("order_date"),
@@ -113,23 +114,29 @@ def parse_price(c: str | Column) -> Column:
         _num(text))
 
 
+def with_price_evidence(df: DataFrame) -> DataFrame:
+    """``df`` with the list price's number (``__price``), what the discount
+    identity expects (``__expected``) and their ratio (``__ratio``): columns of
+    their own, so that the texts are parsed once however often they are used."""
+    pct = F.least(F.greatest(_num(F.col("discount_percent")), F.lit(0.0)), F.lit(99.99))
+    out = df.withColumns({"__price": parse_price("original_price_inr"), "__sold": parse_price("discounted_price_inr"), "__pct": pct})
+    out = out.withColumn("__expected", F.when(F.col("__pct").isNull(), F.col("__sold")).otherwise(F.col("__sold") / (1.0 - F.col("__pct") / 100.0)))
+    return out.withColumn("__ratio", F.try_divide(F.abs("__price"), F.when(F.col("__expected") != 0, F.col("__expected")))).drop("__sold", "__pct")
+
+
 def clean_original_price(df: DataFrame) -> DataFrame:
     """C2b + C9: abs, decimal-shift repair (ratio to the discount identity in
     [50, 500] -> /100, [5, 20] -> /10), then the identity when still null or
     more than 50% off; rounded half-even to 2 decimals."""
-    parsed = parse_price("original_price_inr")
-    discounted = parse_price("discounted_price_inr")
-    pct = F.least(F.greatest(_num(F.col("discount_percent")), F.lit(0.0)), F.lit(99.99))
-    expected = F.when(pct.isNull(), discounted).otherwise(discounted / (1.0 - pct / 100.0))
-    work = F.abs(parsed)
-    ratio = F.try_divide(work, F.when(expected != 0, expected))
-    lo100, hi100 = config.DECIMAL_SHIFT_100
-    lo10, hi10 = config.DECIMAL_SHIFT_10
-    work = (F.when(ratio.between(lo100, hi100), work / 100.0).when(ratio.between(lo10, hi10), work / 10.0)
-            .otherwise(work))
-    rel = F.try_divide(F.abs(work - expected), F.when(expected != 0, expected))
-    bad = work.isNull() | (F.coalesce(rel, F.lit(0.0)) > config.PRICE_REL_ERROR_MAX)
-    return df.withColumn("original_price_inr", F.bround(F.when(bad, expected).otherwise(work), 2))
+    if "__ratio" not in df.columns:
+        df = with_price_evidence(df)
+    size, expected, ratio = F.abs("__price"), F.col("__expected"), F.col("__ratio")
+    shift = F.when(ratio.between(*config.DECIMAL_SHIFT_100), 100.0).when(ratio.between(*config.DECIMAL_SHIFT_10), 10.0).otherwise(1.0)
+    out = df.withColumn("__work", size / shift)
+    off = F.try_divide(F.abs(F.col("__work") - expected), F.when(expected != 0, expected))
+    kept = F.col("__work").isNotNull() & (F.coalesce(off, F.lit(0.0)) <= config.PRICE_REL_ERROR_MAX)
+    return out.withColumn("original_price_inr", F.bround(F.when(kept, F.col("__work")).otherwise(expected), 2)).drop(
+        "__price", "__expected", "__ratio", "__work")
 
 
 def parse_rating(c: str | Column) -> Column:
@@ -233,9 +240,19 @@ def handle_duplicates(df: DataFrame, order: tuple[str, ...] = ("source_file", "t
     clone; a null key part is a value like others.
     """
     base = df.where(~F.coalesce(F.col("transaction_id").endswith("_DUP"), F.lit(False)))
+    return first_rows(base, order).drop(MORE)
+
+
+#: How many rows beyond the one that stays a business key had.
+MORE = "__more"
+
+
+def first_rows(df: DataFrame, order: tuple[str, ...] = ("source_file", "transaction_id")) -> DataFrame:
+    """The first row of each business key, with ``MORE``."""
     rank = F.struct(*[F.col(o) for o in order if o in df.columns], *[F.col(c) for c in df.columns])
-    first = base.groupBy(*DUP_KEY).agg(F.min(F.struct(rank.alias("rank"), F.struct(*df.columns).alias("row"))).alias("w"))
-    return first.select("w.row.*")
+    first = df.groupBy(*DUP_KEY).agg(F.min(F.struct(rank.alias("rank"), F.struct(*df.columns).alias("row"))).alias("w"),
+                                     (F.count("*") - 1).alias(MORE))
+    return first.select("w.row.*", MORE)
 
 
 def standardise_payment(c: str | Column) -> Column:
@@ -269,31 +286,220 @@ def clean_remaining_fields(df: DataFrame) -> DataFrame:
     return backfill_age(out)
 
 
+#: Whether a row's age was neither given nor found.
+UNFILLED = "__unfilled"
+
+
 def backfill_age(df: DataFrame, order: tuple[str, ...] = ("order_date", "transaction_id")) -> DataFrame:
     """Per-customer first non-null age (``min_by`` over non-null rows,
-    a two-phase aggregate) joined back; remaining nulls -> 'Unknown'."""
+    a two-phase aggregate) joined back; remaining nulls -> 'Unknown', and ``UNFILLED``."""
     age = F.when(~is_null_token("customer_age_group"), F.col("customer_age_group"))
     lookup_df = (df.where(age.isNotNull()).groupBy("customer_id")
                  .agg(F.min_by("customer_age_group", F.struct(*order)).alias("_age")))
     out = df.join(lookup_df, "customer_id", "left")
-    return out.withColumn("customer_age_group", F.coalesce(age, F.col("_age"), F.lit("Unknown"))).drop("_age")
-
-
-def clean_transactions(raw: DataFrame) -> DataFrame:
-    """The whole pipeline over an all-string raw frame (A1 output).
+    return out.withColumns({"customer_age_group": F.coalesce(age, F.col("_age"), F.lit("Unknown")),
+                            UNFILLED: age.isNull() & F.col("_age").isNull()}).drop("_age")
+
+
+def _n(cond: Column) -> Column:
+    return F.count_if(F.coalesce(cond, F.lit(False)))
+
+
+def _date_counts() -> list[Column]:
+    """Metrics of the rows as they come in, with ``__date``."""
+    cls = F.coalesce(_date_class(F.trim("order_date")), F.lit("other"))
+    names = {"iso": "iso_yyyy_mm_dd", "slash": "slash_mixed", "dash": "dash_dd_mm_yyyy", "dash_yy": "dash_dd_mm_yy"}
+    return [F.count("*").alias("rows_before"), *[_n(cls == k).alias(f"q1_date.{n}") for k, n in names.items()],
+            _n(F.col("__date").isNull()).alias("q1_date.invalid_or_unparseable"), F.count("__date").alias("q1_date.standardized_valid")]
+
+
+def _price_and_rating_counts() -> list[Column]:
+    """Metrics of the rows that have a date, with ``with_price_evidence`` and ``__rating``."""
+    price, ratio, text = F.col("__price"), F.col("__ratio"), F.col("original_price_inr")
+    by_100, by_10 = ratio.between(*config.DECIMAL_SHIFT_100), ratio.between(*config.DECIMAL_SHIFT_10)
+    left = F.abs(F.when(by_100, ratio / 100.0).when(by_10, ratio / 10.0).otherwise(ratio) - 1)
+    blank, rating = is_null_token("customer_rating"), F.col("__rating")
+    return [_n(text.rlike("(?i)₹|rs|inr")).alias("q2_price.currency_symbol_rows"), _n(text.contains(",")).alias("q2_price.comma_separator_rows"),
+            _n(price.isNull()).alias("q2_price.unparsed_including_price_on_request"), _n(price < 0).alias("q2_price.negative_sign_errors"),
+            _n(by_100).alias("q9_outliers.corrected_100x_decimal_shift"), _n(by_10).alias("q9_outliers.corrected_10x_decimal_shift"),
+            _n(price.isNull() | (left > config.PRICE_REL_ERROR_MAX)).alias("q9_outliers.rebuilt_from_discount_identity"),
+            _n(blank).alias("q3_rating.missing_before"), _n(rating.isNull()).alias("q3_rating.missing_after_parse"),
+            _n(~blank & rating.isNotNull() & _num(F.col("customer_rating")).isNull()).alias("q3_rating.non_plain_numeric_formats"),
+            _n(rating.isNull()).alias("q3_rating.imputed_companion_filled")]
+
+
+#: Text columns whose values are counted, by the part of the report they belong to.
+_COUNTED = {"q4_city": ["customer_city"], "q5_booleans": ["is_prime_member", "is_prime_eligible", "is_festival_sale"],
+            "q6_category": ["category"], "q7_delivery": ["delivery_days"]}
+
+
+def _value_counts(df: DataFrame, columns: list[str], also: str | None = None) -> DataFrame:
+    """(column, value, also, rows): the columns' values with their counts, in one
+    map-side combined aggregate.  ``also`` splits the counts by a second column."""
+    other = F.trim(also) if also else F.lit(None).cast("string")
+    each = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value"),
+                                                 (other if c == "delivery_days" else F.lit(None).cast("string")).alias("also")) for c in columns])))
+    return each.groupBy("column", "value", "also").agg(F.count("*").alias("rows"))
+
+
+def _after_counts(counts: DataFrame) -> DataFrame:
+    """``_value_counts`` with ``after``: the rules applied to each distinct value, not to rows again."""
+    city = F.regexp_replace(F.trim("value"), r"\s+", " ")
+    cleaned = (F.when(F.col("column") == "customer_city", F.coalesce(lookup(config.CITY_ALIASES, F.lower(city)), F.initcap(city)))
+               .when(F.col("column") == "category", standardise_category("value"))
+               .when(F.col("column") == "payment_method", standardise_payment("value"))
+               .when(F.col("column") == "delivery_days", parse_delivery_days("value", "also").cast("string"))
+               .otherwise(parse_bool("value").cast("string")))
+    return counts.withColumns({"after": cleaned, "changed": F.when(F.col("column") == "customer_city", city != cleaned)})
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """(kind, rows): rows beyond the first of each whole row, id and business
+    key.  Each row gives three 128-bit keys to one aggregate."""
+    def key(*cols: str) -> Column:
+        row = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+        return F.struct(F.xxhash64(row).alias("a"), F.xxhash64(F.lit(1), row).alias("b"))
+
+    kinds = {"exact_row_duplicates_before": df.columns, "transaction_id_duplicates_before": ["transaction_id"], "key_duplicate_rows_before": DUP_KEY}
+    each = df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), key(*c).alias("key")) for k, c in kinds.items()])))
+    return each.groupBy("kind", "key").agg((F.count("*") - 1).alias("n")).groupBy("kind").agg(F.sum("n").alias("rows"))
+
+
+def _nested(flat: dict) -> dict:
+    out: dict = {}
+    for name, value in flat.items():
+        *path, last = name.split(".")
+        at = out
+        for p in path:
+            at = at.setdefault(p, {})
+        at[last] = value
+    return out
+
+
+def run_cleaning(raw: DataFrame, catalog: DataFrame | None = None, out_dir: str | None = None) -> tuple[DataFrame, dict]:
+    """The whole pipeline over an all-string raw frame (A1 output), with
+    the metrics of the run itself: (cleaned rows, metrics).
+
+    Counts of rows are observed on the frames as they are written, so no rule
+    runs a second time for the report; counts of values come from the frames
+    written (raw values by one aggregate, values after a rule by applying it
+    to the distinct ones).  The driver sees those counts, which is what the
+    report consists of.
 
     C3 and C12 look each row up in an aggregate of all rows.  What they read
     is stored first, so the rules before them run once, and a lost executor
-    costs its own part only.
-    """
-    df = clean_order_dates(raw)
-    df = stored(clean_original_price(df), "clean")
+    costs its own part only.  With ``out_dir`` the rows are left there as
+    ``transactions_cleaned`` (parquet by year, sorted by date and id, and CSV),
+    the catalog as ``products_catalog_cleaned`` (parquet and CSV), and the
+    metrics as ``cleaning_metrics.json``."""
+    from ledgerloom.sources.raw import write_csv, write_metrics, write_parquet
+
+    spark = raw.sparkSession
+    seen = {n: Observation(f"cleaning_{n}") for n in ("raw", "dated", "kept", "clean")}
+    df = raw.withColumn("__date", parse_order_date()).observe(seen["raw"], *_date_counts())
+    df = with_price_evidence(clean_order_dates(df, F.col("__date")).drop("__date")).withColumn("__rating", parse_rating("customer_rating"))
+    df = stored(clean_original_price(df.observe(seen["dated"], *_price_and_rating_counts()).drop("__rating")), "clean")
+    texts = [c for columns in _COUNTED.values() for c in columns]
+    counts = {}
+    for r in _after_counts(_value_counts(df, texts, "delivery_type")).collect():
+        counts.setdefault(r["column"], []).append(r)
     df = clean_ratings(df)
     df = clean_cities(df)
     df = clean_booleans(df)
     df = clean_categories(df)
-    df = clean_delivery_days(df)
-    df = stored(handle_duplicates(df), "clean")
-    df = clean_payments(df)
-    df = clean_remaining_fields(df)
-    return df.drop("source_file")
+    df = stored(clean_delivery_days(df), "clean")
+    repeated = {r.kind: r.rows for r in _repeated(df).collect()}
+    clone = F.coalesce(F.col("transaction_id").endswith("_DUP"), F.lit(False))
+    ages = is_null_token("customer_age_group")
+    kept = first_rows(df.where(~clone)).observe(
+        seen["kept"], F.sum(MORE).alias("more"), F.count("*").alias("rows"), _n(parse_price("delivery_charges").isNull()).alias("no_charges"),
+        _n(ages).alias("no_age")).drop(MORE)
+    df = stored(kept, "clean")
+    for r in _after_counts(_value_counts(df, ["payment_method"])).collect():
+        counts.setdefault("payment_method", []).append(r)
+    df = clean_remaining_fields(clean_payments(df)).drop("source_file")
+    # observed above the sort's exchange: what is sampled for its bounds isn't counted twice
+    df = df.repartitionByRange("order_date", "transaction_id").sortWithinPartitions("order_date", "transaction_id").observe(
+        seen["clean"], F.count("*").alias("rows"), F.min("order_date").alias("first"), F.max("order_date").alias("last"),
+        F.sum(F.round(F.col("final_amount_inr") * 100).cast("long")).alias("paise"), _n(F.col("customer_age_group") == "Unknown").alias("unknown"),
+        _n(F.col(UNFILLED)).alias("unfilled")).drop(UNFILLED)
+    if out_dir:
+        write_parquet(df, f"{out_dir}/transactions_cleaned", sort=False)
+        df = spark.read.parquet(f"{out_dir}/transactions_cleaned").select(*df.columns)
+        write_csv(df, f"{out_dir}/transactions_cleaned_csv")
+    else:
+        df = stored(df, "cleaned")
+    got = {n: o.get for n, o in seen.items()}
+
+    def before(column: str) -> dict:
+        out: dict = {}
+        for r in counts.get(column, []):
+            out[str(r.value)] = out.get(str(r.value), 0) + r.rows
+        return out
+
+    def after(column: str) -> dict:
+        out: dict = {}
+        for r in counts.get(column, []):
+            if r.after is not None:
+                out[r.after] = out.get(r.after, 0) + r.rows
+        return out
+
+    groups: dict = {}
+    for method, n in after("payment_method").items():
+        group = config.PAYMENT_HIERARCHY.get(method, "Other")
+        groups[group] = groups.get(group, 0) + n
+    unnamed = sum(r.rows for r in counts.get("payment_method", []) if r.after is None)
+    if unnamed:
+        groups["Other"] = groups.get("Other", 0) + unnamed
+    days = [int(x) for x in after("delivery_days")]
+    rows = got["raw"]["q1_date.standardized_valid"]
+    metrics = _nested({k: v for k, v in (got["raw"] | got["dated"]).items()}) | {"columns_before": raw.columns}
+    metrics["q4_city"] = {"unique_before": len(before("customer_city")), "unique_after": len(after("customer_city")),
+                          "rows_standardised": sum(r.rows for r in counts.get("customer_city", []) if r.changed)}
+    metrics["q5_booleans"] = {"columns": {
+        c: {"raw_value_counts": before(c), "true_after": after(c).get("true", 0), "false_after": after(c).get("false", 0)} for c in _COUNTED["q5_booleans"]}}
+    metrics["q6_category"] = {"raw_value_counts": before("category"), "unique_after": len(after("category")), "after_value_counts": after("category")}
+    metrics["q7_delivery"] = {"raw_value_counts": before("delivery_days"), "after_min": min(days, default=None), "after_max": max(days, default=None)}
+    more = got["kept"]["more"] or 0
+    metrics["q8_duplicates"] = {
+        **{k: repeated.get(k, 0) for k in ("exact_row_duplicates_before", "transaction_id_duplicates_before", "key_duplicate_rows_before")},
+        "txn_id_dup_suffix_removed": rows - got["kept"]["rows"] - more, "key_duplicates_remaining_after_suffix_drop": more, "rows_after": got["kept"]["rows"]}
+    metrics["q10_payment"] = {"raw_value_counts": before("payment_method"), "after_value_counts": after("payment_method"), "hierarchy_counts": groups}
+    metrics["other_missing"] = {
+        "delivery_charges_missing_filled_with_zero": got["kept"]["no_charges"], "age_missing_before": got["kept"]["no_age"],
+        "age_recovered_from_same_customer": got["kept"]["no_age"] - got["clean"]["unfilled"], "age_left_as_unknown": got["clean"]["unknown"]}
+    metrics |= {"rows_after": got["clean"]["rows"], "catalog_rows": catalog.count() if catalog is not None else None,
+                "date_min": str(got["clean"]["first"]) if got["clean"]["first"] else None,
+                "date_max": str(got["clean"]["last"]) if got["clean"]["last"] else None, "revenue_inr": (got["clean"]["paise"] or 0) / 100}
+    if out_dir:
+        if catalog is not None:
+            catalog.write.mode("overwrite").parquet(f"{out_dir}/products_catalog_cleaned")
+            write_csv(catalog, f"{out_dir}/products_catalog_cleaned_csv")
+        write_metrics(spark, metrics, f"{out_dir}/cleaning_metrics.json")
+    return df, metrics
+
+
+def metric_rows(spark: SparkSession, metrics: dict) -> DataFrame:
+    """Metrics as (metric, key, value) rows: ``metric`` is the path in the
+    report, ``key`` a counted value where there is one.  Texts (dates) have their digits as the value."""
+    rows = []
+
+    def walk(path: str, x: object) -> None:
+        if isinstance(x, dict):
+            counted = path.endswith("_counts")
+            for k, v in x.items():
+                rows.append((path, k, float(v))) if counted else walk(f"{path}.{k}" if path else k, v)
+        elif isinstance(x, list):
+            rows.append((path, None, float(len(x))))
+        elif isinstance(x, str):
+            rows.append((path, None, float(x.replace("-", ""))))
+        elif x is not None:
+            rows.append((path, None, float(x)))
+
+    walk("", metrics)
+    return spark.createDataFrame(rows, "metric string, key string, value double")
+
+
+def clean_transactions(raw: DataFrame) -> DataFrame:
+    """The cleaned rows of ``run_cleaning``."""
+    return run_cleaning(raw)[0]

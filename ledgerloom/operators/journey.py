@@ -8,11 +8,11 @@ from collections.abc import Sequence
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.exprs import msum
+from ledgerloom.functions.exprs import paise
 from ledgerloom.session import stored
 
 
@@ -115,64 +115,81 @@ def cohort_retention(df: DataFrame, entity: str, date_col: str, period_col: str,
     )
 
 
+def baskets(df: DataFrame, entity: str, item: str, items: Sequence) -> DataFrame:
+    """One row an entity: ``bits``, its items as an array of 63-bit sets, bit
+    ``n`` of word ``w`` standing for ``items[63 w + n]``.  ``bit_or`` is combined
+    map-side, so an entity that holds a third of all rows is one row a task."""
+    words = -(-len(items) // 63) or 1
+    number = F.try_element_at(F.create_map(*[x for n, v in enumerate(items) for x in (F.lit(v), F.lit(n))]), F.col(item)) if items else F.lit(None).cast("int")
+    sets = df.where(F.col(entity).isNotNull()).withColumn("_no", number).groupBy(entity).agg(*[
+        F.coalesce(F.bit_or(F.when(F.floor(F.col("_no") / 63) == w, F.expr("shiftleft(1L, _no % 63)"))), F.lit(0).cast("long")).alias(f"_w{w}") for w in range(words)])
+    return sets.select(entity, F.array(*[f"_w{w}" for w in range(words)]).alias("bits"))
+
+
 def association_rules(df: DataFrame, entity: str, item: str, max_items: int = 200) -> DataFrame:
     """Pairwise rules a -> b (a != b) over entities.
 
-    support = entities with both / all entities; confidence = both /
-    entities with a.  Built from distinct (entity, item) pairs: the self-
-    join is per entity, so its output is bounded by sum over entities of
-    (#items per entity)^2 <= #items^2 per entity (a small vocabulary), and
-    the pair counts are partially aggregated before the shuffle.  Every
-    ordered pair of items appears, zero pairs included.  An item vocabulary
-    of more than ``max_items`` is an error: the pairs grow with its square.
-    """
-    ei = df.select(entity, item).where(F.col(item).isNotNull()).distinct()
-    too_many = F.raise_error(F.lit(f"association rules: more than {max_items} items"))
-    n = ei.agg(F.countDistinct(entity).alias("_n"), F.countDistinct(item).alias("_items")).select(
-        F.when(F.col("_items") <= max_items, F.col("_n")).otherwise(too_many.cast("long")).alias("_n"))
-    buyers = ei.groupBy(item).agg(F.count("*").alias("_buyers"))
-    a = ei.select(F.col(entity).alias("_e"), F.col(item).alias("from"))
-    b = ei.select(F.col(entity).alias("_e"), F.col(item).alias("to"))
-    both = a.join(b, "_e").where(F.col("from") != F.col("to")).groupBy("from", "to").agg(
-        F.count("*").alias("both"))
-    items = ei.select(item).distinct()
-    grid = F.broadcast(items.select(F.col(item).alias("from"))).crossJoin(
-        F.broadcast(items.select(F.col(item).alias("to")))).where(F.col("from") != F.col("to"))
-    out = (
-        grid.join(both, ["from", "to"], "left")
-        .join(buyers.withColumnRenamed(item, "from"), "from")
-        .crossJoin(F.broadcast(n))
-    )
-    both_c = F.coalesce(F.col("both"), F.lit(0)).cast("double")
+    support = entities with both / all entities that have an item; confidence
+    = both / entities with a.  Each entity becomes one bit set over the items;
+    equal sets are one row with a count, and each distinct set gives its pairs
+    with that count, so pairs are never joined and a set that many entities
+    have is expanded once.  Every ordered pair of items appears, zero pairs
+    included.  An item vocabulary of more than ``max_items`` is an error: the
+    pairs grow with its square."""
+    pairs = stored(df.select(entity, item).where(F.col(entity).isNotNull() & F.col(item).isNotNull()).distinct(), "entity-items")
+    items = [r[0] for r in pairs.select(item).distinct().orderBy(item).limit(max_items + 1).collect()]
+    if len(items) > max_items:
+        raise ValueError(f"association rules: more than {max_items} items")
+    kind = pairs.schema[item].dataType
+    sets = stored(baskets(pairs, entity, item, items).groupBy("bits").agg(F.count("*").alias("n")), "baskets")
+    values = F.array(*[F.lit(v).cast(kind) for v in items]) if items else F.array().cast(T.ArrayType(kind))
+    held = F.filter(F.sequence(F.lit(0), F.lit(max(len(items) - 1, 0))),
+                    lambda i: F.get("bits", F.floor(i / 63).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(i, F.lit(63)).cast("int"))) != 0)
+    some = sets.select("n", held.alias("h"))
+    both = some.select("n", F.explode(F.flatten(F.transform("h", lambda a: F.transform("h", lambda b: F.struct(a.alias("a"), b.alias("b")))))).alias("x")).groupBy(
+        "x.a", "x.b").agg(F.sum("n").alias("both"))
+    # at most max_items squared rows: the counts as a map from pair to entities
+    counts = both.agg(F.map_from_entries(F.collect_list(F.struct(F.col("a") * (max_items + 1) + F.col("b"), "both"))).alias("m"))
+    total = sets.agg(F.sum("n").alias("_n"))
+    numbers = F.sequence(F.lit(0), F.lit(max(len(items) - 1, 0)))
+    grid = F.filter(F.flatten(F.transform(numbers, lambda a: F.transform(numbers, lambda b: F.struct(a.alias("a"), b.alias("b"))))), lambda x: x["a"] != x["b"])
+    out = counts.crossJoin(F.broadcast(total)).select("m", "_n", F.explode(grid).alias("x")).where(F.lit(len(items) > 1))
+
+    def count(a: Column, b: Column) -> Column:
+        return F.coalesce(F.try_element_at("m", a * (max_items + 1) + b), F.lit(0)).cast("double")
+
+    pair, own = count(F.col("x.a"), F.col("x.b")), count(F.col("x.a"), F.col("x.a"))
     return out.select(
-        "from", "to",
-        (both_c / F.col("_n")).alias("support"),
-        F.when(F.col("_buyers") > 0, both_c / F.col("_buyers")).otherwise(F.lit(0.0)).alias("confidence"),
-    )
+        F.get(values, F.col("x.a")).alias("from"), F.get(values, F.col("x.b")).alias("to"),
+        (pair / F.col("_n")).alias("support"), F.when(own > 0, pair / own).otherwise(F.lit(0.0)).alias("confidence"))
 
 
 def event_windows(tx: DataFrame, date_col: str, amount: str, event_flag, before_days: int = 14,
                   after_days: int = 14) -> DataFrame:
     """Revenue per day before / during / after each year's event.
 
-    The fact is first reduced to one row per day; the yearly event spans
-    (one row per year) are broadcast and range-joined to the daily series.
-    ``during`` uses only the event's own rows, divided by its span in days.
+    The fact is read once and reduced to one row per day, with the share of
+    its event rows beside it; that series is stored (its length is the
+    calendar's) and gives both the yearly spans and the days around them, to
+    which the spans (one row per year) are broadcast.  ``during`` uses only
+    the event's own rows, divided by its span in days.
     """
-    daily = tx.groupBy(date_col).agg(msum(amount).alias("_rev"))
-    ev = tx.where(event_flag).groupBy(F.year(date_col).alias("year")).agg(
-        F.min(date_col).alias("_start"), F.max(date_col).alias("_end"), msum(amount).alias("_during"))
+    event = F.coalesce(event_flag, F.lit(False))
+    daily = stored(tx.groupBy(date_col).agg(
+        F.coalesce(F.sum(paise(amount)), F.lit(0)).alias("_rev"), F.sum(F.when(event, paise(amount))).alias("_event_rev"),
+        F.max(event).alias("_event")), "daily")
+    ev = daily.where("_event").groupBy(F.year(date_col).alias("year")).agg(
+        F.min(date_col).alias("_start"), F.max(date_col).alias("_end"), (F.sum("_event_rev") / 100.0).alias("_during"))
     d = F.col(date_col)
     joined = daily.join(
         F.broadcast(ev),
         ((d >= F.date_sub("_start", before_days)) & (d < F.col("_start")))
         | ((d > F.col("_end")) & (d <= F.date_add("_end", after_days))),
+        "right",
     )
-    sides = joined.groupBy("year").agg(
-        F.sum(F.when(d < F.col("_start"), F.round(F.col("_rev") * 100).cast("long"))).alias("_b"),
-        F.sum(F.when(d > F.col("_end"), F.round(F.col("_rev") * 100).cast("long"))).alias("_a"),
-    )
-    return ev.join(sides, "year", "left").select(
+    sides = joined.groupBy("year", "_start", "_end", "_during").agg(
+        F.sum(F.when(d < F.col("_start"), F.col("_rev"))).alias("_b"), F.sum(F.when(d > F.col("_end"), F.col("_rev"))).alias("_a"))
+    return sides.select(
         "year",
         (F.coalesce("_b", F.lit(0)) / 100.0 / before_days).alias("before_daily"),
         (F.col("_during") / F.greatest(F.datediff("_end", "_start") + 1, F.lit(1))).alias("during_daily"),

@@ -12,15 +12,21 @@ delivery days, unknown ages), that rule restated in SQL.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import config
 from ledgerloom.functions.exprs import msum
 from ledgerloom.operators import cleaning as C
-from ledgerloom.plans.dirty import CITY_KEYS, dirty_files, dirty_sales
-from ledgerloom.plans.oracle_sql import sql_msum, with_sales
+from ledgerloom.plans.dirty import (CATEGORY_SPELLINGS, CITY_KEYS, COPIES_SQL, DATE_CLASS_SQL, FALSE_SPELLINGS, PAYMENT_KEYS, RAW_INPUT, TRUE_SPELLINGS,
+                                    dirty_files, dirty_sales)
+from ledgerloom.plans.oracle_sql import CATALOG_CTE, sql_msum, with_sales
 from ledgerloom.plans.registry import register
+from ledgerloom.session import run_folder
+from ledgerloom.sources.raw import load_catalog, read_metrics, scan_raw_transactions, write_csv
+from ledgerloom.sources.tables import catalog
 
 
 def _raw(spark, d, columns=None):
@@ -172,3 +178,132 @@ def c13(spark: SparkSession, d: str) -> DataFrame:
     return out.agg(F.count("*").alias("rows_after"), msum("final_amount_inr").alias("revenue"),
                    F.min("order_date").alias("date_min"), F.max("order_date").alias("date_max"),
                    F.countDistinct("customer_city").alias("cities"))
+
+
+# ------------------------------------------------------------------ C13 metrics of the run
+def _text_counts(metric: str, text: str, frame: str = "r", weight: str = "w") -> str:
+    return f"SELECT '{metric}' AS metric, {text} AS key, CAST(sum({weight}) AS DOUBLE) AS value FROM {frame} GROUP BY {text}"
+
+
+def _picked(options: list[str], index: str) -> str:
+    return "CASE " + index + " % " + str(len(options)) + " " + " ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(options)) + " END"
+
+
+def _flag_text(c: str) -> str:
+    return f"CASE WHEN {c} THEN {_picked(TRUE_SPELLINGS, 'order_day')} ELSE {_picked(FALSE_SPELLINGS, 'order_day')} END"
+
+
+_PAY_KEY = "CASE payment_method " + " ".join(f"WHEN '{m}' THEN {_picked(keys, 'order_day')}" for m, keys in PAYMENT_KEYS.items() if keys) + " END"
+_PAY_TEXT = f"CASE order_month % 3 WHEN 0 THEN {_PAY_KEY} WHEN 1 THEN upper({_PAY_KEY}) ELSE replace({_PAY_KEY}, ' ', '_') END"
+_DELIVERY_TEXT = """CASE order_day % 6 WHEN 0 THEN CAST(delivery_days AS VARCHAR)
+  WHEN 1 THEN CASE WHEN delivery_type = 'Same Day' THEN 'Same Day' ELSE CAST(delivery_days AS VARCHAR) END
+  WHEN 2 THEN CASE WHEN delivery_type = 'Express' THEN 'express' ELSE CAST(delivery_days AS VARCHAR) END
+  WHEN 3 THEN '1-2 days' WHEN 4 THEN '-1' ELSE '0' END"""
+_DELIVERY_CLEAN = """CASE WHEN order_day % 6 = 0 THEN delivery_days
+  WHEN order_day % 6 = 1 THEN CASE WHEN delivery_type = 'Same Day' THEN 1 ELSE delivery_days END
+  WHEN order_day % 6 = 2 THEN CASE WHEN delivery_type = 'Express' THEN 2 ELSE delivery_days END
+  WHEN order_day % 6 = 3 THEN CASE WHEN delivery_type = 'Same Day' THEN 1 ELSE 2 END
+  ELSE CASE delivery_type WHEN 'Same Day' THEN 1 WHEN 'Express' THEN 2 ELSE 3 END END"""
+#: Cities whose title-case spelling is the canonical name already.
+_PLAIN_CITIES = [i for i, k in enumerate(CITY_KEYS) if string.capwords(k) == config.CITY_ALIASES[k]]
+_FLAGS = ("is_prime_member", "is_prime_eligible", "is_festival_sale")
+
+_RUN_SINGLE = {
+    "rows_before": "sum(w)", "columns_before": str(len(RAW_INPUT)),
+    "q1_date.iso_yyyy_mm_dd": "sum(w) FILTER (WHERE dc = 'iso')", "q1_date.slash_mixed": "sum(w) FILTER (WHERE dc = 'slash')",
+    "q1_date.dash_dd_mm_yyyy": "sum(w) FILTER (WHERE dc = 'dash')", "q1_date.dash_dd_mm_yy": "sum(w) FILTER (WHERE dc = 'dash_yy')",
+    "q1_date.invalid_or_unparseable": "0", "q1_date.standardized_valid": "sum(w)",
+    "q2_price.currency_symbol_rows": "sum(w) FILTER (WHERE order_day % 7 IN (1, 2))",
+    "q2_price.comma_separator_rows": "sum(w) FILTER (WHERE order_day % 7 = 1 AND original_price_inr >= 1000)",
+    "q2_price.unparsed_including_price_on_request": "sum(w) FILTER (WHERE order_day % 7 = 6)",
+    "q2_price.negative_sign_errors": "sum(w) FILTER (WHERE order_day % 7 = 3)",
+    "q9_outliers.corrected_100x_decimal_shift": "sum(w) FILTER (WHERE order_day % 7 = 5)",
+    "q9_outliers.corrected_10x_decimal_shift": "sum(w) FILTER (WHERE order_day % 7 = 4)",
+    "q9_outliers.rebuilt_from_discount_identity": "sum(w) FILTER (WHERE order_day % 7 = 6)",
+    "q3_rating.missing_before": "sum(w) FILTER (WHERE customer_rating IS NULL)", "q3_rating.missing_after_parse": "sum(w) FILTER (WHERE customer_rating IS NULL)",
+    "q3_rating.non_plain_numeric_formats": "sum(w) FILTER (WHERE customer_rating IS NOT NULL AND order_day % 4 <> 0)",
+    "q3_rating.imputed_companion_filled": "sum(w) FILTER (WHERE customer_rating IS NULL)",
+    "q4_city.unique_before": f"count(DISTINCT (customer_id % {len(CITY_KEYS)}, order_day % 3))", "q4_city.unique_after": f"count(DISTINCT {_CITY_CASE})",
+    "q4_city.rows_standardised": f"sum(w) FILTER (WHERE order_day % 3 <> 2 OR NOT list_contains({_PLAIN_CITIES}, customer_id % {len(CITY_KEYS)}))",
+    **{f"q5_booleans.columns.{c}.{n}": f"sum(w) FILTER (WHERE {f}{c})" for c in _FLAGS for n, f in (("true_after", ""), ("false_after", "NOT "))},
+    "q6_category.unique_after": "1", "q7_delivery.after_min": f"min({_DELIVERY_CLEAN})", "q7_delivery.after_max": f"max({_DELIVERY_CLEAN})",
+    "q8_duplicates.exact_row_duplicates_before": "sum(w) - (SELECT sum(w) FROM (SELECT DISTINCT * FROM r))",
+    "q8_duplicates.transaction_id_duplicates_before": "sum(w) - (SELECT sum(w) FROM (SELECT DISTINCT transaction_id, w FROM r))",
+    "q8_duplicates.key_duplicate_rows_before": "sum(w) - (SELECT count(*) FROM k)",
+    "q8_duplicates.txn_id_dup_suffix_removed": "count(*) FILTER (WHERE w = 3)",
+    "q8_duplicates.key_duplicates_remaining_after_suffix_drop": "sum(w) - count(*) FILTER (WHERE w = 3) - (SELECT count(*) FROM k)",
+    "q8_duplicates.rows_after": "(SELECT count(*) FROM k)",
+    "other_missing.delivery_charges_missing_filled_with_zero": "(SELECT count(*) FROM k WHERE order_day % 9 = 0)",
+    "other_missing.age_missing_before": "(SELECT count(*) FROM k WHERE order_day % 4 = 0)",
+    "other_missing.age_recovered_from_same_customer": "(SELECT count(*) FROM k WHERE order_day % 4 = 0 AND donor)",
+    "other_missing.age_left_as_unknown": "(SELECT count(*) FROM k WHERE customer_age_group = 'Unknown' AND donor OR NOT donor)",
+    "rows_after": "(SELECT count(*) FROM k)", "catalog_rows": "(SELECT count(*) FROM part)",
+    "date_min": "CAST(strftime(min(order_date), '%Y%m%d') AS BIGINT)", "date_max": "CAST(strftime(max(order_date), '%Y%m%d') AS BIGINT)",
+    "revenue_inr": "(SELECT sum(CAST(round(final_amount_inr * 100) AS BIGINT)) FROM k) / 100",
+}
+
+_RUN_SQL = f"""
+r AS (SELECT *, {COPIES_SQL} AS w, {DATE_CLASS_SQL} AS dc FROM sales),
+k AS (SELECT *, bool_or(order_day % 4 <> 0) OVER (PARTITION BY customer_id) AS donor FROM (
+        SELECT *, row_number() OVER (PARTITION BY customer_id, product_id, order_date, final_amount_inr ORDER BY transaction_id) AS rn FROM sales)
+      WHERE rn = 1),
+one AS (SELECT {", ".join(f'CAST(coalesce({e}, 0) AS DOUBLE) AS "{n}"' for n, e in _RUN_SINGLE.items())} FROM r)
+SELECT metric, CAST(NULL AS VARCHAR) AS key, value FROM (SELECT * FROM one) UNPIVOT INCLUDE NULLS (value FOR metric IN (*))
+""" + "".join(f" UNION ALL {x}" for x in (
+    *(_text_counts(f"q5_booleans.columns.{c}.raw_value_counts", _flag_text(c)) for c in _FLAGS),
+    _text_counts("q6_category.raw_value_counts", _picked(CATEGORY_SPELLINGS, "order_day")), _text_counts("q6_category.after_value_counts", "category"),
+    _text_counts("q7_delivery.raw_value_counts", _DELIVERY_TEXT), _text_counts("q10_payment.raw_value_counts", _PAY_TEXT, "k", "1"),
+    _text_counts("q10_payment.after_value_counts", "payment_method", "k", "1"), _text_counts("q10_payment.hierarchy_counts", "payment_method_group", "k", "1")))
+
+
+@register("C13_run_report", with_sales(_RUN_SQL))
+def c13_report(spark: SparkSession, d: str) -> DataFrame:
+    """A cleaning run that leaves sorted rows, the catalog and its
+    report as files; every figure of the report, read back from it."""
+    out = run_folder(spark, "cleaning-run")
+    C.run_cleaning(dirty_files(spark, d), catalog(spark, d), out)
+    return C.metric_rows(spark, read_metrics(spark, f"{out}/cleaning_metrics.json"))
+
+
+@register("A2_catalog_roundtrip", with_sales("""
+SELECT product_id, product_name, category, subcategory, brand, base_price_2015, weight_kg, rating, is_prime_eligible, launch_year, model FROM products""",
+                                             CATALOG_CTE))
+def a2_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """A2 / A4: the catalog written as CSV with messy categories, flags and blanks around names, and loaded clean."""
+    messy = catalog(spark, d).withColumns({
+        "category": F.element_at(F.array(*map(F.lit, CATEGORY_SPELLINGS)), (F.col("product_id") % len(CATEGORY_SPELLINGS) + 1).cast("int")),
+        "is_prime_eligible": F.when(F.col("is_prime_eligible"), "Yes").otherwise("n"), "product_name": F.concat(F.lit("  "), "product_name", F.lit(" "))})
+    out = run_folder(spark, "catalog")
+    write_csv(messy, out)
+    loaded = load_catalog(spark, out)
+    return loaded.withColumn("product_id", F.col("product_id").cast("long"))
+
+
+@register("A3_cleaned_by_year", with_sales(f"""
+k AS (SELECT *, row_number() OVER (PARTITION BY customer_id, product_id, order_date, final_amount_inr ORDER BY transaction_id) AS rn FROM sales)
+SELECT order_year, count(*) AS rows, {sql_msum("final_amount_inr")} AS revenue, min(order_date) AS first_date, max(order_date) AS last_date
+FROM k WHERE rn = 1 AND order_year BETWEEN 1996 AND 1998 GROUP BY order_year"""))
+def a3_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """A3: three years of the cleaned parquet, pruned to their partitions when read back."""
+    out = run_folder(spark, "cleaning-run")
+    C.run_cleaning(dirty_files(spark, d), None, out)
+    years = spark.read.parquet(f"{out}/transactions_cleaned").where(F.col("order_year").between(1996, 1998))
+    return years.groupBy("order_year").agg(F.count("*").alias("rows"), msum("final_amount_inr").alias("revenue"),
+                                           F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"))
+
+
+@register("A1_raw_scan", with_sales(f"""
+SELECT 'fixture_' || CAST(order_day % 2 AS VARCHAR) || '.csv' AS part, CAST(sum({COPIES_SQL}) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS ragged,
+       CAST(sum(CASE WHEN order_day % 4 = 0 THEN {COPIES_SQL} ELSE 0 END) AS BIGINT) AS blank_ages
+FROM sales GROUP BY 1"""))
+def a1_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The raw rows written as CSV in two column orders and scanned by
+    name, with their ragged lines; blanks are counted on the scanned text."""
+    out = run_folder(spark, "raw-csv")
+    raw = dirty_files(spark, d).drop("source_file").withColumn("part", F.concat(F.lit("fixture_"), (F.dayofmonth(C.parse_order_date()) % 2).cast("string"), F.lit(".csv")))
+    write_csv(raw.where("part = 'fixture_0.csv'"), f"{out}/even")
+    write_csv(raw.where("part = 'fixture_1.csv'").select(*reversed(raw.columns)), f"{out}/odd")
+    rows, ragged = scan_raw_transactions(spark, f"{out}/*/*.csv", raw.columns)
+    ragged_of = ragged.agg(F.count("*").alias("ragged"))
+    return rows.groupBy("part").agg(F.count("*").alias("rows"), F.count_if(F.col("customer_age_group") == "").alias("blank_ages")).crossJoin(
+        F.broadcast(ragged_of)).select("part", "rows", "ragged", "blank_ages")

@@ -22,6 +22,7 @@ from ledgerloom.plans.dims import build_customers
 from ledgerloom.plans.oracle_sql import (CATALOG_CTE, CUSTOMERS_CTE, SQL_DISC_BAND as _SQL_DISC_BAND, sql_mavg, sql_msum, sql_msum_over,
                                          with_sales)
 from ledgerloom.plans.registry import register
+from ledgerloom.session import stored
 from ledgerloom.sources.tables import catalog, sales
 
 AMT = "final_amount_inr"
@@ -72,20 +73,42 @@ def _yoy(cur: str, prev: str):
     return F.try_divide(F.col(cur), F.when(F.col(prev) != 0, F.col(prev))) - 1
 
 
+def _customer_years(t: DataFrame, **more) -> DataFrame:
+    """The slice reduced to one row a customer and year: amounts in paise and
+    counts, and what ``more`` names."""
+    return t.groupBy("order_year", "customer_id").agg(
+        F.sum(paise(AMT)).alias("m"), F.count(AMT).alias("mn"), F.count("*").alias("n"), *[c.alias(n) for n, c in more.items()])
+
+
+def _latest_and_total(years: DataFrame, **more) -> DataFrame:
+    """One row: the totals of ``_customer_years`` (revenue, orders, customers,
+    aov, and ``more``), and revenue, customers and aov of the latest year
+    (``cur_*``) and of the one before (``prev_*``).
+
+    GROUPING SETS give the years and the total in one shuffle; the handful of
+    rows they leave is folded into the one row without a join."""
+    sets = years.groupingSets([[F.col("order_year")], []], "order_year").agg(
+        F.grouping("order_year").alias("whole"), (F.sum("m") / 100.0).alias("revenue"), F.sum("n").alias("orders"),
+        F.countDistinct("customer_id").alias("customers"), (F.try_divide(F.sum("m"), F.sum("mn")) / 100.0).alias("aov"),
+        *[c.alias(n) for n, c in more.items()])
+    totals = ["revenue", "orders", "customers", "aov", *more]
+    year = F.struct("order_year", "revenue", "customers", "aov")
+    folded = sets.agg(
+        F.max(F.when(F.col("whole") == 1, F.struct(*totals))).alias("t"),
+        F.reverse(F.array_sort(F.collect_list(F.when((F.col("whole") == 0) & F.col("order_year").isNotNull(), year)))).alias("y"))
+    cur, before = F.get("y", F.lit(0)), F.get("y", F.lit(1))
+    prev = F.when(before["order_year"] == cur["order_year"] - 1, before)
+    return folded.select("t.*", *[x[c].alias(f"{n}_{c}") for n, x in (("cur", cur), ("prev", prev)) for c in ("revenue", "customers", "aov")])
+
+
 def _kpi_row(spark, d, s=ALL):
     t = view(spark, d, ["order_year", "customer_id", "is_prime_member", AMT], s)
-    tot = t.agg(msum(AMT).alias("revenue"), F.count("*").alias("orders"),
-                F.countDistinct("customer_id").alias("active_customers"), mavg(AMT).alias("aov"),
-                F.avg(flag("is_prime_member")).alias("prime_share"), F.max("order_year").alias("_latest"))
-    y = _yearly(spark, d, s)
-    cur = y.select(*[F.col(c).alias(f"c_{c}") for c in y.columns])
-    prev = y.select(*[F.col(c).alias(f"p_{c}") for c in y.columns])
-    j = (tot.join(cur, F.col("c_order_year") == F.col("_latest"), "left")
-         .join(prev, F.col("p_order_year") == F.col("_latest") - 1, "left"))
-    return j.select("revenue", "orders", "active_customers", "aov", "prime_share",
-                    _yoy("c_revenue", "p_revenue").alias("revenue_yoy"),
-                    _yoy("c_customers", "p_customers").alias("customers_yoy"),
-                    _yoy("c_aov", "p_aov").alias("aov_yoy"))
+    years = _customer_years(t, prime=F.count_if("is_prime_member"), primes=F.count("is_prime_member"))
+    j = _latest_and_total(years, prime_share=F.try_divide(F.sum("prime").cast("double"), F.sum("primes")))
+    return j.select("revenue", "orders", F.col("customers").alias("active_customers"), "aov", "prime_share",
+                    _yoy("cur_revenue", "prev_revenue").alias("revenue_yoy"),
+                    _yoy("cur_customers", "prev_customers").alias("customers_yoy"),
+                    _yoy("cur_aov", "prev_aov").alias("aov_yoy"))
 
 
 _SQL_KPI = _SQL_YEARLY + f""",
@@ -458,6 +481,16 @@ def l39_switchers(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
         "first_category", "latest_category").agg(F.count("*").alias("customers"))
 
 
+@register("L39_switchers_top40", with_sales("""
+fl AS (SELECT customer_id, arg_min(subcategory, (order_date, transaction_id)) AS first_category,
+              arg_max(subcategory, (order_date, transaction_id)) AS latest_category FROM sales GROUP BY 1)
+SELECT first_category, latest_category, count(*) AS customers FROM fl
+WHERE first_category <> latest_category GROUP BY 1, 2 ORDER BY customers DESC, first_category, latest_category LIMIT 40"""))
+def l39_top(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q12: the 40 most frequent switches."""
+    return top_k(l39_switchers(spark, d, s), 40, "customers", ["first_category", "latest_category"])
+
+
 # ------------------------------------------------------------------ L40 Q13
 @register("L40_prime_kpis", with_sales(f"""
 SELECT is_prime_member, count(*) AS orders, {MS} AS revenue, {MA} AS aov, avg(delivery_days) AS delivery,
@@ -559,6 +592,24 @@ def l43_returns(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     return l43_rank(spark, d, "return_rate", s)
 
 
+@register("L43_product_rank_by_units", with_sales(_SQL_PROD + " SELECT * FROM prod ORDER BY units DESC, product_id LIMIT 25"))
+def l43_units(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q16: the 25 products with the most units."""
+    return l43_rank(spark, d, "units", s)
+
+
+@register("L43_product_rank_by_rating", with_sales(_SQL_PROD + " SELECT * FROM prod ORDER BY rating DESC NULLS LAST, product_id LIMIT 25"))
+def l43_rating(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q16: the 25 products with the best rating."""
+    return l43_rank(spark, d, "rating", s)
+
+
+@register("L43_top15_products", with_sales(_SQL_PROD + " SELECT product_name, subcategory, revenue FROM prod ORDER BY revenue DESC, product_id LIMIT 15"))
+def l43_top15(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q16: the 15 products with the most revenue."""
+    return top_k(_products(spark, d, s), 15, "revenue", ["product_id"]).select("product_name", "subcategory", "revenue")
+
+
 # ------------------------------------------------------------------ L44 Q17
 @register("L44_top8_brand_share", with_sales(f"""
 top AS (SELECT brand FROM sales GROUP BY brand ORDER BY {MS} DESC, brand LIMIT 8),
@@ -800,13 +851,60 @@ def l53_forecast(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     return _forecast(spark, d, s)
 
 
-@register("L53_churn_model")
-def l53_churn(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
-    """Q26: churn probability per in-view customer."""
+def _sql_newton(steps: int = 14) -> str:
+    """SQL of the churn model: a recursion whose step sums the objective's
+    gradient and curvature over the standardised customers and solves the six
+    equations by elimination, one nested select a pivot."""
+    k = 6
+    z = "w[6]" + "".join(f" + w[{i + 1}] * x[{i + 1}]" for i in range(k - 1))
+    sums = ", ".join([f"sum((p - y) * x[{i + 1}]) + {'' if i < k - 1 else '0 * '}any_value(w[{i + 1}]) AS a{i}_{k}" for i in range(k)]
+                     + [f"sum(p * (1 - p) * x[{i + 1}] * x[{j + 1}]){' + 1' if i == j < k - 1 else ''} AS a{i}_{j}" for i in range(k) for j in range(k)])
+    frame = f"SELECT it, any_value(w) AS w, {sums} FROM (SELECT it, w, x, y, 1 / (1 + exp(-({z}))) AS p FROM newton, churn_x WHERE it < {steps}) GROUP BY it"
+    for q in range(k):  # the q-th unknown leaves the equations below
+        done = [f"a{i}_{j}" for i in range(q + 1) for j in range(i, k + 1)]
+        left = [f"a{i}_{j} - a{i}_{q} / a{q}_{q} * a{q}_{j} AS a{i}_{j}" for i in range(q + 1, k) for j in range(q + 1, k + 1)]
+        frame = f"SELECT it, w, {', '.join(done + left)} FROM ({frame})"
+    for q in reversed(range(k)):
+        known = "".join(f" - a{q}_{j} * s{j}" for j in range(q + 1, k))
+        frame = f"SELECT *, (a{q}_{k}{known}) / a{q}_{q} AS s{q} FROM ({frame})"
+    step = ", ".join(f"w[{i + 1}] - s{i}" for i in range(k))
+    cols = ["recency_days", "frequency", "monetary", "avg_order_value", "CAST(is_prime_member AS INTEGER)"]
+    scaled = ", ".join(f"coalesce((v[{i + 1}] - avg(v[{i + 1}]) OVER ()) / nullif(stddev_pop(v[{i + 1}]) OVER (), 0), 0)" for i in range(k - 1))
+    return f"""
+churn_raw AS MATERIALIZED (SELECT customer_id, rfm_segment, CAST(last_order_date < (SELECT max(order_date) FROM sales) - 365 AS INTEGER) AS churned,
+  [{", ".join(f"coalesce(CAST({c} AS DOUBLE), 0)" for c in cols)}] AS v FROM customers),
+churn_ok AS MATERIALIZED (SELECT count(DISTINCT churned) = 2 AND count(*) > 200 AS ok, CASE WHEN count(*) > 200 THEN 'one class' ELSE 'too few customers' END AS why FROM churn_raw),
+churn_x AS MATERIALIZED (SELECT customer_id, rfm_segment, churned, churned AS y, [{scaled}, 1] AS x FROM churn_raw),
+newton AS (
+  SELECT 0 AS it, [CAST(0 AS DOUBLE), 0, 0, 0, 0, 0] AS w
+  UNION ALL SELECT it + 1, [{step}] FROM ({frame})),
+churn_fit AS (SELECT w FROM newton ORDER BY it DESC LIMIT 1),
+churn_p AS (SELECT customer_id, rfm_segment, churned, CASE WHEN ok THEN 1 / (1 + exp(-({z}))) END AS p, CASE WHEN ok THEN 'fitted' ELSE why END AS status
+            FROM churn_x, churn_fit, churn_ok)"""
+
+
+def _churned(spark, d, s, keep=()):
     from ledgerloom.operators.churn import FEATURES, churn_model
 
     snap = view(spark, d, ["order_date"], s).agg(F.max("order_date").alias("_snap"))
-    return churn_model(_active_customers(spark, d, [*FEATURES, "last_order_date"], s), snap)
+    return churn_model(_active_customers(spark, d, [*FEATURES, "last_order_date", *keep], s), snap, keep=keep)
+
+
+@register("L53_churn_model", with_sales(_sql_newton() + """
+SELECT customer_id, churned, round(p, 6) AS churn_prob, avg(CASE WHEN (p > 0.5) = (churned = 1) THEN CAST(1 AS DOUBLE)
+       WHEN p IS NOT NULL THEN CAST(0 AS DOUBLE) END) OVER () AS accuracy, status FROM churn_p""", CUSTOMERS_CTE).replace("WITH ", "WITH RECURSIVE ", 1))
+def l53_churn(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q26: churn probability per in-view customer."""
+    return _churned(spark, d, s).withColumn("churn_prob", F.round("churn_prob", 6))
+
+
+@register("L53_churn_histogram", with_sales(_sql_newton() + """
+SELECT rfm_segment, CAST(least(floor(round(p, 6) * 20), 19) AS INTEGER) AS bin, count(*) AS customers FROM churn_p WHERE p IS NOT NULL GROUP BY 1, 2""",
+                                            CUSTOMERS_CTE).replace("WITH ", "WITH RECURSIVE ", 1))
+def l53_histogram(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
+    """Q26: customers by RFM segment and bin of churn probability (20 equal bins of 0 to 1)."""
+    p = _churned(spark, d, s, ("rfm_segment",)).where(F.col("churn_prob").isNotNull())
+    return p.groupBy("rfm_segment", F.least(F.floor(F.round("churn_prob", 6) * 20), F.lit(19)).cast("int").alias("bin")).agg(F.count("*").alias("customers"))
 
 
 # ------------------------------------------------------------------ L54 Q27
@@ -875,18 +973,22 @@ churn AS (SELECT avg({_f("last_order_date < (SELECT max(order_date) FROM sales)
 
 
 def _command_centre(spark, d, s=ALL):
-    t = view(spark, d, ["order_year", "customer_id", "return_status", "delivery_days", AMT], s)
-    cc = t.agg(msum(AMT).alias("revenue"), F.countDistinct("customer_id").alias("customers"),
-               mavg(AMT).alias("aov"), F.avg(flag(F.col("return_status") == "Returned")).alias("return_rate"),
-               F.avg("delivery_days").alias("avg_delivery_days"), F.max("order_year").alias("_latest"))
-    y = _yearly(spark, d, s).select("order_year", "revenue", "customers", "aov")
-    cur, prev = (y.select(F.col("order_year").alias(f"_{k}y"), F.col("revenue").alias(n), F.col("customers").alias(f"{n}_customers"),
-                          F.col("aov").alias(f"{n}_aov")) for k, n in (("c", "_cur"), ("p", "_prev")))
-    snap = view(spark, d, ["order_date"], s).agg(F.max("order_date").alias("_snap"))
-    churn = _active_customers(spark, d, ["last_order_date"], s).crossJoin(F.broadcast(snap)).agg(
+    """One scan of the slice, reduced to customers and years and stored, and
+    one of the customers' last orders."""
+    t = view(spark, d, ["order_year", "order_date", "customer_id", "return_status", "delivery_days", AMT], s)
+    years = stored(_customer_years(
+        t, returned=F.count_if(F.col("return_status") == "Returned"), statuses=F.count("return_status"), days=F.sum("delivery_days"),
+        delivered=F.count("delivery_days"), last=F.max("order_date")), "customer-years")
+    cc = _latest_and_total(
+        years, return_rate=F.try_divide(F.sum("returned").cast("double"), F.sum("statuses")),
+        avg_delivery_days=F.try_divide(F.sum("days").cast("double"), F.sum("delivered")))
+    snap = years.agg(F.max("last").alias("_snap"))
+    customers = build_customers(spark, d, ["last_order_date"])
+    if s != ALL:
+        customers = customers.join(years.select("customer_id").distinct(), "customer_id", "left_semi")
+    churn = customers.crossJoin(F.broadcast(snap)).agg(
         F.avg(flag(F.col("last_order_date") < F.date_sub("_snap", config.CHURN_DAYS))).alias("churn_share"))
-    return (cc.join(cur, F.col("_cy") == F.col("_latest"), "left")
-            .join(prev, F.col("_py") == F.col("_latest") - 1, "left").crossJoin(F.broadcast(churn)))
+    return cc.crossJoin(F.broadcast(churn))
 
 
 @register("L57_kpis", with_sales(_SQL_CC + """
@@ -898,8 +1000,8 @@ def l57_kpis(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     """Q30: command-centre KPIs with revenue YoY and churn share."""
     c = _command_centre(spark, d, s)
     return c.select("revenue", "customers", "aov", "return_rate", "avg_delivery_days",
-                    _yoy("_cur", "_prev").alias("revenue_yoy"), _yoy("_cur_customers", "_prev_customers").alias("customers_yoy"),
-                    _yoy("_cur_aov", "_prev_aov").alias("aov_yoy"), "churn_share")
+                    _yoy("cur_revenue", "prev_revenue").alias("revenue_yoy"), _yoy("cur_customers", "prev_customers").alias("customers_yoy"),
+                    _yoy("cur_aov", "prev_aov").alias("aov_yoy"), "churn_share")
 
 
 @register("L57_alerts", with_sales(_SQL_CC + f"""
@@ -914,7 +1016,7 @@ def l57_alerts(spark: SparkSession, d: str, s: Slice = ALL) -> DataFrame:
     """Q30: threshold alerts, one row per firing alert."""
     c = _command_centre(spark, d, s)
     checks = F.array(
-        F.when(F.col("_cur") < F.coalesce("_prev", F.lit(0.0)),
+        F.when(F.col("cur_revenue") < F.coalesce("prev_revenue", F.lit(0.0)),
                F.lit(config.ALERT_TEXTS[0])),
         F.when(F.col("return_rate") > config.ALERT_RETURN_RATE, F.lit(config.ALERT_TEXTS[1])),
         F.when(F.col("avg_delivery_days") > config.ALERT_DELIVERY_DAYS, F.lit(config.ALERT_TEXTS[2])),

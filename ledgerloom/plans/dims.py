@@ -2,11 +2,11 @@
 
 * ``build_customers`` groups the fact by customer (map-side partial
   aggregates: a customer holding a third of all lines collapses before the
-  shuffle) for the columns asked for, then per-customer column
-  expressions.  The only global quantities -- the snapshot date, the
-  recency quintile edges and the frequency / monetary ranks -- come from
-  one-row aggregates (broadcast) and the distributed ``global_row_number``;
-  no step puts all customers in one task.
+  shuffle) for the columns asked for, in one scan and join of the fact,
+  then per-customer column expressions.  The only global quantities -- the
+  snapshot date, the recency quintile edges and the bounds of the frequency
+  and monetary rank quintiles -- are one-row frames (broadcast); no step
+  puts all customers in one task, and none joins ranks back.
 * ``build_time_dimension`` is a date spine (``sequence`` + ``explode``),
   bounded by the calendar, left-joined with one festival name per date.
 * ``build_products`` left-joins lifetime metrics onto the catalog.
@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import config
-from ledgerloom.functions.exprs import flag, lookup, mavg, money, msum
-from ledgerloom.operators.ranking import global_row_number
+from ledgerloom.functions.exprs import flag, lookup, money, msum, paise
+from ledgerloom.operators.ranking import rank_bin, rank_cuts
 from ledgerloom.session import stored
 from ledgerloom.sources.tables import catalog, sales
 
@@ -48,26 +48,20 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
     )
 
 
-def rank_quintile(rank: str, n: str) -> Column:
-    """``qcut(rank_first, 5)`` score 1..5 in integer maths (J7):
-    ``max(1, ceil(5 (rank-1) / (n-1)))``; 3 for a single customer."""
-    return F.expr(
-        f"CAST(CASE WHEN {n} > 1 THEN GREATEST(1, (5 * ({rank} - 1) + {n} - 2) DIV ({n} - 1)) "
-        f"ELSE 3 END AS INT)"
-    )
-
-
-
-#: Aggregates of a customer's lines: inputs and expression.
+#: A customer's measures: the inputs they read, what a transaction's lines are reduced to, and what these are reduced to.
 _MEASURES = {
-    "is_prime_member": (["is_prime_member"], lambda: F.bool_or("is_prime_member")),
-    "first_order_date": (["order_date"], lambda: F.min("order_date")),
-    "last_order_date": (["order_date"], lambda: F.max("order_date")),
-    "monetary": (["final_amount_inr"], lambda: msum("final_amount_inr")),
-    "units": (["quantity"], lambda: F.sum("quantity")),
-    "avg_order_value": (["final_amount_inr"], lambda: mavg("final_amount_inr")),
-    "avg_rating": (["customer_rating"], lambda: F.avg("customer_rating")),
-    "return_rate": (["return_status"], lambda: F.avg(flag(F.col("return_status") == "Returned"))),
+    "is_prime_member": (["is_prime_member"], {"p": lambda: F.bool_or("is_prime_member")}, lambda: F.bool_or("p")),
+    "first_order_date": (["order_date"], {"d0": lambda: F.min("order_date")}, lambda: F.min("d0")),
+    "last_order_date": (["order_date"], {"d1": lambda: F.max("order_date")}, lambda: F.max("d1")),
+    "monetary": (["final_amount_inr"], {"m": lambda: F.sum(paise("final_amount_inr"))}, lambda: F.sum("m") / 100.0),
+    "units": (["quantity"], {"u": lambda: F.sum("quantity")}, lambda: F.sum("u")),
+    "avg_order_value": (["final_amount_inr"], {"m": lambda: F.sum(paise("final_amount_inr")), "mn": lambda: F.count("final_amount_inr")},
+                        lambda: F.sum("m") / F.sum("mn") / 100.0),
+    "avg_rating": (["customer_rating"], {"r": lambda: F.sum("customer_rating"), "rn": lambda: F.count("customer_rating")},
+                   lambda: F.try_divide(F.sum("r"), F.sum("rn"))),
+    "return_rate": (["return_status"], {"b": lambda: F.count_if(F.col("return_status") == "Returned"), "bn": lambda: F.count("return_status")},
+                    lambda: F.try_divide(F.sum("b").cast("double"), F.sum("bn"))),
+    "frequency": (["transaction_id"], {}, lambda: F.count("transaction_id")),
 }
 #: Columns that derive from others.
 _DERIVED = {
@@ -92,52 +86,47 @@ def _with_needs(columns: list[str]) -> set[str]:
 
 
 def customer_base(spark: SparkSession, sf_dir: str, need: set[str]) -> DataFrame:
-    """One row per customer with the aggregates in ``need`` and no others.
-
-    Sums and dates, distinct transactions and last values are three narrow
-    aggregates, each over only the inputs it reads, so no shuffle carries the
-    last values' wide buffers for every transaction.  Their outputs are
-    partitioned by customer already and join without another exchange.
+    """One row per customer with the aggregates in ``need`` and no others, from
+    one scan and join of the fact.
+
+    Lines are reduced to transactions, then these to customers: the first
+    step's key spreads a customer that holds a third of all lines, and leaves
+    one row a transaction, so distinct transactions are a plain count.  Without
+    a transaction's columns in ``need`` the first step falls away.  Last
+    non-null values travel as (date, value) of their transaction and are
+    picked by (date, transaction) in the second step.
     """
-    def grouped(inputs: list[str]):
-        return sales(spark, sf_dir, list(dict.fromkeys(["customer_id", *inputs]))).groupBy("customer_id")
-
-    parts = []
     measures = [c for c in _MEASURES if c in need]
-    if measures:
-        parts.append(grouped([i for c in measures for i in _MEASURES[c][0]]).agg(
-            *[_MEASURES[c][1]().alias(c) for c in measures]))
-    if "frequency" in need:
-        parts.append(grouped(["transaction_id"]).agg(F.countDistinct("transaction_id").alias("frequency")))
     last = [c for c in LAST_VALUE_COLUMNS if c in need]
-    if last:
-        parts.append(grouped(["order_date", "transaction_id", *last]).agg(
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("order_date", "transaction_id"))).alias(c) for c in last]))
-    out = parts[0] if parts else grouped([]).agg(F.count("*").alias("_lines")).drop("_lines")
-    for part in parts[1:]:
-        out = out.join(part, "customer_id")
-    return out
+    by_transaction = bool(last) or "frequency" in need
+    inputs = [i for c in measures for i in _MEASURES[c][0]] + (["order_date", "transaction_id", *last] if last else [])
+    lines = sales(spark, sf_dir, list(dict.fromkeys(["customer_id", *inputs])))
+    steps = {n: f() for c in measures for n, f in _MEASURES[c][1].items()}
+    steps |= {f"last_{c}": F.max(F.when(F.col(c).isNotNull(), F.struct("order_date", c))) for c in last}
+    keys = ["customer_id", "transaction_id"] if by_transaction else ["customer_id"]
+    if not steps:  # nothing but the keys
+        reduced = lines.select(*keys).distinct()
+    else:
+        reduced = lines.groupBy(*keys).agg(*[v.alias(n) for n, v in steps.items()])
+    out = [_MEASURES[c][2]().alias(c) for c in measures]
+    out += [F.max(F.when(F.col(f"last_{c}").isNotNull(), F.struct(f"last_{c}.order_date", "transaction_id", f"last_{c}.{c}")))[c].alias(c) for c in last]
+    return reduced.groupBy("customer_id").agg(*out) if out else reduced.select("customer_id").distinct()
 
 
 def score_rfm(c: DataFrame) -> DataFrame:
-    """Add ``r_score``, ``f_score`` and ``m_score`` (J7) to customers with
-    ``recency_days``, ``frequency``, ``monetary`` and ``_n`` (their number)."""
-    # the frame feeds the quantile edges and two global ranks: stored once,
-    # so the fact is scanned, joined and aggregated a single time
-    c = stored(c, "customers")
+    """Add ``r_score``, ``f_score`` and ``m_score`` (J7) to stored customers
+    with ``recency_days``, ``frequency`` and ``monetary``."""
     # r: value quintiles of recency, 5 = most recent (right-closed bins)
     # recency takes at most (#days in the calendar span) distinct values, so
     # the built-in exact percentile's value->count map is bounded.
-    edges = c.agg(F.percentile("recency_days", [0.2, 0.4, 0.6, 0.8]).alias("_re")).select(
-        *[F.col("_re")[i].alias(f"_re{i}") for i in range(4)])
+    edges = c.agg(F.percentile("recency_days", [0.2, 0.4, 0.6, 0.8]).alias("_re"))
     x = F.col("recency_days").cast("double")
-    higher = sum((F.when(x > F.col(f"_re{i}"), 1).otherwise(0) for i in range(4)), F.lit(0))
-    # f, m: quintile of the rank (ties broken by customer_id), distributed rank over two columns
-    f = global_row_number(c.select("frequency", "customer_id"), ["frequency", "customer_id"], "_frank").drop("frequency")
-    m = global_row_number(c.select("monetary", "customer_id"), ["monetary", "customer_id"], "_mrank").drop("monetary")
-    return c.join(f, "customer_id").join(m, "customer_id").crossJoin(F.broadcast(edges)).withColumns({
-        "r_score": (5 - higher).cast("int"), "f_score": rank_quintile("_frank", "_n"),
-        "m_score": rank_quintile("_mrank", "_n")}).drop("_frank", "_mrank", *[f"_re{i}" for i in range(4)])
+    higher = F.size(F.filter("_re", lambda e: x > e))
+    # f, m: quintile of the rank (ties broken by customer_id), from its eight bounds
+    cuts = rank_cuts(c.select("customer_id", "frequency", "monetary"), ["frequency", "monetary"], "customer_id", 5)
+    return c.crossJoin(F.broadcast(edges)).crossJoin(F.broadcast(cuts)).withColumns({
+        "r_score": (5 - higher).cast("int"), "f_score": rank_bin("frequency", "customer_id"),
+        "m_score": rank_bin("monetary", "customer_id")}).drop("_re", "_n", "_cut_frequency", "_cut_monetary")
 
 
 def build_customers(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
@@ -154,9 +143,11 @@ def build_customers(spark: SparkSession, sf_dir: str, columns: list[str] | None
         need |= _with_needs(["rfm_action"])
     c = customer_base(spark, sf_dir, need)
     if "recency_days" in need:
-        # one global row: snapshot = max(date)+1 and the customer count
-        glob = c.agg(F.date_add(F.max("last_order_date"), 1).alias("_snapshot"), F.count("*").alias("_n"))
-        c = c.crossJoin(F.broadcast(glob)).withColumn("recency_days", F.datediff("_snapshot", "last_order_date"))
+        # the frame feeds the snapshot (one global row: max(date)+1), the
+        # quantile edges and the ranks: stored once, so the fact is read once
+        c = stored(c, "customers")
+        glob = c.agg(F.date_add(F.max("last_order_date"), 1).alias("_snapshot"))
+        c = c.crossJoin(F.broadcast(glob)).withColumn("recency_days", F.datediff("_snapshot", "last_order_date")).drop("_snapshot")
     if "tenure_days" in need:
         c = c.withColumn("tenure_days", F.greatest(F.datediff("last_order_date", "first_order_date"), F.lit(0)))
     if "acquisition_year" in need:

@@ -138,11 +138,13 @@ def dirty_sales(spark: SparkSession, d: str, dup_every: int = 50) -> DataFrame:
         F.format_string("%.1f", F.col("product_rating")).alias("product_rating"),
         F.concat(F.lit("fixture_"), (F.col("order_day") % 2).cast("string"), F.lit(".csv")).alias("source_file"),
     )
-    clones = raw.where((F.col("customer_id").cast("long") % dup_every) == 0)
-    dups = clones.withColumn("transaction_id", F.concat("transaction_id", F.lit("_DUP")))
-    # the same order again in a later file, under an id that sorts before its own
-    again = clones.withColumns({"transaction_id": F.concat(F.lit("!"), "transaction_id"), "source_file": F.lit("late.csv")})
-    return raw.unionByName(dups).unionByName(again)
+    # a clone under the id's _DUP form, and the same order again in a later file, under an id that sorts before its own
+    own = F.struct("transaction_id", "source_file")
+    dup = F.struct(F.concat("transaction_id", F.lit("_DUP")).alias("transaction_id"), F.col("source_file"))
+    again = F.struct(F.concat(F.lit("!"), "transaction_id").alias("transaction_id"), F.lit("late.csv").alias("source_file"))
+    cloned = (F.col("customer_id").cast("long") % dup_every) == 0
+    forms = raw.withColumn("_form", F.explode(F.when(cloned, F.array(own, dup, again)).otherwise(F.array(own))))
+    return forms.select(*[F.col(f"_form.{c}").alias(c) if c in ("transaction_id", "source_file") else F.col(c) for c in raw.columns])
 
 
 DATE_CLASS_SQL = """CASE (order_day + order_month) % 7 WHEN 0 THEN 'iso' WHEN 1 THEN 'dash' WHEN 2 THEN 'slash'

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import config
-from ledgerloom.functions.exprs import band, flag, lookup, mavg, msum, ratio
+from ledgerloom.functions.exprs import band, flag, lookup, mavg, msum, paise, ratio
 from ledgerloom.operators.journey import cohort_retention, event_windows, top_k, transitions
 from ledgerloom.operators.ranking import exact_quantiles, five_number, quantile_band
 from ledgerloom.operators.series import period_change, polyfit2
@@ -22,6 +22,7 @@ from ledgerloom.plans.dims import build_customers
 from ledgerloom.plans.oracle_sql import CATALOG_CTE, CUSTOMERS_CTE, sql_mavg, sql_msum, sql_msum_over, with_sales
 from ledgerloom.plans.oracle_sql import SQL_DISC_BAND as _SQL_DISC_BAND
 from ledgerloom.plans.registry import register
+from ledgerloom.session import stored
 from ledgerloom.sources.tables import catalog, sales
 
 AMT = "final_amount_inr"
@@ -363,11 +364,17 @@ def l15_mix(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ L16 q10
 def _product_price_demand(spark, d):
-    t = tx(spark, d, "product_id", "subcategory", "discounted_price_inr", "quantity", "discount_percent", AMT)
-    agg = t.groupBy("product_id", "subcategory").agg(
-        F.sum("quantity").alias("units"), msum(AMT).alias("revenue"), F.avg("discount_percent").alias("discount"))
-    med = exact_quantiles(t, "discounted_price_inr", [0.5], by=["product_id", "subcategory"], name="_p")
-    return agg.join(med, ["product_id", "subcategory"]).withColumnRenamed("_p0", "price")
+    """One scan of the fact: its sums by (product, price), stored, give both
+    the products' totals and the weights of their median price."""
+    keys = ["product_id", "subcategory"]
+    t = tx(spark, d, *keys, "discounted_price_inr", "quantity", "discount_percent", AMT)
+    prices = stored(t.groupBy(*keys, "discounted_price_inr").agg(
+        F.sum("quantity").alias("units"), F.sum(paise(AMT)).alias("paise"), F.sum("discount_percent").alias("discount"),
+        F.count("discount_percent").alias("discounts"), F.count("*").alias("rows")), "product-prices")
+    agg = prices.groupBy(*keys).agg(F.sum("units").alias("units"), (F.sum("paise") / 100.0).alias("revenue"),
+                                    F.try_divide(F.sum("discount"), F.sum("discounts")).alias("discount"))
+    med = exact_quantiles(prices, "discounted_price_inr", [0.5], by=keys, name="_p", weight="rows")
+    return agg.join(med, keys).withColumnRenamed("_p0", "price")
 
 
 @register("L16_product_price_demand", with_sales(f"""
@@ -615,13 +622,17 @@ def l21_by_year(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ L22 q16
 def _product_ratings(spark, d):
-    t = tx(spark, d, "product_id", "subcategory", "product_rating", "customer_rating", "quantity",
-           "discounted_price_inr", AMT)
-    agg = t.groupBy("product_id", "subcategory").agg(
-        F.avg("product_rating").alias("_pr"), F.avg("customer_rating").alias("customer_rating"),
-        msum(AMT).alias("revenue"), F.sum("quantity").alias("units"))
-    med = exact_quantiles(t, "discounted_price_inr", [0.5], by=["product_id", "subcategory"], name="_p")
-    return agg.join(med, ["product_id", "subcategory"]).withColumnRenamed("_p0", "price")
+    """One scan of the fact, as in q10: sums by (product, price), stored, give totals and the median price."""
+    keys = ["product_id", "subcategory"]
+    t = tx(spark, d, *keys, "product_rating", "customer_rating", "quantity", "discounted_price_inr", AMT)
+    prices = stored(t.groupBy(*keys, "discounted_price_inr").agg(
+        F.sum("product_rating").alias("p"), F.count("product_rating").alias("pn"), F.sum("customer_rating").alias("c"), F.count("customer_rating").alias("cn"),
+        F.sum(paise(AMT)).alias("paise"), F.sum("quantity").alias("units"), F.count("*").alias("rows")), "product-ratings")
+    agg = prices.groupBy(*keys).agg(
+        F.try_divide(F.sum("p"), F.sum("pn")).alias("_pr"), F.try_divide(F.sum("c"), F.sum("cn")).alias("customer_rating"),
+        (F.sum("paise") / 100.0).alias("revenue"), F.sum("units").alias("units"))
+    med = exact_quantiles(prices, "discounted_price_inr", [0.5], by=keys, name="_p", weight="rows")
+    return agg.join(med, keys).withColumnRenamed("_p0", "price")
 
 
 _SQL_PROD_RATINGS = f"""
@@ -643,6 +654,19 @@ def l22_products(spark: SparkSession, d: str) -> DataFrame:
                     "revenue", "units", "price", "price_band")
 
 
+@register("L22_rating_boxes", with_sales(_SQL_PROD_RATINGS + """,
+e AS (SELECT quantile_cont(price, [0.0, 0.25, 0.5, 0.75, 1.0]) AS q FROM pr),
+b AS (SELECT ['Low', 'Mid-Low', 'Mid-High', 'High'][1 + (price > q[2])::INT + (price > q[3])::INT + (price > q[4])::INT] AS price_band, round(_pr, 6) AS r FROM pr, e)
+SELECT price_band, count(*) AS products, min(r) AS min, round(quantile_cont(r, 0.25), 4) AS q1, round(quantile_cont(r, 0.5), 4) AS median,
+       round(quantile_cont(r, 0.75), 4) AS q3, max(r) AS max FROM b GROUP BY 1"""))
+def l22_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """q16: box numbers of the products' rating by price quartile."""
+    p = quantile_band(_product_ratings(spark, d), "price", 4, config.PRICE_QUARTILE_LABELS, "price_band")
+    p = stored(p.select("price_band", ratio("_pr").alias("r")), "rated")
+    boxes = five_number(p, "r", ["price_band"]).withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
+    return boxes.join(p.groupBy("price_band").agg(F.count("*").alias("products")), "price_band")
+
+
 @register("L22_ratings_summary", with_sales(_SQL_PROD_RATINGS + """
 SELECT round(corr(_pr, CAST(units AS DOUBLE)), 6) AS rating_vs_units_corr,
        round(corr(_pr, revenue), 6) AS rating_vs_revenue_corr,

@@ -7,6 +7,7 @@ states the same counts.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,7 +23,8 @@ from ledgerloom.plans.dims import build_customers
 from ledgerloom.plans.oracle_sql import CUSTOMERS_CTE, sql_msum, with_sales
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.tables import read_table, sales
-from ledgerloom.sources.warehouse import register_views, run_sql, table_counts
+from ledgerloom.session import stored
+from ledgerloom.sources.warehouse import StoredWarehouse, register_views, run_sql, table_counts
 
 
 def stacked(df: DataFrame, rows: list[tuple[str, Column]], names: tuple[str, str]) -> DataFrame:
@@ -286,6 +288,48 @@ def a7(spark: SparkSession, d: str) -> DataFrame:
     return table_counts(spark, ["transactions", "products", "time_dimension"])
 
 
+def _stored(spark: SparkSession, d: str, columns: list[str]) -> StoredWarehouse:
+    return StoredWarehouse(spark, f"w{uuid.uuid4().hex}_").store(d, columns)
+
+
+@register("A7_stored_counts", with_sales("""
+SELECT 'products' AS table_name, (SELECT count(*) FROM part) AS row_count
+UNION ALL SELECT 'time_dimension', max(order_date) - min(order_date) + 1 FROM sales
+UNION ALL SELECT 'transactions', count(*) FROM sales
+UNION ALL SELECT 'customers', count(DISTINCT customer_id) FROM sales"""))
+def a7_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The star schema written as bucketed, partitioned tables, and their rows counted."""
+    house = _stored(spark, d, ["transaction_id"])
+    out = stored(house.counts(), "counts")
+    house.forget()
+    return out
+
+
+@register("A7_stored_segment_years", with_sales(f"""
+SELECT rfm_segment, order_year, {sql_msum("final_amount_inr")} AS revenue, count(DISTINCT customer_id) AS buyers
+FROM sales JOIN customers USING (customer_id) GROUP BY 1, 2""", CUSTOMERS_CTE))
+def a7_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Stored transactions and customers joined bucket by bucket, by SQL."""
+    house = _stored(spark, d, ["final_amount_inr"])
+    out = stored(run_sql(spark, f"""
+        SELECT rfm_segment, order_year, SUM(CAST(ROUND(final_amount_inr * 100) AS BIGINT)) / 100 AS revenue, COUNT(DISTINCT customer_id) AS buyers
+        FROM {house.name("transactions")} JOIN {house.name("customers")} USING (customer_id) GROUP BY rfm_segment, order_year"""), "segments")
+    house.forget()
+    return out
+
+
+@register("A7_replaced_year", with_sales("""
+SELECT order_year, count(*) AS rows FROM sales WHERE order_year <> 1997 OR is_prime_member GROUP BY 1"""))
+def a7_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """One year of the stored transactions replaced by its prime orders; the other years' files stay."""
+    house = _stored(spark, d, ["is_prime_member"])
+    prime = stored(house.table("transactions").where("order_year = 1997 AND is_prime_member"), "year")
+    house.replace_years(prime)
+    out = stored(house.table("transactions").groupBy("order_year").agg(F.count("*").alias("rows")), "years")
+    house.forget()
+    return out
+
+
 @register("A8_parameterised_sql", with_sales(f"""
 SELECT subcategory, {sql_msum("final_amount_inr")} AS revenue, count(*) AS orders FROM sales
 WHERE order_year = 1997 AND customer_state = 'ASIA' GROUP BY 1"""))

@@ -37,3 +37,5 @@ from ledgerloom.plans import dashboard  # noqa: E402,F401
 from ledgerloom.plans import cleaning  # noqa: E402,F401
 from ledgerloom.plans import quality  # noqa: E402,F401
 from ledgerloom.plans import profiles  # noqa: E402,F401
+from ledgerloom.plans import raw_profiles  # noqa: E402,F401
+from ledgerloom.plans import streams  # noqa: E402,F401

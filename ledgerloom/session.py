@@ -79,6 +79,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder, for the files of one run."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
@@ -86,7 +91,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     partitioning, say): Spark may evaluate a branch anew, the files stay as
     they are, whichever executor is lost.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = run_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import csv
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,25 +40,39 @@ def all_string_schema(columns: list[str]) -> T.StructType:
 
 
 def headers(spark: SparkSession, path_glob: str) -> dict[tuple[str, ...], list[str]]:
-    """{header columns: files} of the matching files (one line a file reaches
-    the driver: as many as there are files)."""
-    first = (spark.read.option("wholetext", False).text(path_glob)
-             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
-             .where("at = 0"))
-    lines = first.groupBy("path").agg(F.first("value").alias("line")).collect()
+    """{header columns: files} of the matching files.
+
+    A listing names the files (their content isn't a column that is read);
+    each file's first line comes from a ``limit(1)`` scan, which ends with the
+    first bytes of the first split.  No file is read as a whole."""
+    files = sorted(r.path for r in spark.read.format("binaryFile").load(path_glob).select("path").collect())
+
+    def first(path: str) -> str | None:
+        row = spark.read.text(path).first()
+        return row and row.value
+
+    with ThreadPoolExecutor(8) as pool:
+        lines = list(pool.map(first, files))
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(lines, key=lambda r: r.path):
-        out.setdefault(tuple(next(csv.reader([r.line.lstrip("\ufeff")]))), []).append(r.path)
+    for path, line in zip(files, lines):
+        if line is not None:  # an empty file has no rows either
+            out.setdefault(tuple(next(csv.reader([line.lstrip("\ufeff")]))), []).append(path)
     return out
 
 
-def load_raw_transactions(spark: SparkSession, path_glob: str,
-                          columns: list[str] | None = None) -> DataFrame:
-    """A1: all-string CSV scan of every matching file plus ``source_file``.
+#: The text of a line that has more or fewer fields than its file's header.
+RAGGED = "ragged_line"
+
+
+def scan_raw_transactions(spark: SparkSession, path_glob: str, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A1: all-string CSV scan of every matching file plus ``source_file``:
+    (rows, ragged lines).
 
     ``columns`` (the known raw columns by default) come back in this order,
     whatever order a file has them in; a file without one gives nulls.  A
-    file that has none of them is an error.
+    file that has none of them is an error.  A line with more or fewer fields
+    than its file's header would put values into wrong columns: it is kept
+    apart, as (``ragged_line``, ``source_file``).
     """
     wanted = list(columns or RAW_TRANSACTION_COLUMNS)
     parts = []
@@ -65,17 +80,28 @@ def load_raw_transactions(spark: SparkSession, path_glob: str,
         present = [c for c in wanted if c in header]
         if not present or len(set(header)) != len(header):
             raise ValueError(f"no known column, or one twice, in the header {header} of {files[0]}")
-        df = (spark.read.schema(all_string_schema(list(header))).option("header", True).option("enforceSchema", True)
-              .option("emptyValue", "").csv(files))
+        schema = all_string_schema([*header, RAGGED])
+        df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", RAGGED).option("emptyValue", "").csv(files))
         # the reader gives unquoted blanks as null; a text file has no nulls
-        parts.append(df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in present], F.col("_metadata.file_name").alias("source_file")))
+        texts = [F.coalesce(c, F.lit("")).alias(c) for c in present]
+        # read with a field beside it: Spark refuses plans (a bare count, say) that read this column alone
+        ragged = F.when(F.length(F.coalesce(present[0], F.lit(""))) >= 0, F.col(RAGGED)).alias(RAGGED)
+        parts.append(df.select(*texts, ragged, F.col("_metadata.file_name").alias("source_file")))
     if not parts:
         raise FileNotFoundError(path_glob)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     missing = [F.lit(None).cast("string").alias(c) for c in wanted if c not in out.columns]
-    return out.select("*", *missing).select(*wanted, "source_file")
+    out = out.select("*", *missing)
+    return out.where(F.col(RAGGED).isNull()).select(*wanted, "source_file"), out.where(F.col(RAGGED).isNotNull()).select(RAGGED, "source_file")
+
+
+def load_raw_transactions(spark: SparkSession, path_glob: str,
+                          columns: list[str] | None = None) -> DataFrame:
+    """The rows of ``scan_raw_transactions``."""
+    return scan_raw_transactions(spark, path_glob, columns)[0]
 
 
 def load_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -91,17 +117,19 @@ def load_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = "order_year",
-                  sort_by: tuple[str, ...] = ("order_date", "transaction_id")) -> None:
+                  sort_by: tuple[str, ...] = ("order_date", "transaction_id"), sort: bool = True) -> None:
     """A3 / G1: parquet sink sorted by (date, id); partitioned by year so later
     year filters prune files.  The sort is a range partitioning, so no task
-    holds more than its share, and files hold runs of dates."""
+    holds more than its share, and files hold runs of dates.  ``sort=False``:
+    the rows are in ranges already."""
     order = [c for c in sort_by if c in df.columns]
-    if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    by = [partition_by] if partition_by and partition_by in df.columns else []
+    if order and sort:
+        df = df.repartitionByRange(*order)
+    if order:  # the writer's own order by partition comes first, or it would sort the rows again
+        df = df.sortWithinPartitions(*by, *order)
     w = df.write.mode("overwrite")
-    if partition_by and partition_by in df.columns:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    (w.partitionBy(*by) if by else w).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -109,10 +137,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Metric frame as JSON lines (one small frame, written by Spark)."""
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
+    """A report as one JSON document, written by Spark (so to any store it reaches)."""
+    spark.createDataFrame([(json.dumps(metrics, indent=2, default=str, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def metrics_to_json(row: dict) -> str:
-    return json.dumps(row, indent=2, default=str)
+def read_metrics(spark: SparkSession, path: str) -> dict:
+    """The report that ``write_metrics`` left."""
+    return json.loads(spark.read.text(path, wholetext=True).first().value)

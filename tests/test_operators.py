@@ -8,9 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.journey import lag_within
-from ledgerloom.operators.ranking import exact_quantiles, global_row_number, quantile_band
+from ledgerloom.operators.ranking import exact_quantiles, global_row_number, quantile_band, rank_bin, rank_cuts
 from ledgerloom.operators.shares import share_of
-from ledgerloom.plans.dims import rank_quintile
 
 from conftest import SF_SMALL
 
@@ -51,13 +50,42 @@ def test_quantile_band_is_qcut(spark):
     assert (m["b"] == m["w"]).mean() == 1.0
 
 
-def test_rank_quintile_equals_qcut_of_rank(spark):
-    for n in [2, 6, 7, 9, 23, 104, 354]:
-        ranks = pd.Series(np.arange(1, n + 1))
-        want = pd.qcut(ranks, 5, labels=[1, 2, 3, 4, 5]).astype(int).to_numpy()
-        df = spark.createDataFrame([(int(r), n) for r in ranks], "r long, n long")
-        got = [row[0] for row in df.select(rank_quintile("r", "n")).collect()]
-        assert list(got) == list(want), n
+def test_rank_bins_equal_qcut_of_rank(spark):
+    """Ties, two measures at once, few rows, and one value that half the rows have."""
+    rng = np.random.default_rng(3)
+    for n in [1, 2, 6, 7, 23, 354]:
+        pdf = pd.DataFrame({"id": rng.permutation(n).astype("int64"), "a": rng.integers(0, 4, n).astype("int64"), "b": np.round(rng.normal(size=n), 1)})
+        df = spark.createDataFrame(pdf)
+        cuts = rank_cuts(df, ["a", "b"], "id", 5)
+        assert cuts.count() == 1
+        got = df.crossJoin(F.broadcast(cuts)).select("id", rank_bin("a", "id").alias("a"), rank_bin("b", "id").alias("b")).toPandas().set_index("id")
+        for m in ("a", "b"):
+            order = pdf.sort_values([m, "id"])["id"].to_numpy()
+            want = pd.qcut(pd.Series(np.arange(1, n + 1)), 5, labels=[1, 2, 3, 4, 5]).astype(int).to_numpy() if n > 1 else [3]
+            assert list(got.loc[order, m]) == list(want), (n, m)
+
+
+def test_one_group_of_all_rows_and_unique_values(spark):
+    """No window spans a group: the plan partitions its windows by the range too, and a null is a group."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 1000 > 0, F.lit("all")).alias("g"), (F.col("id") * 7919 % 20_011).cast("double").alias("v"))
+    got = exact_quantiles(df, "v", [0.1, 0.5, 0.99], by=["g"], num_partitions=6)
+    rows = {r.g: (r.q0, r.q1, r.q2) for r in got.collect()}
+    pdf = df.toPandas()
+    for g, some in (("all", pdf[pdf.g == "all"]), (None, pdf[pdf.g.isna()])):
+        assert np.allclose(rows[g], np.quantile(some["v"], [0.1, 0.5, 0.99]))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x and "sum(_w" in x]
+    assert windows and all("_pid" in x.split("windowspecdefinition(")[1] for x in windows)
+    weighted = df.groupBy("g", "v").agg(F.lit(3).cast("long").alias("w"))
+    assert exact_quantiles(weighted, "v", [0.5], by=["g"], weight="w").where("g = 'all'").first().q0 == np.quantile(np.repeat(pdf[pdf.g == "all"]["v"], 3), 0.5)
+
+
+def test_equal_edges_of_quantile_bins_are_an_error(spark):
+    import pytest
+
+    df = spark.createDataFrame([(float(min(i, 2)),) for i in range(20)], "v double")
+    with pytest.raises(Exception, match="two edges are equal"):
+        quantile_band(df, "v", 4).collect()
 
 
 def test_lag_within_equals_window_lag(spark):
@@ -103,3 +131,33 @@ def test_ranks_without_exchange_reuse(spark):
         assert bad == 0 and lagged.where(F.col("p").isNull()).count() == 7
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_association_rules_from_bit_sets(spark):
+    """More items than a word has bits, repeats, nulls, an entity with everything, too many items."""
+    import pytest
+
+    from ledgerloom.operators.journey import association_rules
+
+    rng = np.random.default_rng(5)
+    rows = [(int(e), f"i{i:03d}") for e in range(120) for i in rng.choice(90, rng.integers(1, 6), replace=False)]
+    rows += [(500, f"i{i:03d}") for i in range(90)] + rows[:50] + [(None, "i000"), (3, None)]
+    df = spark.createDataFrame(rows, "e long, i string")
+    got = {(r["from"], r["to"]): (r.support, r.confidence) for r in association_rules(df, "e", "i").collect()}
+    sets = {}
+    for e, i in rows:
+        if e is not None and i is not None:
+            sets.setdefault(e, set()).add(i)
+    items = sorted(set().union(*sets.values()))
+    assert len(got) == len(items) * (len(items) - 1)
+    for a in items:
+        own = sum(a in s for s in sets.values())
+        for b in items:
+            if a != b:
+                both = sum(a in s and b in s for s in sets.values())
+                assert got[a, b] == (both / len(sets), both / own)
+    plan = association_rules(df, "e", "i")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "HashJoin" not in plan
+    with pytest.raises(ValueError, match="more than 80 items"):
+        association_rules(df, "e", "i", max_items=80)
+    assert association_rules(df.limit(0), "e", "i").count() == 0
