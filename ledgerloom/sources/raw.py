@@ -85,8 +85,8 @@ def scan_raw_transactions(spark: SparkSession, path_glob: str, columns: list[str
               .option("columnNameOfCorruptRecord", RAGGED).option("emptyValue", "").csv(files))
         # the reader gives unquoted blanks as null; a text file has no nulls
         texts = [F.coalesce(c, F.lit("")).alias(c) for c in present]
-        # read with a field beside it: Spark refuses plans (a bare count, say) that read this column alone
-        ragged = F.when(F.length(F.coalesce(present[0], F.lit(""))) >= 0, F.col(RAGGED)).alias(RAGGED)
+        # read with all fields beside it: the reader only notices a missing or extra field among those it is asked for
+        ragged = F.when(F.length(F.concat_ws("", *header)) >= 0, F.col(RAGGED)).alias(RAGGED)
         parts.append(df.select(*texts, ragged, F.col("_metadata.file_name").alias("source_file")))
     if not parts:
         raise FileNotFoundError(path_glob)
