@@ -11,7 +11,8 @@ characters that occur in no longer piece and between a letter and marks
 that no piece has behind a letter.  Words and their parts repeat a lot, so
 each task keeps bounded tables of those it has worked out.  In every Arrow
 batch the parts that are new are checked against the sentencepiece library,
-ids and decoded text; a difference raises.
+ids and decoded text, and so is every whole text that has a cut between two
+characters which no text before had one between; a difference raises.
 """
 
 from __future__ import annotations
@@ -179,11 +180,29 @@ class PieceModel:
                 raise ValueError(f"encoding differs from the library's among {some}")
 
 
+    def check_whole(self, texts: list[tuple[str, list[int], str]]) -> None:
+        """Whole texts with their ids (no end id) and decoded text, against the library."""
+        for text, ids, decoded in texts:
+            if self.library.encode(text) != ids or self.library.decode(ids) != decoded:
+                raise ValueError(f"encoding differs from the library's for a text of {len(text)} characters that begins {text[:80]!r}")
+
+
 class _Table(dict):
-    """Word to ids, worked out when first asked for; new parts wait for the check."""
+    """Word to ids, worked out when first asked for; new parts wait for the
+    check, and so do texts in which two characters meet at a cut between words
+    that no text before had there."""
 
     def __init__(self, model: PieceModel):
         self.model, self.ids_of, self.new = model, {}, []
+        self.met: set[tuple[str, str]] = set()
+        self.whole: list[tuple[str, list[int], str]] = []
+
+    def meets(self, words: list[str]) -> bool:
+        """Whether two characters meet between these words for the first time."""
+        here = set(zip([w[-1] for w in words], [w[0] for w in words[1:]])) - self.met if len(words) > 1 else not self.met and words
+        if here:
+            self.met |= here if isinstance(here, set) else {("", "")}
+        return bool(here)
 
     def __missing__(self, word: str) -> list[int]:
         out: list[int] = []
@@ -197,7 +216,8 @@ class _Table(dict):
 
     def checked(self) -> None:
         self.model.check(self.new, [self.ids_of[p] for p in self.new])
-        self.new = []
+        self.model.check_whole(self.whole)
+        self.new, self.whole = [], []
 
     def bound(self) -> None:
         if len(self) > REMEMBERED:
@@ -226,10 +246,14 @@ def encode_texts(docs: DataFrame, model_file: str, key: list[str], text: str = "
             for rows, _, _ in text_slices(batch, "__text"):
                 bounds, values, texts = [0], [], []
                 for t in column_of(batch, "__text", rows).to_pylist():
-                    ids = [*chain.from_iterable(map(known.__getitem__, m.words(t or ""))), *end]
+                    words = m.words(t or "")
+                    ids = [*chain.from_iterable(map(known.__getitem__, words)), *end]
                     values.append(np.array(ids, np.int32))
                     bounds.append(bounds[-1] + len(ids))
                     texts.append(m.decode(ids))
+                    if check and known.meets(words):
+                        plain = ids[: len(ids) - len(end)]
+                        known.whole.append((t, plain, m.decode(plain)))
                 if check:
                     known.checked()
                 known.bound()

@@ -51,7 +51,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": _CARD,  # the plain form's matches of 12 to 19 digits
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "token": r"[\"'][A-Za-z0-9+/_=-]{16,256}[\"']",
+    "token": r"[\"'][A-Za-z0-9+/_=-]{16,}+[\"']",
     "person": rf"\b(?:{'|'.join(NAMES + tuple(t + '[.]?' for t in TITLES))})\x20[A-Z][a-zà-ÿ]+",
 }
 VOTES = ("shape", "gazetteer", "words", "neighbours", "variety")
@@ -246,9 +246,11 @@ def redact(docs: DataFrame, text: str = "text", model: Model | None = None) -> D
     names = docs.columns
     at = f"c{names.index(text)}"
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    if model is None:
-        model = fit(written(with_candidates(rows.select(at), at).select("__candidates"), "pii"))
-    found = with_candidates(rows, at).withColumn("__spans", accepted("__candidates", model))
+    found = with_candidates(rows, at)
+    if model is None:  # rows and their candidates are written once, for the fit and for the replacement
+        found = written(found, "pii")
+        model = fit(found)
+    found = found.withColumn("__spans", accepted("__candidates", model))
     t = F.col(at)
 
     def step(a: Column, x: Column) -> Column:

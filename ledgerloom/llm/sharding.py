@@ -56,10 +56,12 @@ def place(docs: DataFrame, shards: list[str], size: int, key: str = "doc_id", sl
     The key is hashed as text, a null key like an empty one; rows of the same
     key go to the same shard, whatever their text.  An empty table gives an
     empty result."""
-    hashed = F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (slot, shard)]
     if key in (slot, shard):
         raise ValueError(f"{key} is read and replaced")
-    rows = docs.withColumn("__at", (hashed % size).cast("int"))
-    return rows.join(F.broadcast(lookup(docs.sparkSession, shards, size)), F.col("__at") == F.col("__slot")).select(
-        *rest, F.col("__slot").alias(slot), F.col("__shard").alias(shard))
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    seed = F.coalesce(F.col(f"c{names.index(key)}").cast("string"), F.lit(""))
+    hashed = F.conv(F.substring(F.md5(seed.cast("binary")), 1, 15), 16, 10).cast("long")
+    rows = plain.withColumn("at", (hashed % size).cast("int"))
+    return rows.join(F.broadcast(lookup(docs.sparkSession, shards, size)), F.col("at") == F.col("__slot")).select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in (slot, shard)], F.col("__slot").alias(slot), F.col("__shard").alias(shard))

@@ -95,3 +95,39 @@ def test_placing_rows(spark):
     assert len({(r.slot, r.shard) for r in rows if r.doc_id == 1}) == 1 and len({r.slot for r in rows if r.doc_id is None}) == 1
     assert all(sharding.fill_table(["a", "b", "c"], 13)[r.slot] == r.shard for r in rows)
     assert sharding.place(docs.limit(0), ["a"], 13).count() == 0
+
+
+def test_no_row_is_taken_more_often_than_the_cap(spark):
+    """Rows without words lie on both sides of the threshold of a source that stops at three times its size."""
+    rows = [(i, "a b c" if i % 3 else "", "small") for i in range(120)] + [(1000 + i, "word " * 400, "large") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mixed(df).collect()
+    assert max(r["__copies"] for r in plan) <= 3
+    copies = Counter(r.doc_id for r in mixing.mix(df).collect())
+    assert max(copies.values()) <= 3
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_a_budget_that_ends_among_repeated_rows(spark, parts):
+    """One document repeated holds most of a source: as many of its rows are taken as come nearest to the target."""
+    rows = [(1, "one two three four five six seven", "a")] * 400 + [(i, f"w{i} x", "a") for i in range(2, 40)] + [(i, "y " * 30, "b") for i in range(100, 160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+    out = mixing.mixed(df).collect()
+    for source in ("a", "b"):
+        mine = [r for r in out if r.source == source]
+        taken, target = sum(r["__size"] * r["__copies"] for r in mine), mine[0]["__target"]
+        assert abs(taken - target) <= max(r["__size"] for r in mine)
+    assert len(out) == len(rows) and len({r["__copies"] for r in out if r.doc_id == 1}) == 2
+
+
+def test_columns_of_any_name(spark):
+    names = ["passes", "below", "__s", "__hash", "__size", "some", "alike", "__slot", "__shard", "__at", "at", "hash", "copies"]
+    rows = [(i, f"text {i}", "s" if i % 3 else None, *range(len(names))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    mixed = mixing.mixed(df)
+    assert mixed.columns == [c for c in df.columns if c != "__size"] + ["__size", "__source_size", "__target", "__copies"]
+    assert all(r["__hash"] == 3 and r.passes == 0 and r.copies == 12 for r in mixed.collect())
+    assert mixing.mix(df).columns == df.columns and {r["__size"] for r in mixing.mix(df).collect()} <= {4}
+    placed = sharding.place(df, ["x", "y"], 11)
+    assert placed.columns == [*df.columns, "slot", "shard"]
+    assert all((r["__slot"], r["__shard"], r["__at"], r["at"]) == (7, 8, 9, 10) for r in placed.collect())

@@ -59,3 +59,15 @@ def test_edges_of_the_input(spark):
     ab = sentencepiece.SentencePieceProcessor(model_file=PATH).encode("a b", add_eos=True)
     assert got == [(0, ab, "a b"), (0, ab, "a b"), (1, [2], ""), (1, [2], "")]
     assert encode_texts(docs.limit(0), PATH, ["doc_id"]).count() == 0
+
+
+def test_whole_texts_are_checked_where_characters_first_meet(spark, model):
+    from ledgerloom.llm.pieces import _Table
+
+    table = _Table(model)
+    assert table.meets(model.words("one two")) and not table.meets(model.words("none the")) is None
+    assert not table.meets(model.words("one two")) and table.meets(model.words("one! two"))
+    assert _Table(model).meets(model.words("alone")) and not _Table(model).meets([])
+    with pytest.raises(ValueError, match="whole|text of"):
+        model.check_whole([("one two", [*model.encode("one"), *model.merge("two")], "one two")])
+    model.check_whole([("one  two", model.encode("one  two"), model.library.decode(model.encode("one  two")))])

@@ -85,3 +85,15 @@ def test_redaction_and_edges(spark):
     found, _ = pii.find(df, ["doc_id"])
     assert found.count() == 6 and pii.find(df.limit(0), ["doc_id"])[0].count() == 0
     assert pii.redact(df.limit(0)).count() == 0
+
+
+def test_tokens_of_any_length(spark):
+    """Secrets above and below the old bound of 256 characters, in quotes."""
+    rnd = random.Random(9)
+    token = lambda n: "".join(rnd.choice("abcdef0123456789XYZ") for _ in range(n))
+    rows = [(i, f'api key = "{token(n)}" and more') for i, n in enumerate([16, 40, 255, 256, 257, 300, 5000] * 6)] + [(100, 'said "hello there" to all')]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found, _ = pii.find(df, ["doc_id"])
+    lengths = {r.doc_id: [s.end - s.start - 2 for s in r.spans if s.kind == "token"] for r in found.collect()}
+    assert all(lengths[i] == [len(t) - len('api key = "" and more')] for i, t in rows[:-1]) and lengths[100] == []
+    assert all("[TOKEN]" in r.text for r in pii.redact(df).collect() if r.doc_id < 100)

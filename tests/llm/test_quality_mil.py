@@ -70,3 +70,55 @@ def test_edges_of_the_input(spark):
     assert len(rows) == 124 and by[1] > 0.8 > 0.3 > by[0] and by[501] > 0.5 and by[None] == by[500] and 0 <= by[500] <= 1
     assert quality_mil.score(docs.limit(0), net, ["doc_id"]).count() == 0
     assert 0 <= quality_mil.score(docs, quality_mil.fit(docs, labels.limit(0)), ["doc_id"]).first().score <= 1
+
+
+def plain_codes(text):
+    """The codes of a text's passages, counted one by one."""
+    raw = (text or "").encode()
+    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    if not spans:
+        return [np.append(np.zeros(WIDTH - 1), 1.0)]
+    kinds = quality_mil._TABLE
+    out = []
+    for n in range(0, len(spans), WORDS):
+        mine = spans[n : n + WORDS]
+        part = raw[mine[0][0] : spans[n + WORDS][0] if n + WORDS < len(spans) else len(raw)]
+        code, words = np.zeros(WIDTH), [raw[a:b] for a, b in mine]
+        for b in part:
+            code[kinds[b]] += 1 / len(part)
+        for a, b in zip(part, part[1:]):
+            code[12 + 12 * int(kinds[a]) + int(kinds[b])] += 1 / len(part)
+        lengths = np.array([len(w) for w in words], float)
+        code[-8], code[-7] = lengths.mean() / 10, lengths.std() / 10
+        code[-6], code[-5] = len(set(words)) / len(words), sum(a == b for a, b in zip(words, words[1:])) / len(words)
+        code[-4], code[-3], code[-2] = len(words) / WORDS, lengths.mean() > 20, np.log1p(len(spans)) / 10
+        out.append(code)
+    return out
+
+
+def plain_score(net, text):
+    """The net's score of a text, passage by passage."""
+    p, hidden, weight = net.p, [], []
+    for code in plain_codes(text):
+        x = np.clip((code - net.mean) / net.scale, -6, 6)
+        h = np.tanh(x @ p["E"] + p["e"])
+        gate = 1 / (1 + np.exp(-np.clip(h @ p["U"], -30, 30)))
+        hidden.append(h)
+        weight.append(np.exp((np.tanh(h @ p["V"]) * gate) @ p["w"]))
+    z = sum(w * h for w, h in zip(weight, hidden)) / sum(weight)
+    return 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["b"], -30, 30)))
+
+
+def test_every_row_of_the_query_against_a_plain_scorer(spark):
+    from ledgerloom.llm.toxicity import remainder
+
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    net = quality_mil.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    got = {r.doc_id: (r.score, r.predicted) for r in queries.op1_quality_mil(spark, sf).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert got.keys() == texts.keys()
+    for k, (score, predicted) in got.items():
+        want = plain_score(net, texts[k])
+        assert abs(score - want) < 1e-4, k  # codes are single precision in the job
+        assert predicted == (want >= 0.3) or abs(want - 0.3) < 1e-4

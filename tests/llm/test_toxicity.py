@@ -1,6 +1,7 @@
 """FTRL against its formulas, features against a plain reading, and held-out accuracy."""
 
 import math
+import re
 import zlib
 
 import numpy as np
@@ -50,7 +51,9 @@ def test_held_out_documents(spark):
     out = got[got.held_out]
     caught, clean = out[out.toxic == 1], out[out.toxic == 0]
     assert clean.predicted.mean() < 0.005
-    assert caught.predicted.mean() > 0.6  # a tenth of the table carries a label, few of a stem's forms among them
+    # two fifths of the table's documents carry a label, 0.72 of the toxic ones held out are caught: what is missed holds
+    # forms that no labelled text has, and scores between the bias and the limit of 0.7 that the query's contract sets
+    assert caught.predicted.mean() > 0.7
 
 
 def test_edges_of_the_input(spark):
@@ -75,3 +78,41 @@ def test_the_sample_is_bounded_by_rows(spark):
     assert len(every) == len(set(every)) == 1 + 300 + 40
     few = [toxicity.sample_labelled(d, labels, "toxic", max_rows=50).select("__key", "__text", "__label").collect() for d in (docs, docs.repartition(7))]
     assert len(few[0]) == 50 and set(few[0]) == set(few[1]) < set(every)
+
+
+def plain_score(model, text):
+    """A text's score, feature by feature, in plain arithmetic."""
+    whole = 1 << 64
+
+    def mixed(h):
+        h = (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 % whole
+        return h ^ (h >> 32)
+
+    def word_hash(word):
+        return mixed(sum((b + 1) * pow(0x9E3779B97F4A7C15, i % 4096 + 1, whole) for i, b in enumerate(word)) % whole)
+
+    raw = bytearray((text or "").encode())
+    for i, b in enumerate(bytes(raw)):
+        if 65 <= b <= 90 or (i and raw[i - 1] == 0xC3 and 0x80 <= b <= 0x9E and b != 0x97):
+            raw[i] = b + 32
+    words = [word_hash(w) for w in re.findall(rb"[a-z\x80-\xff]+", bytes(raw))]
+    salts = [int(x) for x in toxicity._SALTS]
+    features = {mixed(w * salts[0] % whole) for w in words}
+    for gap in (1, 2, 3):
+        features |= {mixed((a * salts[gap] + b) % whole) for a, b in zip(words, words[gap:])}
+    weight = dict(zip(map(int, model.keys), model.weights))
+    total = model.bias + sum(weight[f] for f in features if f in weight)
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+
+
+def test_every_row_of_the_query_against_a_plain_scorer(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where(toxicity.remainder("doc_id", 3) != 1))
+    assert len(model.keys) > 0
+    got = {r.doc_id: (r.score, r.predicted) for r in queries.op4_toxicity(spark, sf).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert got.keys() == texts.keys()
+    for k, (score, predicted) in got.items():
+        want = plain_score(model, texts[k])
+        assert abs(score - want) < 1e-9 and predicted == (want >= 0.7)
