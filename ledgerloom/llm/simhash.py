@@ -161,9 +161,10 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     prints = written(fingerprints(docs.select(F.col(key).alias("__key"), F.col(text).alias("__t")), ["__key"], "__t", width), "simhash")
     owners = prints.groupBy("fp").agg(F.min("__key").alias("low"))
     groups = connected_components(fingerprint_links(prints.select("fp").distinct(), distance), "a", "b")
-    named = owners.join(groups, F.col("fp") == F.col("node"), "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("group"))
-    smallest = named.groupBy("group").agg(F.min("low").alias("component"))
+    # written before they meet, so that Spark can split a group that holds a third of the fingerprints
+    named = written(owners.join(groups, F.col("fp") == F.col("node"), "left").select(
+        "fp", "low", F.coalesce("component", "fp").alias("group")), "simhash-named")
+    smallest = written(named.groupBy("group").agg(F.min("low").alias("component")), "simhash-smallest")
     of_print = named.join(smallest, "group").select("fp", "component")
     return prints.join(of_print, "fp").select(F.col("__key").alias(key), "fp", "component")
 

@@ -72,3 +72,19 @@ def test_edges_of_the_input(spark):
     assert got == sorted([("1", 3, 1, True)] * 2 + [("2", 3, 1, False), ("None", 3, 1, False), ("10", 1, 10, True), ("11", 1, 10, False),
                           ("None", 0, None, False)] + alone, key=str)
     assert embeddings.embedding_groups(df.limit(0)).count() == 0
+
+
+def test_query_over_a_table_with_links(spark, tmp_path):
+    """The query itself, on a table that holds copies, close pairs and a chain."""
+    rnd = np.random.default_rng(8)
+    v = [*rnd.normal(size=(400, 32))]
+    v += [rotated(x, c, rnd) for x, c in zip(v[:120], rnd.uniform(0.955, 0.99, 120))] + v[200:230]
+    for _ in range(5):
+        v.append(rotated(v[-1], 0.96, rnd))
+    ids = [int(i) for i in rnd.permutation(len(v))]
+    rows = [(i, [float(a) for a in x], 0) for i, x in zip(ids, v)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    want, near = brute(ids, [x for _, x, _ in rows])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in queries.op6_embeddings(spark, str(tmp_path)).collect()}
+    assert near.sum() >= 300 and sum(n for n, _ in got.values()) >= 0.97 * near.sum()
+    assert sum(got[i] == want[i] for i in ids) >= 0.97 * len(ids) and all(got[i][0] <= want[i][0] for i in ids)
