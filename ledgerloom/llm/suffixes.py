@@ -171,7 +171,9 @@ def _place() -> Column:
 
 
 class Tables:
-    """Bucketed and sorted tables in the shared folder, each under a name of its own until ``close``."""
+    """Bucketed and sorted tables in the shared folder, each under a name of its
+    own until ``close``.  Rows come from a shuffle by the buckets' key into as
+    many partitions, so a bucket is one file and the write moves nothing."""
 
     def __init__(self, spark: SparkSession, buckets: int | None = None):
         self.spark, self.names = spark, []
@@ -204,8 +206,7 @@ class Family:
             (size, a), (_, b) = self.levels.pop(), self.levels.pop()
             self.levels.append((2 * size, self.merged(b, a)))
         sums = batch.groupBy("key").agg(F.min(_place()).alias("one"), F.max(_place()).alias("other"))
-        array = self.tables.store(sums.select("key", "one", (F.col("one") != F.col("other")).alias("twice"))
-                                  .repartition(self.tables.buckets, "key"), "key")
+        array = self.tables.store(sums.select("key", "one", (F.col("one") != F.col("other")).alias("twice")), "key")
         found = array.where("twice").select("key")
         for _, level in self.levels:
             found = found.union(array.select("key").join(level.select("key").hint("merge"), "key", "left_semi"))
@@ -322,7 +323,8 @@ def repeated_spans(texts: DataFrame, tables: Tables, least: int = LEAST, batches
     # forms at two places: all their windows are repeated
     same = forms.where("not open").select(F.col("key").alias("s_key"), F.col("form").alias("s_form"))
     whole = likely.join(same, (F.col("key") == F.col("s_key")) & (F.col("form") == F.col("s_form")))
-    spans = whole.select("hi", "lo", *_covered(F.col("at"), least))
+    # a join of its own job, so that Spark can split a form that a third of the texts hold
+    spans = written(whole.select("hi", "lo", *_covered(F.col("at"), least)), "spans")
     # keys of several forms: one place of each is looked at again
     mixed = written(forms.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("open")).where("n > 1 and open").select(F.col("key").alias("m_key")), "mixed")
     units = written(forms.join(mixed, F.col("key") == F.col("m_key")).select("hi", "lo", "at", "open").withColumn("unit", F.monotonically_increasing_id()), "units")
@@ -331,7 +333,7 @@ def repeated_spans(texts: DataFrame, tables: Tables, least: int = LEAST, batches
     wanted = written(several.join(likely.select("hi", "lo", F.lit(True).alias("held")).distinct(), ["hi", "lo"], "left").where("copies > 1 or held")
                      .select("hi", "lo", "copies"), "wanted")
     packed = _packed(texts).groupBy("hi", "lo").agg(F.first("z").alias("z"))
-    held = tables.store(packed.join(wanted, ["hi", "lo"]).repartition(tables.buckets, "hi", "lo"), "hi", "lo")
+    held = tables.store(packed.join(wanted, ["hi", "lo"]), "hi", "lo")
     rows, before = units.withColumn("part", F.lit(0)), -(-shape.w // STEPS[0]) * STEPS[0]
     ends = []
     for step in STEPS:
