@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import stored
+
 
 def share_of(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "share",
              scale: float = 1.0, money: bool = False) -> DataFrame:
@@ -14,13 +16,15 @@ def share_of(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "sha
 
     Grouped shares use a window partitioned by the group keys (already a
     reduced frame).  A global share joins one aggregate row instead of an
-    un-partitioned window, so no single task ever sees the whole frame.
+    un-partitioned window, so no single task ever sees the whole frame; the
+    frame is stored first, so what it was reduced from is read once.
     """
     part = F.round(F.col(value) * 100).cast("long") if money else F.col(value)
     if by:
         total = F.sum(part).over(Window.partitionBy(*by))
         total = total / 100.0 if money else total
         return df.withColumn(name, F.try_divide(F.col(value), total) * scale)
+    df = stored(df, "shares")
     tot = df.agg((F.sum(part) / 100.0 if money else F.sum(part)).alias("_total"))
     return (
         df.crossJoin(F.broadcast(tot))
