@@ -190,7 +190,7 @@ def l11_category(spark: SparkSession, d: str) -> DataFrame:
     cat = share_of(cat, "revenue", name="share", money=True)
     yr = t.agg(F.min("order_year").alias("y0"), F.max("order_year").alias("y1"),
                F.countDistinct("order_year").alias("n"))
-    sy = t.groupBy("subcategory", "order_year").agg(msum(AMT).alias("rev")).crossJoin(F.broadcast(yr))
+    sy = t.select("subcategory", "order_year", (F.col("paise") / 100.0).alias("rev")).crossJoin(F.broadcast(yr))
     cg = sy.groupBy("subcategory").agg(
         F.max(F.when(F.col("order_year") == F.col("y1"), F.col("rev"))).alias("_l"),
         F.max(F.when(F.col("order_year") == F.col("y0"), F.col("rev"))).alias("_f"),
@@ -530,11 +530,10 @@ SELECT c.order_year, c.brand, coalesce(yb.revenue, 0) / tot.total * 100 AS share
 FROM cells c JOIN tot USING (order_year) LEFT JOIN yb USING (order_year, brand)"""))
 def l19_first_last(spark: SparkSession, d: str) -> DataFrame:
     """q13: share of the top-8 brands in the first and the last year (0 when absent)."""
-    t = tx(spark, d, "order_year", "brand", AMT)
-    top = top_k(t.groupBy("brand").agg(msum(AMT).alias("r")), 8, "r", ["brand"]).select("brand")
-    yr = t.agg(F.min("order_year").alias("y0"), F.max("order_year").alias("y1"))
+    yb = stored(tx(spark, d, "order_year", "brand", AMT).groupBy("order_year", "brand").agg(msum(AMT).alias("revenue")), "brand-years")
+    top = top_k(yb.groupBy("brand").agg(msum("revenue").alias("r")), 8, "r", ["brand"]).select("brand")
+    yr = yb.agg(F.min("order_year").alias("y0"), F.max("order_year").alias("y1"))
     years = yr.select(F.explode(F.array_distinct(F.array("y0", "y1"))).alias("order_year"))
-    yb = t.groupBy("order_year", "brand").agg(msum(AMT).alias("revenue"))
     tot = yb.groupBy("order_year").agg(msum("revenue").alias("total"))
     cells = years.crossJoin(F.broadcast(top))
     return cells.join(tot, "order_year").join(yb, ["order_year", "brand"], "left").select(
