@@ -78,7 +78,7 @@ def transitions(df: DataFrame, entity: str, order_cols: Sequence[str], state: st
         .groupBy(F.col("_prev").alias("from_state"), F.col(state).alias("to_state"))
         .agg(F.count("*").alias("transitions"))
     )
-    states = df.select(F.col(state).alias("s")).where(F.col("s").isNotNull()).distinct()
+    states = seq.select(F.col(state).alias("s")).where(F.col("s").isNotNull()).distinct()  # from the rows that are stored
     grid = F.broadcast(states.select(F.col("s").alias("from_state"))).crossJoin(
         F.broadcast(states.select(F.col("s").alias("to_state"))))
     dense = grid.join(counts, ["from_state", "to_state"], "left").withColumn(
