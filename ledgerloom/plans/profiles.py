@@ -87,10 +87,12 @@ g AS (SELECT count(*) AS n FROM sales WHERE customer_id % 50 = 0)
 SELECT unnest(['transaction_id', 'source_file', 'order_month', 'customer_city', 'payment_method', 'customer_rating']) AS column,
        unnest([n, n, 0, 0, 0, 0]) AS groups FROM g"""))
 def e16(spark: SparkSession, d: str) -> DataFrame:
-    """Duplicate-key groups in which a column takes more than one value."""
+    """Duplicate-key groups in which a column takes more than one value.
+    A group's texts are compared by their 64-bit hashes: least and greatest are
+    numbers then, so groups are hashed, not sorted, and no text travels but the key."""
     cols = ["transaction_id", "source_file", "order_month", "customer_city", "payment_method", "customer_rating"]
-    groups = dirty_sales(spark, d).groupBy(*C.DUP_KEY).agg(
-        F.count("*").alias("n"), *[(F.min(F.coalesce(c, F.lit(""))) != F.max(F.coalesce(c, F.lit("")))).alias(c) for c in cols])
+    rows = dirty_sales(spark, d).select(*C.DUP_KEY, *[F.xxhash64(F.coalesce(c, F.lit(""))).alias(f"h_{c}") for c in cols])
+    groups = rows.groupBy(*C.DUP_KEY).agg(F.count("*").alias("n"), *[(F.min(f"h_{c}") != F.max(f"h_{c}")).alias(c) for c in cols])
     return stacked(groups.where("n > 1").agg(*[_n(F.col(c)).alias(c) for c in cols]), [(c, F.col(c)) for c in cols], ("column", "groups"))
 
 
@@ -149,8 +151,10 @@ r AS (SELECT CASE order_day % 7 WHEN 4 THEN 'times_10' WHEN 5 THEN 'times_100' W
 SELECT evidence, CAST(sum(w) AS BIGINT) AS rows, CAST(sum(CASE WHEN negative THEN w ELSE 0 END) AS BIGINT) AS negative FROM r GROUP BY 1"""))
 def k11(spark: SparkSession, d: str) -> DataFrame:
     """List prices against the discount identity: their ratio's band, and negatives."""
-    raw = dirty_sales(spark, d)
-    price, sold, pct = C.parse_price("original_price_inr"), C.parse_price("discounted_price_inr"), C._num(F.col("discount_percent"))
+    # the numbers are columns of their own, so each text is parsed once however often its number is used
+    raw = dirty_sales(spark, d).select(C.parse_price("original_price_inr").alias("price"), C.parse_price("discounted_price_inr").alias("sold"),
+                                       C._num(F.col("discount_percent")).alias("pct"))
+    price, sold, pct = F.col("price"), F.col("sold"), F.col("pct")
     ratio = F.abs(price) / (sold / (1 - pct / 100))
     band = F.when(price.isNull(), "no_number").when(ratio.between(50, 500), "times_100").when(ratio.between(5, 20), "times_10").otherwise("fits")
     return raw.select(band.alias("evidence"), (price < 0).alias("neg")).groupBy("evidence").agg(
@@ -187,28 +191,39 @@ def k12_charges(spark: SparkSession, d: str) -> DataFrame:
 def cleaning_metrics(raw: DataFrame) -> DataFrame:
     """What each cleaning rule finds, as (metric, value) rows.
 
-    Row-wise rules are one aggregate over the raw rows; duplicates are a
-    second one by key.  The values are what a report of the run holds."""
-    date, price = F.trim("order_date"), C.parse_price("original_price_inr")
-    text = F.trim("original_price_inr")
-    identity = C.parse_price("discounted_price_inr") / (1 - F.least(F.greatest(C._num(F.col("discount_percent")), F.lit(0.0)), F.lit(99.99)) / 100)
-    ratio = F.abs(price) / identity
-    rows = [("rows_before", F.count("*")), ("dates_unparsed", _n(C.parse_order_date().isNull()))]
-    rows += [(f"dates_{k}", _n(F.coalesce(C._date_class(date), F.lit("other")) == k)) for k in ("iso", "slash", "dash", "dash_yy", "other")]
+    Row-wise rules are one aggregate over the raw rows, by the texts whose
+    distinct values are counted; duplicates are a second one by key.  The
+    values are what a report of the run holds."""
+    # what several counts are taken from: columns of their own, worked out once a row
+    parsed = C.with_order_date(raw, "_date").withColumns({
+        "_form": F.coalesce(C._date_class(F.trim("order_date")), F.lit("other")),
+        "_price": C.parse_price("original_price_inr"), "_sold": C.parse_price("discounted_price_inr"),
+        "_off": F.least(F.greatest(C._num(F.col("discount_percent")), F.lit(0.0)), F.lit(99.99))})
+    price, text = F.col("_price"), F.trim("original_price_inr")
+    ratio = F.abs(price) / (F.col("_sold") / (1 - F.col("_off") / 100))
+    rows = [("rows_before", F.count("*")), ("dates_unparsed", _n(F.col("_date").isNull()))]
+    rows += [(f"dates_{k}", _n(F.col("_form") == k)) for k in ("iso", "slash", "dash", "dash_yy", "other")]
     rows += [("prices_currency", _n(text.rlike("(?i)₹|rs|inr"))), ("prices_negative", _n(price < 0)), ("prices_missing", _n(price.isNull())),
              ("prices_divided_by_100", _n(ratio.between(50, 500))), ("prices_divided_by_10", _n(ratio.between(5, 20))),
              ("ratings_missing", _n(C.parse_rating("customer_rating").isNull())),
              ("ratings_not_plain", _n(~is_null_token("customer_rating") & C._num(F.col("customer_rating")).isNull())),
-             ("flags_blank", _n(is_null_token("is_prime_member"))), ("categories_before", F.count_distinct("category")),
-             ("categories_after", F.count_distinct(C.standardise_category("category"))),
-             ("payments_after", F.count_distinct(C.standardise_payment("payment_method"))),
+             ("flags_blank", _n(is_null_token("is_prime_member"))),
              ("ids_marked_dup", _n(F.col("transaction_id").endswith("_DUP"))), ("ages_missing", _n(is_null_token("customer_age_group")))]
-    one = raw.agg(*[c.cast("long").alias(n) for n, c in rows])
+    groups = parsed.groupBy("category", "payment_method").agg(*[c.cast("long").alias(n) for n, c in rows])
+    distinct = [("categories_before", F.count_distinct("category")), ("categories_after", F.count_distinct(C.standardise_category("category"))),
+                ("payments_after", F.count_distinct(C.standardise_payment("payment_method")))]
+    one = groups.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n, _ in rows], *[c.cast("long").alias(n) for n, c in distinct])
+    rows += distinct
     keys = raw.where(~F.coalesce(F.col("transaction_id").endswith("_DUP"), F.lit(False))).groupBy(*C.DUP_KEY).agg(F.count("*").alias("n"))
     two = keys.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("key_duplicates_removed"), F.count("*").alias("rows_after"))
     return stacked(one.crossJoin(F.broadcast(two)), [(n, F.col(n)) for n in [*(n for n, _ in rows), "key_duplicates_removed", "rows_after"]], ("metric", "value"))
 
 
+#: What ``cleaning_metrics`` reads.
+_METRIC_COLUMNS = ["transaction_id", *C.DUP_KEY, "order_month", "order_year", "original_price_inr", "discounted_price_inr", "discount_percent", "customer_rating",
+                   "is_prime_member", "category", "payment_method", "customer_age_group"]
+
+
 @register("C13_metrics", with_sales(f"""
 r AS (SELECT *, {COPIES_SQL} AS w, {DATE_CLASS_SQL} AS dc FROM sales),
 m AS (SELECT sum(w) AS rows_before, 0 AS dates_unparsed, sum(w) FILTER (WHERE dc = 'iso') AS dates_iso, sum(w) FILTER (WHERE dc = 'slash') AS dates_slash,
@@ -223,7 +238,7 @@ m AS (SELECT sum(w) AS rows_before, 0 AS dates_unparsed, sum(w) FILTER (WHERE dc
 SELECT metric, CAST(coalesce(value, 0) AS BIGINT) AS value FROM (SELECT COLUMNS(*)::BIGINT FROM m) UNPIVOT INCLUDE NULLS (value FOR metric IN (*))"""))
 def c13_metrics(spark: SparkSession, d: str) -> DataFrame:
     """The metrics of a cleaning run over the dirty rows."""
-    return cleaning_metrics(dirty_files(spark, d))
+    return cleaning_metrics(dirty_files(spark, d, _METRIC_COLUMNS))
 
 
 # ------------------------------------------------------------------ I8
