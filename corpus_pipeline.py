@@ -7,11 +7,13 @@ an empty one does; an empty table stays empty in every stage.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import mixing, pieces, pii, simhash, toxicity
-from ledgerloom.llm.common import read, written
+from ledgerloom.llm.common import bound_batches, read, written
 from ledgerloom.llm.queries import piece_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -45,13 +47,23 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
-STAGES = [
+def _bounded(stage):
+    """``stage`` with texts handed to Python in batches of a few MB."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, _bounded(stage)) for name, stage in (
     ("toxicity", drop_toxic),
     ("simhash_near_dedup", drop_near_copies),
     ("pii", redact_personal_data),
     ("mixing", mix_sources),
     ("sentencepiece", encode),
-]
+)]
 
 #: SQL has no form for these stages; tests hold them against brute force.
 ORACLE_SQL = None

@@ -62,7 +62,7 @@ class Ftrl:
         z, sq = np.zeros(n + 1), np.zeros(n + 1)  # the last is the bias, without L1
         l1 = np.full(n + 1, self.l1)
         l1[n] = 0
-        rows = [np.append(r, n) for r in rows]
+        rows = [np.append(r, np.int32(n)) for r in rows]
         for _ in range(self.epochs):
             for r, y in zip(rows, labels):
                 w, root = self._weights(z[r], sq[r], l1[r])
@@ -121,14 +121,25 @@ def fit_texts(batches: list[pa.RecordBatch], text: str, labels: np.ndarray, ftrl
         slot = np.unique(f >> np.uint64(40))
         seen[slot] += seen[slot] < 255
     kept = [f[seen[f >> np.uint64(40)] >= LEAST_TEXTS] for _, f in each()]
-    keys, counts = np.unique(np.concatenate(kept), return_counts=True) if kept else (np.empty(0, np.uint64), np.empty(0, int))
-    keys = keys[counts >= LEAST_TEXTS]
+    del seen
+    # one array text after text, the parts of which go as it is made
+    ends = np.cumsum([0, *map(len, kept)])
+    flat = np.empty(ends[-1], np.uint64)
+    for i in range(len(kept)):
+        flat[ends[i] : ends[i + 1]] = kept[i]
+        kept[i] = None
+    order = np.sort(flat)
+    first = np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1]))[: len(order)])
+    keys = order[first[np.diff(np.append(first, len(order))) >= LEAST_TEXTS]]
+    del order, first
     rows = []
-    for f in kept:
+    for lo, hi in zip(ends, ends[1:]):
+        f = flat[lo:hi]
         at = np.searchsorted(keys, f)
         ok = at < len(keys)
         ok[ok] = keys[at[ok]] == f[ok]
-        rows.append(at[ok])
+        rows.append(at[ok].astype(np.int32))
+    del flat
     weights, bias = ftrl.fit(rows, labels, len(keys))
     use = weights != 0
     return Model(keys[use], weights[use], bias)
