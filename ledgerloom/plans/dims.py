@@ -23,6 +23,8 @@ from ledgerloom.operators.ranking import rank_bin, rank_cuts
 from ledgerloom.session import stored
 from ledgerloom.sources.tables import catalog, sales
 
+#: Lines that a task joins to their customers and sorts by transaction (about 600 bytes each, texts included).
+LINES_A_TASK = 500_000
 LAST_VALUE_COLUMNS = ["customer_city", "customer_state", "customer_tier", "customer_spending_tier",
                       "customer_age_group"]
 
@@ -100,7 +102,7 @@ def customer_base(spark: SparkSession, sf_dir: str, need: set[str]) -> DataFrame
     last = [c for c in LAST_VALUE_COLUMNS if c in need]
     by_transaction = bool(last) or "frequency" in need
     inputs = [i for c in measures for i in _MEASURES[c][0]] + (["order_date", "transaction_id", *last] if last else [])
-    lines = sales(spark, sf_dir, list(dict.fromkeys(["customer_id", *inputs])))
+    lines = sales(spark, sf_dir, list(dict.fromkeys(["customer_id", *inputs])), rows_a_task=LINES_A_TASK)
     steps = {n: f() for c in measures for n, f in _MEASURES[c][1].items()}
     steps |= {f"last_{c}": F.max(F.when(F.col(c).isNotNull(), F.struct("order_date", c))) for c in last}
     keys = ["customer_id", "transaction_id"] if by_transaction else ["customer_id"]
