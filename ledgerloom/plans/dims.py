@@ -23,7 +23,7 @@ from ledgerloom.operators.ranking import rank_bin, rank_cuts
 from ledgerloom.session import stored
 from ledgerloom.sources.tables import catalog, sales
 
-#: Lines that a task joins to their customers and sorts by transaction (about 600 bytes each, texts included).
+#: Lines that a task joins to their orders and customers, sorts by transaction (about 600 bytes each, texts included) or stores.
 LINES_A_TASK = 500_000
 LAST_VALUE_COLUMNS = ["customer_city", "customer_state", "customer_tier", "customer_spending_tier",
                       "customer_age_group"]
@@ -165,15 +165,19 @@ def build_customers(spark: SparkSession, sf_dir: str, columns: list[str] | None
 
 def build_time_dimension(spark: SparkSession, sf_dir: str, tx: DataFrame | None = None) -> DataFrame:
     """K2: one row per calendar day from first to last order date."""
-    tx = tx if tx is not None else sales(spark, sf_dir, ["order_date", "is_festival_sale", "festival_name",
-                                                          "transaction_id"])
+    if tx is None:
+        # the view's festivals follow from the date: no transaction is needed, and the dates, stored once, feed both branches
+        # (Spark would drop a distinct below a min, and sort all lines for the names)
+        tx = stored(sales(spark, sf_dir, ["order_date", "is_festival_sale", "festival_name"], rows_a_task=LINES_A_TASK).distinct(), "days")
+        first = F.min("festival_name")
+    else:  # first festival name per date in (date, transaction id) order
+        first = F.min_by("festival_name", "transaction_id")
     span = tx.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
     spine = span.select(F.explode(F.sequence("lo", "hi")).alias("date"))
-    # first festival name per date in (date, transaction id) order
     fest = (
         tx.where(F.col("is_festival_sale") & F.col("festival_name").isNotNull())
         .groupBy("order_date")
-        .agg(F.min_by("festival_name", "transaction_id").alias("festival_name"))
+        .agg(first.alias("festival_name"))
         .withColumnRenamed("order_date", "date")
     )
     d = F.col("date")

@@ -200,6 +200,14 @@ def _table_of(col: str) -> str:
     return _PREFIX_TABLE[col[:2]]
 
 
+def line_tasks(spark: SparkSession, sf_dir: str, rows_a_task: int) -> int:
+    """Tasks for work over all lines: the session's partitions, and beyond them
+    as many as the lines fill at ``rows_a_task`` (the files state their rows,
+    none is read for it)."""
+    lines = read_table(spark, sf_dir, "lineitem").count()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // rows_a_task))
+
+
 def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None,
           years: tuple[int, int] | None = None, lines_last: bool = False, rows_a_task: int | None = None) -> DataFrame:
     """The enriched order-line fact with only ``columns`` (default: all), of
@@ -207,9 +215,8 @@ def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
     statistics answer).  ``lines_last`` joins the customers to the orders
     before the lines, which then travel once for both; without it the lines
     are left by customer, which saves who groups by customer an exchange.
-    ``rows_a_task`` bounds the lines that meet their customers in one task, on
-    average: beyond the session's partitions their number grows with the lines
-    (the files state theirs, none is read for it)."""
+    ``rows_a_task`` bounds the lines that meet their orders, and their
+    customers, in one task, on average (see ``line_tasks``)."""
     cols = list(columns) if columns is not None else list(SALES_COLUMNS)
     unknown = [c for c in cols if c not in _SALES]
     if unknown:
@@ -250,11 +257,17 @@ def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
                                 & (F.col("o_orderdate") < F.lit(f"{years[1] + 1:04d}-01-01").cast(kind)))
         return table.select(*sorted(src[name]))
 
+    tasks = line_tasks(spark, sf_dir, rows_a_task) if rows_a_task is not None and need_orders else 0
+    more = tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(df: DataFrame, key: str) -> DataFrame:
+        return df.repartition(tasks, key) if more else df
+
     fact = scan("lineitem")
     if need_orders:
         orders = scan("orders")
         if not lines_last:
-            fact = fact.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            fact = dealt(fact, "l_orderkey").join(dealt(orders, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     if need_cust:
         cust = scan("customer")
         if need_geo:
@@ -265,13 +278,9 @@ def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
         if lines_last:
             orders = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
         else:
-            if rows_a_task is not None:
-                tasks = -(-read_table(spark, sf_dir, "lineitem").count() // rows_a_task)
-                if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
-                    fact = fact.repartition(tasks, "o_custkey")
-            fact = fact.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+            fact = dealt(fact, "o_custkey").join(cust, F.col("o_custkey") == F.col("c_custkey"))
     if need_orders and lines_last:
-        fact = fact.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        fact = dealt(fact, "l_orderkey").join(dealt(orders, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     if need_part:
         fact = fact.join(scan("part"), F.col("l_partkey") == F.col("p_partkey"))
     return fact.select(*[_SALES[c][1]().alias(c) for c in cols])

@@ -19,7 +19,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.session import run_folder
-from ledgerloom.sources.tables import SALES_COLUMNS, catalog, sales
+from ledgerloom.sources.tables import SALES_COLUMNS, catalog, line_tasks, sales
 
 
 def register_views(spark: SparkSession, sf_dir: str, transactions: Iterable[str] | None = None,
@@ -50,13 +50,16 @@ def table_counts(spark: SparkSession, names: Iterable[str]) -> DataFrame:
 
 class StoredWarehouse:
     """The star schema as stored tables named ``<prefix><table>`` in a folder
-    (a new one in the shared folder by default)."""
+    (a new one in the shared folder by default).  Unless ``buckets`` is given,
+    their number is the session's partitions, and grows with the lines stored
+    beyond them: one task writes, and later joins, one bucket."""
 
     TABLES = ("transactions", "products", "customers", "time_dimension")
 
     def __init__(self, spark: SparkSession, prefix: str = "", folder: str | None = None, buckets: int | None = None):
         self.spark, self.prefix = spark, prefix
         self.folder = folder or run_folder(spark, "warehouse")
+        self.grows = not buckets
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def name(self, table: str) -> str:
@@ -77,11 +80,13 @@ class StoredWarehouse:
 
     def store(self, sf_dir: str, columns: Iterable[str] | None = None) -> "StoredWarehouse":
         """Write all four tables; ``columns`` narrows the transactions."""
-        from ledgerloom.plans.dims import build_customers, build_time_dimension
+        from ledgerloom.plans.dims import LINES_A_TASK, build_customers, build_time_dimension
 
+        if self.grows:
+            self.buckets = line_tasks(self.spark, sf_dir, LINES_A_TASK)
         wanted = list(columns) if columns is not None else list(SALES_COLUMNS)
         wanted = list(dict.fromkeys([*wanted, "customer_id", "order_year"]))
-        self._write(sales(self.spark, sf_dir, wanted), "transactions", "customer_id", "order_year")
+        self._write(sales(self.spark, sf_dir, wanted, rows_a_task=LINES_A_TASK), "transactions", "customer_id", "order_year")
         self._write(build_customers(self.spark, sf_dir), "customers", "customer_id")
         self._write(catalog(self.spark, sf_dir), "products", "product_id")
         self._write(build_time_dimension(self.spark, sf_dir), "time_dimension", None)

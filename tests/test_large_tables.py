@@ -76,3 +76,34 @@ def test_stages_hand_small_batches_to_python(spark):
     finally:
         for key in BATCHES:
             spark.conf.unset(key)
+
+
+def test_stored_buckets_grow_with_the_lines(spark, monkeypatch):
+    from ledgerloom.sources.tables import sales
+    from ledgerloom.sources.warehouse import StoredWarehouse
+
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(dims, "LINES_A_TASK", 400)
+    house = StoredWarehouse(spark, "grown_").store(SF_SMALL, ["final_amount_inr"])
+    assert house.buckets == -(-n // 400) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = house.table("transactions").join(house.table("customers").hint("merge"), "customer_id")
+    assert both.count() == n and "Exchange" not in both._jdf.queryExecution().sparkPlan().toString()
+    assert both.rdd.getNumPartitions() == house.buckets
+    house.forget()
+    plan = _plan(sales(spark, SF_SMALL, ["customer_id"], rows_a_task=400))
+    assert "RepartitionByExpression [l_orderkey" in plan and "RepartitionByExpression [o_orderkey" in plan
+    fixed = StoredWarehouse(spark, "fixed_", buckets=2).store(SF_SMALL, ["order_year"])
+    assert fixed.buckets == 2
+    fixed.forget()
+
+
+def test_days_and_festivals_are_read_off_dates_not_lines(spark):
+    from ledgerloom.sources.tables import sales
+
+    got = dims.build_time_dimension(spark, SF_SMALL)
+    assert "l_orderkey" not in _plan(got) and "min_by" not in _plan(got)
+    tx = sales(spark, SF_SMALL, ["order_date", "is_festival_sale", "festival_name", "transaction_id"])
+    by_transaction = dims.build_time_dimension(spark, SF_SMALL, tx)
+    rows = got.collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, by_transaction.collect()))
+    assert any(r.is_festival for r in rows) and not all(r.is_festival for r in rows)
