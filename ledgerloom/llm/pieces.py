@@ -9,8 +9,9 @@ characters that meet there.  Texts are cut at such places, read off the
 vocabulary: into words before each run of spaces, and these around
 characters that occur in no longer piece and between a letter and marks
 that no piece has behind a letter.  Words and their parts repeat a lot, so
-each task keeps bounded tables of those it has worked out.  In every Arrow
-batch the parts that are new are checked against the sentencepiece library,
+each task keeps bounded tables of those it has worked out.  The agendas of
+an Arrow batch's new parts are worked off together, one merge of every part
+at a time, as arrays.  In every batch the parts that are new are checked against the sentencepiece library,
 ids and decoded text, and so is every whole text that has a cut between two
 characters which no text before had one between; a difference raises.
 """
@@ -19,9 +20,9 @@ from __future__ import annotations
 
 import codecs
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,9 @@ from ledgerloom.llm.common import column_of, text_slices
 MARK = "▁"
 #: Words, and parts of words, that a task remembers; beyond it a table starts anew.
 REMEMBERED = 600_000
+#: Parts whose agendas are worked off together, and the longest of them in characters.
+AT_ONCE, SHORT = 2_000, 48
+_NONE = np.iinfo(np.int32).max
 _SPACED = re.compile(" *[^ ]+| +")
 
 
@@ -64,9 +68,96 @@ class PieceModel:
         self.marked = {i for p, i in self.id_of.items() if p[0] == MARK}
         self.text_of = [b.decode("utf-8", "replace") for b in self.bytes_of]
         self.cut = self._cuts()
+        self._pairs()
+
+    def _pairs(self) -> None:
+        """Numbers for symbols, cheapest piece first, and the sorted pairs of
+        symbols whose join is a piece, each with the join's number."""
+        pieces = sorted(self.cost, key=self.cost.get)
+        symbols = list(dict.fromkeys([*pieces, *"".join(pieces)]))
+        number = {s: i for i, s in enumerate(symbols)}
+        self.n_symbols = len(symbols)
+        joins = [p for p in pieces if len(p) > 1]
+        # numbers don't stand for costs where joins cost the same; such a join needs two of these characters side by side
+        cost = [self.cost[p] for p in joins]
+        tied = set("".join(p for p, c, a, b in zip(joins, cost, [None, *cost], [*cost[1:], None]) if c in (a, b)))
+        self.tied = np.array([s in tied for s in symbols])
+        found = [(a * self.n_symbols + b, number[p]) for p in joins for i in range(1, len(p))
+                 if (a := number.get(p[:i])) is not None and (b := number.get(p[i:])) is not None]
+        found.sort()
+        self.pair = np.array([*(k for k, _ in found), np.iinfo(np.int64).max])
+        self.join = np.array([*(j for _, j in found), _NONE], np.int32)
+        self.symbol_of = np.full(0x110000, -1, np.int32)  # by code point
+        for s, i in number.items():
+            if len(s) == 1:
+                self.symbol_of[ord(s)] = i
+        self.symbol_id = np.array([self.id_of.get(s, -1) for s in symbols], np.int32)
+
+    def _joins(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Numbers of the joins of symbols; none where it is no piece, or where one of the two is -1."""
+        key = np.where((a < 0) | (b < 0), -1, a.astype(np.int64) * self.n_symbols + b)
+        at = np.searchsorted(self.pair, key)
+        return np.where(self.pair[at] == key, self.join[at], _NONE)
+
+    def merge_all(self, parts: list[str]) -> list[bytes]:
+        """``merge`` of every part, as the bytes of int32 ids.  A row holds a
+        part's symbols and one the numbers of its adjacent joins: the smallest,
+        leftmost among equals, is merged in all rows that have one, and those
+        are then one symbol shorter."""
+        out, order = [b""] * len(parts), sorted(range(len(parts)), key=list(map(len, parts)).__getitem__)
+        for n in range(0, len(parts), AT_ONCE):  # parts of about one length
+            some = order[n : n + AT_ONCE]
+            for i, ids in zip(some, self._merge_rows([parts[i] for i in some])):
+                out[i] = ids
+        return out
+
+    def _merge_rows(self, parts: list[str]) -> list[bytes]:
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        fits = size <= SHORT
+        size[~fits] = 0
+        width = int(size.max(initial=0))
+        codes = np.frombuffer("".join(p for p, f in zip(parts, fits) if f).encode("utf-32-le"), "<u4")
+        symbols = np.full((len(parts), width + 1), -1, np.int32)
+        inside = np.arange(width + 1) < size[:, None]
+        symbols[inside] = self.symbol_of[codes]
+        tied = self.tied[symbols] & inside
+        # characters of no piece go their own way, and so does what may have joins of one cost
+        fits &= ~((symbols < 0) & inside).any(axis=1) & ~(tied[:, :-1] & tied[:, 1:]).any(axis=1)
+        ended, row = symbols.copy(), np.flatnonzero(fits)
+        symbols = symbols[row]
+        joins = self._joins(symbols[:, :-1], symbols[:, 1:])
+        while len(row) and joins.shape[1]:
+            at = joins.argmin(axis=1)
+            join = joins[np.arange(len(row)), at]
+            live = join != _NONE
+            if not live.all():
+                done = symbols[~live]
+                ended[row[~live]] = -1
+                ended[row[~live], : done.shape[1]] = done
+                row, symbols, joins, at, join = row[live], symbols[live], joins[live], at[live], join[live]
+            each, column = np.arange(len(row)), np.arange(joins.shape[1])
+            symbols = np.take_along_axis(symbols, column + (column > at[:, None]), axis=1)
+            symbols[each, at] = join
+            column = column[:-1]
+            joins = np.take_along_axis(joins, column + (column >= at[:, None]), axis=1)
+            for shift in (0, 1):  # the new symbol's joins with the one behind it and the one before it
+                some = (at >= shift) & (at - shift < joins.shape[1])
+                r, c = each[some], at[some] - shift
+                joins[r, c] = self._joins(symbols[r, c], symbols[r, c + 1])
+        if len(row):
+            ended[row] = -1
+            ended[row, : symbols.shape[1]] = symbols
+        ids = self.symbol_id[ended]
+        fits &= ~((ids < 0) & (ended >= 0)).any(axis=1)  # neither do symbols without an id
+        held = (ended >= 0) & fits[:, None]
+        ends = 4 * np.cumsum(held.sum(axis=1))
+        flat = ids[held].tobytes()
+        return [flat[a:b] if f else np.array(self.merge(p), np.int32).tobytes()
+                for p, f, a, b in zip(parts, fits.tolist(), [0, *ends[:-1].tolist()], ends.tolist())]
 
     def _cuts(self) -> re.Pattern | None:
         """Where a word may be cut; None if pieces run across words."""
+        self.uncut = False
         longer = [p for p in self.cost if len(p) > 1]
         inside = set("".join(longer))
         ascii_ = [chr(c) for c in range(1, 128)]
@@ -80,6 +171,7 @@ class PieceModel:
         opens = "".join(re.escape(c) for c in ascii_ if c in inside and not letter.match(c) and c not in behind)
         word = f"{MARK}*[{letters}]+(?=[{opens}])|" if opens else ""
         alone = f"|[{single}]" if single else ""
+        self.uncut = not letter.search(single)
         return re.compile(f"{word}{MARK}*[^{MARK}{single}]+|{MARK}+{alone}")
 
     def merge(self, part: str) -> list[int]:
@@ -146,6 +238,10 @@ class PieceModel:
         marked = word.replace(" ", MARK) if word[:1] == " " else MARK + word
         return [marked] if self.cut is None else self.cut.findall(marked)
 
+    def whole(self, word: str) -> bool:
+        """Whether a word without spaces is one part: letters alone, none of which stands by itself."""
+        return self.uncut and word.isascii() and word.isalpha()
+
     def encode(self, text: str) -> list[int]:
         return [i for word in self.words(text) for part in self.parts(word) for i in self.merge(part)]
 
@@ -188,12 +284,14 @@ class PieceModel:
 
 
 class _Table(dict):
-    """Word to ids, worked out when first asked for; new parts wait for the
-    check, and so do texts in which two characters meet at a cut between words
-    that no text before had there."""
+    """Word to ids, as the bytes of int32; new parts wait for the check, and so
+    do texts in which two characters meet at a cut between words that no text
+    before had there."""
 
     def __init__(self, model: PieceModel):
-        self.model, self.ids_of, self.new = model, {}, []
+        self.model = model
+        self.ids_of: dict[str, bytes] = {}
+        self.new: list[str] = []
         self.met: set[tuple[str, str]] = set()
         self.whole: list[tuple[str, list[int], str]] = []
 
@@ -204,18 +302,20 @@ class _Table(dict):
             self.met |= here if isinstance(here, set) else {("", "")}
         return bool(here)
 
-    def __missing__(self, word: str) -> list[int]:
-        out: list[int] = []
-        for part in self.model.parts(word):
-            if (ids := self.ids_of.get(part)) is None:
-                ids = self.ids_of[part] = self.model.merge(part)
-                self.new.append(part)
-            out += ids
-        self[word] = out
-        return out
+    def learn(self, words: Iterable[str]) -> None:
+        """Work out ``words``, none of them known yet."""
+        fresh, whole, ids_of = set(words), self.model.whole, self.ids_of
+        alone = {w: MARK + w for w in fresh if whole(w)}
+        cut = {w: self.model.parts(w) for w in fresh if w not in alone}
+        new = list(filterfalse(ids_of.__contains__, {*alone.values(), *chain.from_iterable(cut.values())}))
+        ids_of.update(zip(new, self.model.merge_all(new)))
+        self.new += new
+        self.update(zip(alone, map(ids_of.__getitem__, alone.values())))
+        for w, of in cut.items():
+            self[w] = b"".join(map(ids_of.__getitem__, of))
 
     def checked(self) -> None:
-        self.model.check(self.new, [self.ids_of[p] for p in self.new])
+        self.model.check(self.new, [np.frombuffer(self.ids_of[p], np.int32).tolist() for p in self.new])
         self.model.check_whole(self.whole)
         self.new, self.whole = [], []
 
@@ -241,18 +341,22 @@ def encode_texts(docs: DataFrame, model_file: str, key: list[str], text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Table(m := PieceModel(model))
-        end = [m.end_id] if add_end else []
+        end = np.array([m.end_id] if add_end else [], np.int32).tobytes()
         for batch in batches:
             for rows, _, _ in text_slices(batch, "__text"):
                 bounds, values, texts = [0], [], []
-                for t in column_of(batch, "__text", rows).to_pylist():
-                    words = m.words(t or "")
-                    ids = [*chain.from_iterable(map(known.__getitem__, words)), *end]
-                    values.append(np.array(ids, np.int32))
-                    bounds.append(bounds[-1] + len(ids))
+                here = column_of(batch, "__text", rows).to_pylist()
+                split = [m.words(t or "") for t in here]
+                found = [list(map(known.get, words)) for words in split]
+                known.learn(w for words, of in zip(split, found) for w, i in zip(words, of) if i is None)
+                for t, words, of in zip(here, split, found):
+                    own = np.frombuffer(b"".join([known[w] if i is None else i for w, i in zip(words, of)]) + end, np.int32)
+                    values.append(own)
+                    bounds.append(bounds[-1] + len(own))
+                    ids = own.tolist()
                     texts.append(m.decode(ids))
                     if check and known.meets(words):
-                        plain = ids[: len(ids) - len(end)]
+                        plain = ids[: len(ids) - len(end) // 4]
                         known.whole.append((t, plain, m.decode(plain)))
                 if check:
                     known.checked()

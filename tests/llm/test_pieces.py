@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -71,3 +72,29 @@ def test_whole_texts_are_checked_where_characters_first_meet(spark, model):
     with pytest.raises(ValueError, match="whole|text of"):
         model.check_whole([("one two", [*model.encode("one"), *model.merge("two")], "one two")])
     model.check_whole([("one  two", model.encode("one  two"), model.library.decode(model.encode("one  two")))])
+
+
+def test_parts_merged_together_are_merged_alike(model):
+    rnd = random.Random(4)
+    some = "".join(map(chr, range(33, 127))) + "\n\t▁▁éßñ日本​²𝒳"
+    parts = ["", "▁", "▁▁▁", "a" * 48, "a" * 49, "\n" * 30, "日", "▁the"]
+    parts += ["".join(rnd.choice(some) for _ in range(rnd.randint(1, 60))) for _ in range(3000)]
+    parts += ["▁" + "".join(rnd.choice(["the", "in", "er", "t", "▁", "1", "é"]) for _ in range(rnd.randint(1, 12))) for _ in range(3000)]
+    got = [np.frombuffer(b, np.int32).tolist() for b in model.merge_all(parts)]
+    assert got == [model.merge(p) for p in parts]
+    assert model.merge_all([]) == []
+
+
+def test_a_batch_of_new_words_is_merged_at_once(model, monkeypatch):
+    from ledgerloom.llm.pieces import _Table
+
+    alone = []
+    monkeypatch.setattr(PieceModel, "merge", lambda self, part: alone.append(part))
+    words = model.words("some words, and (others) do not repeat the words:")
+    table = _Table(model)
+    table.learn(words)
+    assert alone == []
+    monkeypatch.undo()
+    for w in words:
+        assert np.frombuffer(table[w], np.int32).tolist() == [i for p in model.parts(w) for i in model.merge(p)]
+        assert not model.whole(w) or model.parts(w) == ["▁" + w]
