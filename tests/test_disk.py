@@ -100,3 +100,12 @@ def test_a_run_in_parts_reports_the_same(spark, monkeypatch):
     assert spark.read.option("header", True).csv(f"{out}/transactions_cleaned_csv").count() == len(rows) == metrics["rows_after"]
     empty, none = C.run_cleaning(raw.where("false"))
     assert empty.count() == 0 and none["rows_after"] == 0 and none["date_min"] is None
+
+
+def test_k14_verifies_the_same_rows_in_parts(spark, monkeypatch):
+    was = _sorted(entry.queries()["K14_verification"](spark, SF_SMALL))
+    monkeypatch.setattr(C, "parts_of", lambda rows: 2)
+    before = _files(spark)
+    got = entry.queries()["K14_verification"](spark, SF_SMALL)
+    assert _sorted(got) == was
+    assert {x.rpartition("-")[0] for x in _files(spark) - before}.isdisjoint({"raw", "kept", "medians"})
